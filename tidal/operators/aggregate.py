@@ -76,7 +76,7 @@ def daily_all_levels(shipments: DataFrame) -> DataFrame:
             [F.col("date"), F.col("sku_category")],
             [F.col("date"), F.col("region"), F.col("sku_category")]]
     agg = (shipments.groupingSets(sets, "date", "region", "sku_category")
-           .agg(*_daily_aggs(), F.grouping_id("region", "sku_category").alias("gid")))
+           .agg(*_daily_aggs(), F.grouping_id().alias("gid")))
     level = (F.when(F.col("gid") == 3, "all").when(F.col("gid") == 1, "region")
              .when(F.col("gid") == 2, "sku").otherwise("region_sku"))
     agg = (agg.withColumn("level", level)
