@@ -1,3 +1,4 @@
 """Imports every query module so their registrations run."""
 
 from . import q_shipments  # noqa: F401
+from . import q_series  # noqa: F401
