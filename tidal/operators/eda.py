@@ -11,18 +11,20 @@ import itertools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ALL_ROWS = Window.partitionBy()  # used only on grouped (per-category) rows
+def ALL_ROWS():
+    """Whole-frame window, used only on grouped (per-category) rows."""
+    return Window.partitionBy()
 
 
 def value_counts_pct(df: DataFrame, col: str) -> DataFrame:
     """Count and percent of rows per value of ``col``."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    return g.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(ALL_ROWS))
+    return g.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(ALL_ROWS()))
 
 
 def share_of_total(df: DataFrame, key: str, value: str) -> DataFrame:
     g = df.groupBy(key).agg(F.sum(value).alias("total"))
-    return g.withColumn("pct", F.col("total") * 100.0 / F.sum("total").over(ALL_ROWS))
+    return g.withColumn("pct", F.col("total") * 100.0 / F.sum("total").over(ALL_ROWS()))
 
 
 def numeric_summary(df: DataFrame, cols: list[str], by: list[str] = (),
@@ -124,7 +126,7 @@ def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
 def mean_by(df: DataFrame, key: str, value: str) -> DataFrame:
     """Mean per key plus the mean of those means (seasonal profile)."""
     g = df.groupBy(key).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
-    return g.withColumn("mean_of_means", F.avg("mean").over(ALL_ROWS))
+    return g.withColumn("mean_of_means", F.avg("mean").over(ALL_ROWS()))
 
 
 def top_values(df: DataFrame, col: str, n: int = 20) -> DataFrame:
@@ -146,8 +148,8 @@ def rebalance_weights(df: DataFrame, cls: str, anomaly_classes: list[str],
     ``target_ratio`` of the weighted rows, proportions inside each group kept."""
     counts = df.groupBy(cls).agg(F.count(F.lit(1)).alias("n"))
     is_anom = F.col(cls).isin(*anomaly_classes)
-    tot = F.sum("n").over(ALL_ROWS)
-    anom = F.sum(F.when(is_anom, F.col("n")).otherwise(0)).over(ALL_ROWS)
+    tot = F.sum("n").over(ALL_ROWS())
+    anom = F.sum(F.when(is_anom, F.col("n")).otherwise(0)).over(ALL_ROWS())
     share = anom / tot
     w = F.when(is_anom, F.try_divide(F.lit(target_ratio), share)) \
          .otherwise(F.try_divide(F.lit(1 - target_ratio), 1 - share))

@@ -2,3 +2,4 @@
 
 from . import q_shipments  # noqa: F401
 from . import q_series  # noqa: F401
+from . import q_eval  # noqa: F401
