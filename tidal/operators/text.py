@@ -1,0 +1,196 @@
+"""TF-IDF and latent semantic analysis, long form first.
+
+The corpus becomes a long table (doc, term, tf) by one explode and one
+aggregation; document frequencies, the vocabulary and the weights are
+further aggregations and equi-joins. The vocabulary (<= ``max_features``
+terms) and the SVD basis (vocab x k) are the only fitted state and are
+bounded by parameters, not by the corpus.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as TX
+
+MAX_FEATURES = 1000
+MIN_DF = 2
+MAX_DF = 0.95
+N_COMPONENTS = 20
+
+
+def document_terms(df: DataFrame, id_col: str, text_col: str, min_len: int = 2,
+                   ngrams: bool = True, ip_token: str = TX.IP_TOKEN,
+                   num_token: str = TX.NUM_TOKEN) -> DataFrame:
+    """(id, terms): cleaned, tokenised, stop words removed, + bigrams."""
+    toks = TX.tokens(TX.clean_text(text_col, ip_token, num_token), min_len)
+    terms = TX.with_bigrams(toks) if ngrams else toks
+    return df.select(F.col(id_col).alias("doc_id"), terms.alias("terms"))
+
+
+def term_frequencies(terms: DataFrame) -> DataFrame:
+    """Long (doc_id, term, tf). The (doc, term) key spreads even one huge
+    document over all reducers; partial aggregation runs before the shuffle."""
+    return (terms.select("doc_id", F.explode("terms").alias("term"))
+            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def fit_vocabulary(tf: DataFrame, n_docs: int, min_df: int = MIN_DF, max_df: float = MAX_DF,
+                   max_features: int = MAX_FEATURES) -> DataFrame:
+    """Terms with min_df <= df <= max_df * n, the ``max_features`` most
+    frequent by corpus count (ties: term), indexed alphabetically, with the
+    smoothed idf ln((1+n)/(1+df)) + 1."""
+    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_tf"))
+    kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
+    top = kept.orderBy(F.col("total_tf").desc(), F.col("term")).limit(max_features)
+    # <= max_features rows: ranking them in one partition is bounded by the parameter
+    idx = F.row_number().over(Window.orderBy("term")) - 1
+    return top.select("term", "df", "total_tf", idx.alias("term_index"),
+                      (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1).alias("idf"))
+
+
+def tfidf_weights(tf: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Long (doc_id, term, term_index, tf, weight): tf * idf, L2-normalised
+    per document over vocabulary terms."""
+    w = tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term")  # <= max_features rows
+    w = w.withColumn("raw", F.col("tf") * F.col("idf"))
+    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    return (w.join(norms, "doc_id")
+            .select("doc_id", "term", "term_index", "tf", (F.col("raw") / F.col("norm")).alias("weight")))
+
+
+@dataclass
+class TfidfModel:
+    vocab: DataFrame
+    n_docs: int
+    min_len: int = 2
+    ngrams: bool = True
+    ip_token: str = TX.IP_TOKEN
+    num_token: str = TX.NUM_TOKEN
+
+    def transform(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        terms = document_terms(df, id_col, text_col, self.min_len, self.ngrams,
+                               self.ip_token, self.num_token)
+        return tfidf_weights(term_frequencies(terms), self.vocab)
+
+
+def fit_tfidf(df: DataFrame, id_col: str, text_col: str, min_len: int = 2, ngrams: bool = True,
+              min_df: int = MIN_DF, max_df: float = MAX_DF, max_features: int = MAX_FEATURES,
+              ip_token: str = TX.IP_TOKEN, num_token: str = TX.NUM_TOKEN) -> TfidfModel:
+    n = df.count()
+    terms = document_terms(df, id_col, text_col, min_len, ngrams, ip_token, num_token)
+    vocab = fit_vocabulary(term_frequencies(terms), n, min_df, max_df, max_features)
+    return TfidfModel(vocab.cache(), n, min_len, ngrams, ip_token, num_token)
+
+
+# --- LSA ---------------------------------------------------------------------------
+
+@dataclass
+class LsaModel:
+    components: np.ndarray          # k x V, rows = components over term_index
+    singular_values: np.ndarray     # k
+    explained_variance: np.ndarray  # k, population variance of projected columns
+    total_variance: float           # sum of population variances of all tf-idf columns
+    n_docs: int
+
+    def basis(self, spark) -> DataFrame:
+        """Long (term_index, component, loading) table, k x V rows."""
+        k, v = self.components.shape
+        rows = [(int(j), int(c), float(self.components[c, j])) for c in range(k) for j in range(v)]
+        return spark.createDataFrame(rows, "term_index int, component int, loading double")
+
+    @property
+    def explained_variance_ratio(self) -> np.ndarray:
+        return self.explained_variance / self.total_variance if self.total_variance > 0 else \
+            np.zeros_like(self.explained_variance)
+
+
+def _sparse_rows(weights: DataFrame, n_features: int):
+    """Per-document sparse vectors for MLlib's RowMatrix (the distributed
+    Gramian lives there); built with a JVM-side vector assembly per doc."""
+    from pyspark.mllib.linalg import Vectors as MV
+    grouped = weights.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("e"))
+    return grouped.select("e").rdd.map(
+        lambda r: MV.sparse(n_features, [x[0] for x in r[0]], [x[1] for x in r[0]]))
+
+
+def fit_lsa(weights: DataFrame, n_features: int, n_docs: int, k: int = N_COMPONENTS) -> LsaModel:
+    """Truncated SVD of the (uncentred) TF-IDF matrix.
+
+    One distributed pass builds the V x V Gramian (RowMatrix, tree
+    aggregation of per-partition BLAS updates); its top-k eigenvectors are
+    the right singular vectors. Sign rule: the largest-|loading| entry of
+    each component is positive."""
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    rows = _sparse_rows(weights, n_features)
+    g = RowMatrix(rows).computeGramianMatrix().toArray()
+    evals, evecs = np.linalg.eigh(g)
+    order = np.argsort(evals)[::-1][:k]
+    comps = evecs[:, order].T.copy()
+    for c in range(comps.shape[0]):
+        j = int(np.argmax(np.abs(comps[c])))
+        if comps[c, j] < 0:
+            comps[c] = -comps[c]
+    sv = np.sqrt(np.clip(evals[order], 0, None))
+    # variance of projected columns over all docs (docs without terms project to 0)
+    col_stats = weights.groupBy("term_index").agg(F.sum("weight").alias("s"),
+                                                  F.sum(F.col("weight") ** 2).alias("s2")).collect()
+    total = sum(r["s2"] / n_docs - (r["s"] / n_docs) ** 2 for r in col_stats)
+    model = LsaModel(comps, sv, np.zeros(len(order)), float(total), n_docs)
+    proj = lsa_transform(weights, model, weights.sparkSession)
+    st = proj.agg(*[F.sum(f"lsa_{c}").alias(f"s{c}") for c in range(len(order))],
+                  *[F.sum(F.col(f"lsa_{c}") ** 2).alias(f"q{c}") for c in range(len(order))]).first()
+    model.explained_variance = np.array(
+        [st[f"q{c}"] / n_docs - (st[f"s{c}"] / n_docs) ** 2 for c in range(len(order))])
+    return model
+
+
+def lsa_transform(weights: DataFrame, model: LsaModel, spark=None) -> DataFrame:
+    """(doc_id, lsa_0..lsa_{k-1}) = tf-idf row x basis. The basis is joined
+    as one array per term (V rows, bounded by the vocabulary) and the k
+    sums run as one partial aggregation per document."""
+    spark = spark or weights.sparkSession
+    k, v = model.components.shape
+    basis = spark.createDataFrame(
+        [(int(j), [float(x) for x in model.components[:, j]]) for j in range(v)],
+        "term_index int, loadings array<double>")
+    j = weights.join(F.broadcast(basis), "term_index")
+    return j.groupBy("doc_id").agg(
+        *[F.sum(F.col("weight") * F.col("loadings")[c]).alias(f"lsa_{c}") for c in range(k)])
+
+
+def lsa_features(ids: DataFrame, id_col: str, projected: DataFrame, k: int) -> DataFrame:
+    """Every document gets k components (0 for documents without terms)."""
+    out = ids.select(F.col(id_col).alias("doc_id")).join(projected, "doc_id", "left")
+    return out.fillna(0.0, subset=[f"lsa_{c}" for c in range(k)])
+
+
+def top_terms_per_component(model: LsaModel, vocab: DataFrame, n: int = 10) -> DataFrame:
+    """n largest-|loading| terms per component, with sign."""
+    b = model.basis(vocab.sparkSession).join(vocab.select("term", "term_index"), "term_index")
+    w = Window.partitionBy("component").orderBy(F.abs("loading").desc(), "term")
+    return b.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def cluster_term_profile(weights: DataFrame, labels: DataFrame, cluster_col: str = "cluster",
+                         n: int = 10) -> DataFrame:
+    """Mean TF-IDF weight of each term inside each cluster (documents
+    without the term count as 0), top ``n`` terms, cluster size."""
+    sizes = labels.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("n_samples"))
+    s = (weights.join(labels.select(F.col("doc_id"), cluster_col), "doc_id")
+         .groupBy(cluster_col, "term").agg(F.sum("weight").alias("sum_w")))
+    s = s.join(sizes, cluster_col).withColumn("mean_weight", F.col("sum_w") / F.col("n_samples"))
+    w = Window.partitionBy(cluster_col).orderBy(F.col("mean_weight").desc(), "term")
+    return (s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+            .select(cluster_col, "rank", "term", "mean_weight", "n_samples"))
+
+
+def rank_terms(weights: DataFrame, key: str = "doc_id", n: int = 5) -> DataFrame:
+    """Top ``n`` terms per key by |weight| (ties: term)."""
+    w = Window.partitionBy(key).orderBy(F.abs("weight").desc(), "term")
+    return weights.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
