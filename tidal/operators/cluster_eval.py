@@ -1,0 +1,202 @@
+"""Internal and external clustering metrics without pairwise joins.
+
+Per-cluster sufficient statistics (size n_C, vector sum S_C, sum of squared
+norms Q_C) are one partial aggregation, K x D numbers in total. Every
+point-to-cluster mean squared distance follows from them exactly:
+sum_{y in C} |x - y|^2 = n_C |x|^2 - 2 x.S_C + Q_C, so silhouettes cost
+O(n K) and never emit point pairs. External metrics come from the small
+(cluster x class) contingency table.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import vectors as VX
+
+
+def cluster_stats(points: DataFrame, feat: str, cluster_col: str, dim: int) -> list[dict]:
+    """[{cluster, n, s (sum vector), q (sum of |x|^2)}] — K rows to the driver."""
+    x = F.col(feat)
+    g = points.groupBy(cluster_col).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(x[i]) for i in range(dim)]).alias("s"),
+        F.sum(VX.sq_norm(feat, dim)).alias("q"))
+    return sorted(({"cluster": r[cluster_col], "n": r["n"], "s": list(r["s"]), "q": r["q"]}
+                   for r in g.collect()), key=lambda d: d["cluster"])
+
+
+def mean_sq_dist_to_clusters(points: DataFrame, feat: str, cluster_col: str, stats: list[dict],
+                             dim: int) -> DataFrame:
+    """Adds ``msd``: ARRAY over clusters of the mean squared distance from
+    the point to the other members of that cluster (own cluster excludes
+    the point itself; NULL for a singleton's own cluster)."""
+    xx = VX.sq_norm(feat, dim)
+    items = []
+    for st in stats:
+        total = F.lit(float(st["n"])) * xx - 2 * VX.dot(feat, st["s"]) + F.lit(float(st["q"]))
+        own = F.col(cluster_col) == F.lit(st["cluster"])
+        denom = F.when(own, F.lit(st["n"] - 1)).otherwise(F.lit(st["n"]))
+        items.append(F.when(denom > 0, F.greatest(total, F.lit(0.0)) / denom))
+    return points.withColumn("msd", F.array(*items))
+
+
+def silhouette_samples(points: DataFrame, feat: str, cluster_col: str, dim: int,
+                       stats: list[dict] | None = None) -> DataFrame:
+    """Per-point silhouette (b - a) / max(a, b) with squared Euclidean
+    distances; 0 for members of singleton clusters."""
+    stats = stats or cluster_stats(points, feat, cluster_col, dim)
+    ids = [s["cluster"] for s in stats]
+    p = mean_sq_dist_to_clusters(points, feat, cluster_col, stats, dim)
+    pos = F.array_position(F.array(*[F.lit(i) for i in ids]), F.col(cluster_col)).cast("int")
+    a = F.element_at("msd", pos)
+    others = F.filter(F.arrays_zip(F.col("msd").alias("m"),
+                                   F.array(*[F.lit(i) for i in ids]).alias("c")),
+                      lambda z: z["c"] != F.col(cluster_col))
+    b = F.array_min(F.transform(others, lambda z: z["m"]))
+    s = F.when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    return p.withColumn("a", a).withColumn("b", b).withColumn("silhouette", s).drop("msd")
+
+
+def silhouette_summary(points: DataFrame, feat: str, cluster_col: str, dim: int) -> float:
+    s = silhouette_samples(points, feat, cluster_col, dim)
+    return float(s.agg(F.avg("silhouette")).first()[0])
+
+
+def centroids_from_stats(stats: list[dict]) -> dict:
+    return {s["cluster"]: [v / s["n"] for v in s["s"]] for s in stats}
+
+
+def distance_to_own_centroid(points: DataFrame, feat: str, cluster_col: str, cents: dict) -> DataFrame:
+    """Adds ``sq_dist_own`` (squared distance to the point's cluster mean)."""
+    dim = len(next(iter(cents.values())))
+    e = None
+    for cid, c in cents.items():
+        d = VX.sq_dist(feat, c, dim)
+        e = F.when(F.col(cluster_col) == cid, d) if e is None else e.when(F.col(cluster_col) == cid, d)
+    return points.withColumn("sq_dist_own", e)
+
+
+def inertia(points: DataFrame, feat: str, cluster_col: str, dim: int) -> DataFrame:
+    cents = centroids_from_stats(cluster_stats(points, feat, cluster_col, dim))
+    return distance_to_own_centroid(points, feat, cluster_col, cents).agg(
+        F.sum("sq_dist_own").alias("inertia"))
+
+
+def calinski_harabasz(points: DataFrame, feat: str, cluster_col: str, dim: int) -> DataFrame:
+    """(B/(k-1)) / (W/(n-k)) with cluster means; 1.0 when W = 0."""
+    stats = cluster_stats(points, feat, cluster_col, dim)
+    cents = centroids_from_stats(stats)
+    n = sum(s["n"] for s in stats)
+    k = len(stats)
+    mu = [sum(s["s"][i] for s in stats) / n for i in range(dim)]
+    between = sum(s["n"] * sum((cents[s["cluster"]][i] - mu[i]) ** 2 for i in range(dim)) for s in stats)
+    w = distance_to_own_centroid(points, feat, cluster_col, cents).agg(
+        F.sum("sq_dist_own").alias("W"))
+    return w.select(F.when(F.col("W") == 0, F.lit(1.0)).otherwise(
+        F.lit(between / max(k - 1, 1)) / (F.col("W") / F.lit(float(n - k)))).alias("calinski_harabasz"))
+
+
+def per_cluster_cohesion(points: DataFrame, feat: str, cluster_col: str, cents: dict) -> DataFrame:
+    """(cluster, size, cohesion = mean Euclidean distance to the centroid)."""
+    d = distance_to_own_centroid(points, feat, cluster_col, cents)
+    return d.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("size"),
+                                      F.avg(F.sqrt("sq_dist_own")).alias("cohesion"))
+
+
+def centroid_pairs(cents: dict) -> list[tuple]:
+    """(i, j, distance) for every ordered pair of distinct centroids: K^2
+    numbers computed from the K fitted vectors."""
+    out = []
+    for i, a in cents.items():
+        for j, b in cents.items():
+            if i != j:
+                out.append((i, j, math.sqrt(sum((x - y) ** 2 for x, y in zip(a, b)))))
+    return out
+
+
+def davies_bouldin(points: DataFrame, feat: str, cluster_col: str, dim: int) -> DataFrame:
+    """mean over i of max over j != i of (s_i + s_j) / d_ij."""
+    stats = cluster_stats(points, feat, cluster_col, dim)
+    cents = centroids_from_stats(stats)
+    coh = per_cluster_cohesion(points, feat, cluster_col, cents)
+    pairs = points.sparkSession.createDataFrame(
+        centroid_pairs(cents), f"i int, j int, d double")
+    ci = coh.select(F.col(cluster_col).cast("int").alias("i"), F.col("cohesion").alias("si"))
+    cj = coh.select(F.col(cluster_col).cast("int").alias("j"), F.col("cohesion").alias("sj"))
+    r = pairs.join(ci, "i").join(cj, "j").filter(F.col("d") > 0) \
+        .withColumn("r", (F.col("si") + F.col("sj")) / F.col("d"))
+    return r.groupBy("i").agg(F.max("r").alias("ri")).agg(F.avg("ri").alias("davies_bouldin"))
+
+
+def cluster_quality(points: DataFrame, feat: str, cluster_col: str, dim: int) -> DataFrame:
+    """Per cluster: size, mean silhouette, cohesion, separation (nearest
+    other centroid; +infinity with a single cluster)."""
+    stats = cluster_stats(points, feat, cluster_col, dim)
+    cents = centroids_from_stats(stats)
+    sil = silhouette_samples(points, feat, cluster_col, dim, stats).groupBy(cluster_col).agg(
+        F.avg("silhouette").alias("silhouette_avg"))
+    coh = per_cluster_cohesion(points, feat, cluster_col, cents)
+    sep = {}
+    for i, j, d in centroid_pairs(cents):
+        sep[i] = min(sep.get(i, float("inf")), d)
+    sep_df = points.sparkSession.createDataFrame(
+        [(int(c), float(sep.get(c, float("inf")))) for c in cents], f"{cluster_col} int, separation double")
+    return coh.join(sil, cluster_col).join(sep_df, cluster_col)
+
+
+# --- external metrics from the contingency table ---------------------------------
+
+def contingency(df: DataFrame, pred: str, truth: str) -> DataFrame:
+    """(pred, truth, count, row_share): counts and shares within each predicted cluster."""
+    c = df.groupBy(pred, truth).agg(F.count(F.lit(1)).alias("count"))
+    return c.withColumn("row_share", F.col("count") / F.sum("count").over(Window.partitionBy(pred)))
+
+
+def _comb2(c):
+    return c * (c - 1) / 2.0
+
+
+def external_metrics(df: DataFrame, pred: str, truth: str) -> DataFrame:
+    """ARI, NMI (arithmetic), homogeneity, completeness, V-measure, purity.
+
+    One aggregation over the contingency cells (K x classes rows). Per-cluster
+    and per-class terms f(a_i) are summed over cells as f(a_i) * n_ij / a_i,
+    which adds up to f(a_i) once per cluster."""
+    c = df.groupBy(pred, truth).agg(F.count(F.lit(1)).cast("double").alias("nij"))
+    a = c.groupBy(pred).agg(F.sum("nij").alias("ai"), F.max("nij").alias("mi"))
+    b = c.groupBy(truth).agg(F.sum("nij").alias("bj"))
+    cell = c.join(a, pred).join(b, truth)
+    wa = F.col("nij") / F.col("ai")
+    wb = F.col("nij") / F.col("bj")
+    r = cell.agg(
+        F.sum("nij").alias("n"),
+        F.sum(_comb2(F.col("nij"))).alias("sum_ij"),
+        F.sum(F.col("nij") * F.log(F.col("nij"))).alias("nlogn_ij"),
+        F.sum(F.col("nij") * (F.log(F.col("ai")) + F.log(F.col("bj")))).alias("nlog_ab"),
+        F.sum(_comb2(F.col("ai")) * wa).alias("sum_a"),
+        F.sum(F.col("nij") * F.log(F.col("ai"))).alias("alog"),
+        F.sum(F.col("mi") * wa).alias("sum_max"),
+        F.sum(_comb2(F.col("bj")) * wb).alias("sum_b"),
+        F.sum(F.col("nij") * F.log(F.col("bj"))).alias("blog"),
+        F.count_distinct(pred).alias("n_pred"), F.count_distinct(truth).alias("n_true"))
+    n = F.col("n")
+    expected = F.col("sum_a") * F.col("sum_b") / _comb2(n)
+    mx = (F.col("sum_a") + F.col("sum_b")) / 2
+    ari = F.when(mx == expected, F.lit(1.0)).otherwise((F.col("sum_ij") - expected) / (mx - expected))
+    # entropies (natural log): H = ln n - sum(c ln c) / n
+    h_pred = F.log(n) - F.col("alog") / n
+    h_true = F.log(n) - F.col("blog") / n
+    mi = F.greatest(F.lit(0.0), (F.col("nlogn_ij") - F.col("nlog_ab")) / n + F.log(n))
+    hom = F.when(h_true > 0, mi / h_true).otherwise(F.lit(1.0))
+    com = F.when(h_pred > 0, mi / h_pred).otherwise(F.lit(1.0))
+    v = F.when(hom + com > 0, 2 * hom * com / (hom + com)).otherwise(F.lit(0.0))
+    nmi = F.when((F.col("n_pred") == 1) & (F.col("n_true") == 1), F.lit(1.0)).otherwise(
+        mi / F.greatest((h_true + h_pred) / 2, F.lit(2.220446049250313e-16)))
+    return r.select(ari.alias("adjusted_rand"), nmi.alias("nmi"), hom.alias("homogeneity"),
+                    com.alias("completeness"), v.alias("v_measure"),
+                    (F.col("sum_max") / n).alias("purity"))
