@@ -7,3 +7,4 @@ from . import q_text  # noqa: F401
 from . import q_cluster  # noqa: F401
 from . import q_events  # noqa: F401
 from . import q_pipeline  # noqa: F401
+from . import q_forecast  # noqa: F401
