@@ -8,6 +8,7 @@ distributed KMeans (k-means|| init) on a cached feature frame.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -92,28 +93,50 @@ def _renumber(centers: np.ndarray) -> list:
     return [centers[i].tolist() for i in order]
 
 
+def mean_feature_variance(points: DataFrame, feat: str, dim: int) -> float:
+    x = F.col(feat)
+    r = points.agg(*[F.var_pop(x[i]).alias(f"v{i}") for i in range(dim)]).first()
+    return float(np.mean([r[f"v{i}"] or 0.0 for i in range(dim)]))
+
+
+def relative_tolerance(points: DataFrame, feat: str, k: int, tol: float = 1e-4,
+                       dim: int | None = None) -> float:
+    """Spark's KMeans stops when every centre moves less than ``epsilon``;
+    the reference's rule stops when the summed squared centre shift is below
+    ``tol`` x the mean feature variance. epsilon = sqrt(tol * var / k)
+    guarantees the reference's condition."""
+    dim = dim or len(points.select(feat).first()[0])
+    return max(math.sqrt(tol * mean_feature_variance(points, feat, dim) / k), 1e-12)
+
+
 def kmeans_fit(points: DataFrame, feat: str, k: int, n_init: int = N_INIT, max_iter: int = MAX_ITER,
-               seed: int = SEED, tol: float = 1e-4, sample_fraction: float | None = None) -> KMeansFit:
+               seed: int = SEED, tol: float = 1e-4, sample_fraction: float | None = None,
+               parallelism: int = 4) -> KMeansFit:
     """Best of ``n_init`` Spark ML KMeans runs (k-means|| init, seeds
-    seed..seed+n_init-1) by training cost. ``sample_fraction`` fits on a
+    seed..seed+n_init-1) by training cost; restarts are independent jobs on
+    the same input and run concurrently. ``sample_fraction`` fits on a
     seeded sample (the mini-batch option) but scores on everything."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.clustering import KMeans
     vec = _vectors(points, feat)
     if sample_fraction is not None:
         vec = vec.sample(False, sample_fraction, seed)
-    vec = vec.cache()
-    best = None
-    for s in range(seed, seed + n_init):
-        m = KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=s, tol=tol).fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m, s)
-    vec.unpersist()
-    centers = _renumber(np.array([c.tolist() for c in best[1].clusterCenters()]))
+    eps = relative_tolerance(points, feat, k, tol)
+
+    def one(s):
+        # uncached input: KMeans persists its own vector RDD for the iterations
+        m = KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=s, tol=eps).fit(vec)
+        return m.summary.trainingCost, s, m
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as ex:
+        runs = list(ex.map(one, range(seed, seed + n_init)))
+    cost, best_seed, best = min(runs, key=lambda r: (r[0], r[1]))
+    centers = _renumber(np.array([c.tolist() for c in best.clusterCenters()]))
     a = assign(points, feat, centers)
     st = a.agg(F.sum("sq_distance").alias("inertia"), F.min("distance").alias("lo"),
                F.max("distance").alias("hi")).first()
-    return KMeansFit(centers, float(st["inertia"]), k, best[2], float(st["lo"]), float(st["hi"]))
+    return KMeansFit(centers, float(st["inertia"]), k, best_seed, float(st["lo"]), float(st["hi"]))
 
 
 def anomaly_score(assigned: DataFrame, lo: float, hi: float, distance: str = "distance") -> Column:
@@ -126,18 +149,23 @@ def anomaly_score(assigned: DataFrame, lo: float, hi: float, distance: str = "di
 
 
 def k_search(points: DataFrame, feat: str, k_range=K_RANGE, n_init: int = 1, max_iter: int = MAX_ITER,
-             seed: int = SEED) -> DataFrame:
-    """(k, inertia, silhouette) for every K, fitted on one cached frame;
-    silhouette uses squared Euclidean distances (O(n k), exact)."""
+             seed: int = SEED, parallelism: int = 4) -> DataFrame:
+    """(k, inertia, silhouette) for every K, fitted on one cached frame
+    (fits for different K run as concurrent jobs); silhouette uses squared
+    Euclidean distances from cluster sums (O(n K), exact)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from .cluster_eval import silhouette_summary
     spark = points.sparkSession
     pts = points.select(feat).cache()
-    rows = []
-    for k in range(k_range[0], k_range[1] + 1):
-        fit = kmeans_fit(pts, feat, k, n_init=n_init, max_iter=max_iter, seed=seed)
+
+    def one(k):
+        fit = kmeans_fit(pts, feat, k, n_init=n_init, max_iter=max_iter, seed=seed, parallelism=1)
         a = assign(pts, feat, fit.centers)
-        sil = silhouette_summary(a, feat, "cluster", len(fit.centers[0]))
-        rows.append((k, fit.inertia, sil))
+        return k, fit.inertia, silhouette_summary(a, feat, "cluster", len(fit.centers[0]))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        rows = list(ex.map(one, range(k_range[0], k_range[1] + 1)))
     pts.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
