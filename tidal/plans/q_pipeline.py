@@ -223,3 +223,11 @@ def q_fill_request_time(spark, sf):
     bodies = ST.events_as_requests(T.net_events(spark, sf))
     r = RQ.fill_request_time(RQ.parse_event_requests(bodies, "body"), AS_OF)
     return r.select("event_id", "hour_of_day", "day_of_week")
+
+
+@query("hourly_event_counts_stream")
+def q_hourly_event_counts_stream(spark, sf):
+    """The same hourly windows as a watermarked Structured Streaming job over
+    the table folder (append mode: closed windows only)."""
+    base = _scratch(spark, "hourly")
+    return ST.hourly_event_counts_stream(spark, sf, f"{base}/sink", f"{base}/ckpt")
