@@ -31,15 +31,28 @@ def _level_keys(level: str) -> list[str]:
     return LEVELS[level]
 
 
-def _daily_aggs(target: str = "shipping_weight_kg"):
+def _method_level_aggs(target: str = "shipping_weight_kg"):
+    """First level: per (keys, shipping_method) partial sums and counts."""
     return [
-        F.sum(target).alias(f"total_{target}"),
-        F.avg("request_urgency").alias("mean_urgency"),
-        F.avg("avg_repair_cycle_days").alias("avg_repair_cycle_days"),
-        F.avg("failure_rate_pct").alias("failure_rate_pct"),
-        F.mode("shipping_method", True).alias("shipping_method"),
-        F.max("is_quarter_end").alias("is_quarter_end"),
-        F.count(F.lit(1)).alias("request_count"),
+        F.sum(target).alias("_w"), F.sum("request_urgency").alias("_u"),
+        F.sum("avg_repair_cycle_days").alias("_c"), F.sum("failure_rate_pct").alias("_f"),
+        F.max("is_quarter_end").alias("_q"), F.count(F.lit(1)).alias("_n"),
+    ]
+
+
+def _series_level_aggs():
+    """Second level over <= 3 method rows per group: totals, means, and the
+    most frequent method (smallest name on ties) via ``min_by`` — all
+    declarative aggregates (codegen), no object-hash ``mode`` buffer."""
+    n = F.sum("_n")
+    return [
+        F.sum("_w").alias("total_shipping_weight_kg"),
+        (F.sum("_u") / n).alias("mean_urgency"),
+        (F.sum("_c") / n).alias("avg_repair_cycle_days"),
+        (F.sum("_f") / n).alias("failure_rate_pct"),
+        F.min_by("shipping_method", F.struct(-F.col("_n"), F.col("shipping_method"))).alias("shipping_method"),
+        F.max("_q").alias("is_quarter_end"),
+        n.alias("request_count"),
     ]
 
 
@@ -62,23 +75,31 @@ def _finish_daily(df: DataFrame, keys: list[str]) -> DataFrame:
 def daily_aggregate(shipments: DataFrame, level: str = "region") -> DataFrame:
     """Group records by (date[, region][, sku]): sum of weight, mean urgency
     bucketed half-even to 1..3, mean cycle and failure rate, most frequent
-    method (smallest on ties), calendar columns, row count."""
+    method (smallest on ties), calendar columns, row count.
+
+    Two levels: (date, keys, method) partial aggregates first (map-side
+    combined, so a hot day ships one row per method per task), then the
+    per-series row from <= 3 method rows."""
     require_columns(shipments, ["date", "shipping_weight_kg", "request_urgency",
                                 "shipping_method"], "daily_aggregate")
     keys = _level_keys(level)
-    agg = shipments.groupBy("date", *keys).agg(*_daily_aggs())
+    per_method = shipments.groupBy("date", *keys, "shipping_method").agg(*_method_level_aggs())
+    agg = per_method.groupBy("date", *keys).agg(*_series_level_aggs())
     return _finish_daily(agg, keys)
 
 
 def daily_all_levels(shipments: DataFrame) -> DataFrame:
     """All four levels in one scan with GROUPING SETS; ``level`` names the set."""
-    sets = [[F.col("date")], [F.col("date"), F.col("region")],
-            [F.col("date"), F.col("sku_category")],
-            [F.col("date"), F.col("region"), F.col("sku_category")]]
-    agg = (shipments.groupingSets(sets, "date", "region", "sku_category")
-           .agg(*_daily_aggs(), F.grouping_id().alias("gid")))
-    level = (F.when(F.col("gid") == 3, "all").when(F.col("gid") == 1, "region")
-             .when(F.col("gid") == 2, "sku").otherwise("region_sku"))
+    sets = [[F.col("date"), F.col("shipping_method")],
+            [F.col("date"), F.col("region"), F.col("shipping_method")],
+            [F.col("date"), F.col("sku_category"), F.col("shipping_method")],
+            [F.col("date"), F.col("region"), F.col("sku_category"), F.col("shipping_method")]]
+    per_method = (shipments.groupingSets(sets, "date", "region", "sku_category", "shipping_method")
+                  .agg(*_method_level_aggs(), F.grouping_id().alias("gid")))
+    agg = per_method.groupBy("gid", "date", "region", "sku_category").agg(*_series_level_aggs())
+    # gid bits: date, region, sku_category, shipping_method (method always grouped)
+    level = (F.when(F.col("gid") == 6, "all").when(F.col("gid") == 2, "region")
+             .when(F.col("gid") == 4, "sku").otherwise("region_sku"))
     agg = (agg.withColumn("level", level)
            .withColumn("region", F.coalesce("region", F.lit("ALL")))
            .withColumn("sku_category", F.coalesce("sku_category", F.lit("ALL"))))

@@ -110,17 +110,23 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
 
 
 def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson matrix in long form (a, b, corr) from one pass of moments;
-    NULL when either column is constant (no ANSI divide-by-zero)."""
-    aggs = []
-    for a, b in itertools.product(cols, cols):
-        aggs.append(F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-                    .alias(f"{a}__{b}"))
-    wide = df.agg(*aggs)
+    """Pearson matrix in long form (a, b, corr); NULL when either column is
+    constant (no ANSI divide-by-zero).
+
+    Two passes of plain sums (codegen-friendly, numerically stable): the
+    means, then centred cross products for each unordered pair."""
+    x = {c: F.col(c).cast("double") for c in cols}
+    m = df.agg(*[F.avg(x[c]).alias(c) for c in cols]).first()
+    d = {c: x[c] - F.lit(m[c] if m[c] is not None else 0.0) for c in cols}
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    sums = df.agg(*[F.sum(d[a] * d[b]).alias(f"{a}__{b}") for a, b in pairs])
+    def s(a, b):
+        return F.col(f"{a}__{b}") if cols.index(a) <= cols.index(b) else F.col(f"{b}__{a}")
     arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                             F.col(f"{a}__{b}").alias("corr"))
+                             F.when((s(a, a) > 0) & (s(b, b) > 0),
+                                    s(a, b) / F.sqrt(s(a, a) * s(b, b))).alias("corr"))
                     for a, b in itertools.product(cols, cols)])
-    return wide.select(F.inline(arr))
+    return sums.select(F.inline(arr))
 
 
 def mean_by(df: DataFrame, key: str, value: str) -> DataFrame:

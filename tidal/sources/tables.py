@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
+from ..session import bounded_broadcast
+
+# Largest dimension (rows, 2-3 narrow columns) that may be broadcast: ~tens of MB.
+DIM_ROWS = 2_000_000
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -72,24 +76,33 @@ def read_events(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record-level shipments over lineitem/orders/part/supplier/nation/region.
 
-    Join order puts the tiny dimension chain (region <- nation <- supplier)
-    first so it can be broadcast by AQE, then part, then the big
-    lineitem x orders equi-join, which shuffles on the order key.
+    lineitem is always the streamed side. Each dimension (the supplier ->
+    nation -> region chain, part, orders) is broadcast only when its table
+    is proven small (on-disk size, then a limited row count); at scale
+    orders fails the check and lineitem x orders becomes a shuffle join on
+    the order key.
     """
     t = lambda n: read_table(spark, sf_dir, n)
+
+    def dim(df: DataFrame, table: str) -> DataFrame:
+        path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+        return bounded_broadcast(df, DIM_ROWS, f"{path}:{','.join(df.columns)}", path)
+
+    nation = dim(t("nation").select("n_nationkey", "n_regionkey"), "nation")
+    region = dim(t("region").select("r_regionkey", "r_name"), "region")
     geo = (t("supplier").select("s_suppkey", "s_nationkey")
-           .join(t("nation").select("n_nationkey", "n_regionkey"),
-                 F.col("s_nationkey") == F.col("n_nationkey"))
-           .join(t("region").select("r_regionkey", "r_name"),
-                 F.col("n_regionkey") == F.col("r_regionkey"))
+           .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+           .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
            .select("s_suppkey", "r_name"))
+    geo = dim(geo, "supplier")  # at most one row per supplier
+    part = dim(t("part").select("p_partkey", "p_type", "p_size"), "part")
+    orders = dim(t("orders").select("o_orderkey", "o_orderpriority"), "orders")
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                               "l_discount", "l_returnflag", "l_shipdate")
+    # lineitem is always the streamed side; a dimension beyond DIM_ROWS is shuffled
     joined = (li.join(geo, F.col("l_suppkey") == F.col("s_suppkey"))
-              .join(t("part").select("p_partkey", "p_type", "p_size"),
-                    F.col("l_partkey") == F.col("p_partkey"))
-              .join(t("orders").select("o_orderkey", "o_orderpriority"),
-                    F.col("l_orderkey") == F.col("o_orderkey")))
+              .join(part, F.col("l_partkey") == F.col("p_partkey"))
+              .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
     d = F.col("l_shipdate").cast("date")
     return joined.select(
         d.alias("date"),
