@@ -34,8 +34,10 @@ def initial_centroids_lowest_id(points: DataFrame, id_col: str, feat: str, k: in
 def assign(points: DataFrame, feat: str, centers: list, cluster_col: str = "cluster") -> DataFrame:
     """Nearest centroid (first on ties) + squared and plain distance to it."""
     d = VX.distances(feat, centers)
+    # non-nullable id (-1 only for rows without features): joins on the id
+    # then infer no IS NOT NULL filter that would re-run the distances
     return (points.withColumn("_d", d)
-            .withColumn(cluster_col, VX.argmin("_d"))
+            .withColumn(cluster_col, F.coalesce(VX.argmin("_d"), F.lit(-1)))
             .withColumn("sq_distance", F.array_min("_d"))
             .withColumn("distance", F.sqrt("sq_distance")).drop("_d"))
 

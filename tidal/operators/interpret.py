@@ -24,16 +24,25 @@ def _cluster_ids(spark, k: int, cluster_col: str) -> DataFrame:
 
 
 def _profile(events: DataFrame, cluster_col: str) -> DataFrame:
-    sev = (events.groupBy(cluster_col, "severity").agg(F.count(F.lit(1)).alias("c"))
-           .withColumn("share", F.col("c") / F.sum("c").over(Window.partitionBy(cluster_col))))
-    top_sev = sev.groupBy(cluster_col).agg(
-        F.min_by(F.struct("severity", "share"), F.struct(-F.col("c"), F.col("severity"))).alias("top"))
-    stats = events.groupBy(cluster_col).agg(
-        F.count(F.lit(1)).alias("count"), F.avg("duration_ms").alias("avg_duration_ms"),
-        F.avg("bytes_transferred").alias("avg_bytes"), F.avg("hour_of_day").alias("avg_hour"),
-        F.mode("severity", True).alias("dominant_severity"),
-        F.mode("protocol", True).alias("dominant_protocol"))
-    return stats.join(top_sev, cluster_col)
+    """Per cluster: size, mean duration/bytes/hour, most frequent severity
+    and protocol (smallest on ties) and the top severity's share.
+
+    One pass over the events pre-aggregates (cluster, severity, protocol);
+    everything after works on those few rows."""
+    base = events.groupBy(cluster_col, "severity", "protocol").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("duration_ms").alias("sd"),
+        F.sum("bytes_transferred").alias("sb"), F.sum("hour_of_day").alias("sh"))
+    stats = base.groupBy(cluster_col).agg(
+        F.sum("n").alias("count"), (F.sum("sd") / F.sum("n")).alias("avg_duration_ms"),
+        (F.sum("sb") / F.sum("n")).alias("avg_bytes"), (F.sum("sh") / F.sum("n")).alias("avg_hour"))
+    sev = base.groupBy(cluster_col, "severity").agg(F.sum("n").alias("c")).groupBy(cluster_col).agg(
+        F.min_by("severity", F.struct(-F.col("c"), F.col("severity"))).alias("dominant_severity"),
+        (F.max("c") / F.sum("c")).alias("top_share"))
+    proto = base.groupBy(cluster_col, "protocol").agg(F.sum("n").alias("c")).groupBy(cluster_col).agg(
+        F.min_by("protocol", F.struct(-F.col("c"), F.col("protocol"))).alias("dominant_protocol"))
+    return stats.join(sev, cluster_col).join(proto, cluster_col) \
+        .withColumn("top", F.struct(F.col("dominant_severity").alias("severity"),
+                                    F.col("top_share").alias("share")))
 
 
 def _label_expr() -> F.Column:
