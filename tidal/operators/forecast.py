@@ -71,7 +71,7 @@ def _direct_inputs(version: str, lags: int, series: list[str]) -> list[str]:
 
 
 def fit_direct_forecaster(train: DataFrame, series: list[str], version: str = "v3",
-                          lags: int = S.HISTORY, horizon: int = S.HORIZON):
+                          lags: int = S.HISTORY, horizon: int = S.HORIZON, parallelism: int = 4):
     """7 LinearRegression fits (one per step) on one cached frame; series
     keys one-hot encoded for v2/v3. Returns (pipeline stages, models)."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -91,11 +91,16 @@ def fit_direct_forecaster(train: DataFrame, series: list[str], version: str = "v
     for p in prep:
         data = p.transform(data)
     data = asm.transform(data).cache()
-    models = {}
-    for h in range(1, horizon + 1):
+
+    def fit(h):
         lr = LinearRegression(featuresCol="x", labelCol=f"y_h{h}", regParam=v["reg"],
                               elasticNetParam=0.0, solver="normal")
-        models[h] = lr.fit(data.filter(F.col(f"y_h{h}").isNotNull()))
+        return h, lr.fit(data.filter(F.col(f"y_h{h}").isNotNull()))
+
+    # the per-step models are independent one-pass jobs on one cached frame
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        models = dict(ex.map(fit, range(1, horizon + 1)))
     data.unpersist()
     return prep + [asm], models
 

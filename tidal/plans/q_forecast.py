@@ -44,11 +44,15 @@ def _direct(spark, sf):
     def build():
         rs, (c1, _c2) = region_series(spark, sf)
         frame = FC.direct_frame(rs, SER, "y", "ds").cache()
+        frame.count()  # materialise once before the concurrent fits read it
         train = frame.filter((F.col("split") == "train") & (F.date_add("ds", S.HORIZON) < F.lit(c1))
                              & F.col(f"lag_{S.HISTORY - 1}").isNotNull())
         test = frame.filter((F.col("split") == "test") & F.col(f"y_h{S.HORIZON}").isNotNull()
                             & F.col(f"lag_{S.HISTORY - 1}").isNotNull())
-        fits = {v: FC.fit_direct_forecaster(train, SER, v) for v in FC.DIRECT_VERSIONS}
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=3) as ex:  # independent versions, concurrent jobs
+            fits = dict(ex.map(lambda v: (v, FC.fit_direct_forecaster(train, SER, v, parallelism=2)),
+                               list(FC.DIRECT_VERSIONS)))
         return frame, train, test, fits
     return _memo(("direct", id(spark), sf), build)
 
