@@ -240,16 +240,65 @@ _ext_query("homogeneity_completeness_v", ["homogeneity", "completeness", "v_meas
 _ext_query("cluster_purity", ["purity"])
 
 
-@query("cluster_eval_report", f"""{EXT}
-SELECT metric, round(value, 6) AS value FROM ext
-UNPIVOT (value FOR metric IN (adjusted_rand, nmi, homogeneity, completeness, v_measure, purity))""")
+def _tail(sql: str, base: str) -> str:
+    """The CTEs a twin adds after ``base`` (without the leading comma)."""
+    assert sql.startswith(base)
+    return sql[len(base):].lstrip().lstrip(",")
+
+
+_REPORT_SQL = ",\n".join([
+    PAIRS,
+    _tail(CENTS, BASE),
+    _tail(_CPAIRS, CENTS),
+    """mu AS (SELECT list(v ORDER BY i) AS mm FROM (SELECT i, avg(x[i]) AS v FROM asg, range(1, 65) t(i) GROUP BY i)),
+bt AS (SELECT sum(cnt * list_sum(list_transform(range(1, 65), lambda i: (c[i] - mm[i]) * (c[i] - mm[i])))) AS bb
+       FROM cent JOIN (SELECT cluster, count(*) AS cnt FROM asg GROUP BY cluster) s USING (cluster), mu),
+wt AS (SELECT sum(d2) AS ww, count(*) AS nn FROM own),
+kk AS (SELECT count(DISTINCT cluster) AS k FROM asg),
+rr AS (SELECT i, max((ci.cohesion + cj.cohesion) / d) AS ri FROM cp
+       JOIN coh ci ON ci.cluster = cp.i JOIN coh cj ON cj.cluster = cp.j WHERE d > 0 GROUP BY i)""",
+    _tail(EXT, BASE),
+])
+
+
+@query("cluster_eval_report", _REPORT_SQL + """
+SELECT 'inertia' AS metric, round(sum(d2), 6) AS value FROM own
+UNION ALL SELECT 'silhouette', round(avg(silhouette), 6) FROM sil
+UNION ALL SELECT 'calinski_harabasz', round(CASE WHEN ww = 0 THEN 1.0 ELSE (bb / (k - 1)) / (ww / (nn - k)) END, 6)
+          FROM bt, wt, kk
+UNION ALL SELECT 'davies_bouldin', round(avg(ri), 6) FROM rr
+UNION ALL SELECT metric, round(value, 6) FROM ext
+  UNPIVOT (value FOR metric IN (adjusted_rand, nmi, homogeneity, completeness, v_measure, purity))""")
 def q_cluster_eval_report(spark, sf):
-    """All external metrics as one tidy (metric, value) table."""
-    e = _ext(spark, sf)
+    """Internal (inertia, squared-distance silhouette, Calinski-Harabasz,
+    Davies-Bouldin) and external (ARI, NMI, homogeneity, completeness,
+    V-measure, purity) metrics as one tidy (metric, value) table."""
+    _, _, a = _assigned(spark, sf)
+    a = a.cache()
+    internal = [("inertia", CE.inertia(a, "x", "cluster", DIM).first()[0]),
+                ("silhouette", CE.silhouette_summary(a, "x", "cluster", DIM)),
+                ("calinski_harabasz", CE.calinski_harabasz(a, "x", "cluster", DIM).first()[0]),
+                ("davies_bouldin", CE.davies_bouldin(a, "x", "cluster", DIM).first()[0])]
+    e = CE.external_metrics(a, "cluster", "label")
     cols = ["adjusted_rand", "nmi", "homogeneity", "completeness", "v_measure", "purity"]
-    long = e.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
-                                       for c in cols])))
-    return _rnd(long, ["value"])
+    ext = e.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
+                                      for c in cols])))
+    intern = spark.createDataFrame([(m, float(v)) for m, v in internal], "metric string, value double")
+    return _rnd(intern.unionByName(ext), ["value"])
+
+
+@query("kmeans_fit_embeddings")
+def q_kmeans_fit_embeddings(spark, sf):
+    """k-means with K = 10 (best of 10 k-means|| starts) on the embeddings,
+    scored against the true labels (ARI, NMI, V-measure, purity) and by
+    inertia and squared-distance silhouette."""
+    p = _points(spark, sf).cache()
+    fit = CL.kmeans_fit(p, "x", K)
+    a = CL.assign(p, "x", fit.centers).cache()
+    e = CE.external_metrics(a, "cluster", "label")
+    return e.select("*", F.lit(fit.inertia).alias("inertia"),
+                    F.lit(CE.silhouette_summary(a, "x", "cluster", DIM)).alias("silhouette"),
+                    F.lit(K).alias("k"))
 
 
 @query("anomaly_score", f"""{BASE},
