@@ -132,26 +132,53 @@ class LsaModel:
             np.zeros_like(self.explained_variance)
 
 
-def _sparse_rows(weights: DataFrame, n_features: int):
-    """Per-document sparse vectors for MLlib's RowMatrix (the distributed
-    Gramian lives there); built with a JVM-side vector assembly per doc."""
-    from pyspark.mllib.linalg import Vectors as MV
-    grouped = weights.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("e"))
-    return grouped.select("e").rdd.map(
-        lambda r: MV.sparse(n_features, [x[0] for x in r[0]], [x[1] for x in r[0]]))
+def gramian(weights: DataFrame, n_features: int) -> np.ndarray:
+    """X^T X of the (doc x term) TF-IDF matrix, V x V.
+
+    Documents are grouped (one row each, at most V entries); every Arrow
+    batch of whole documents becomes a dense block whose X^T X is one BLAS
+    call; each partition emits its upper triangle once and Spark ML's
+    Summarizer sums those vectors (partial aggregation). Only the V x V
+    result (bounded by the vocabulary) reaches the driver."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = n_features
+    iu = np.triu_indices(v)
+    docs = weights.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("e")).select(
+        F.transform("e", lambda x: x["term_index"]).alias("idx"),
+        F.transform("e", lambda x: x["weight"]).alias("w"))
+
+    def partial(batches):
+        import pandas as pd
+        g = np.zeros((v, v))
+        seen = False
+        for pdf in batches:
+            lens = pdf["idx"].map(len).to_numpy()
+            if lens.sum() == 0:
+                continue
+            rows = np.repeat(np.arange(len(pdf)), lens)
+            block = np.zeros((len(pdf), v))
+            block[rows, np.concatenate(pdf["idx"].to_numpy()).astype(int)] = np.concatenate(
+                pdf["w"].to_numpy())
+            g += block.T @ block
+            seen = True
+        if seen:
+            yield pd.DataFrame({"g": [g[iu]]})
+
+    parts = docs.mapInPandas(partial, "g array<double>")
+    total = parts.select(array_to_vector("g").alias("g")).agg(Summarizer.sum(F.col("g")).alias("s"))
+    flat = np.array(total.select(vector_to_array("s")).first()[0])
+    out = np.zeros((v, v))
+    out[iu] = flat
+    return out + np.triu(out, 1).T
 
 
 def fit_lsa(weights: DataFrame, n_features: int, n_docs: int, k: int = N_COMPONENTS) -> LsaModel:
-    """Truncated SVD of the (uncentred) TF-IDF matrix.
-
-    One distributed pass builds the V x V Gramian (RowMatrix, tree
-    aggregation of per-partition BLAS updates); its top-k eigenvectors are
-    the right singular vectors. Sign rule: the largest-|loading| entry of
-    each component is positive."""
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    rows = _sparse_rows(weights, n_features)
-    g = RowMatrix(rows).computeGramianMatrix().toArray()
+    """Truncated SVD of the (uncentred) TF-IDF matrix: the top-k
+    eigenvectors of the distributed Gramian are the right singular vectors.
+    Sign rule: the largest-|loading| entry of each component is positive."""
+    g = gramian(weights, n_features)
     evals, evecs = np.linalg.eigh(g)
     order = np.argsort(evals)[::-1][:k]
     comps = evecs[:, order].T.copy()
