@@ -37,7 +37,7 @@ def region_series(spark, sf):
         dense = dense.fillna(0.0, ["failure_rate_pct", "avg_urgency"])
         cuts = S.split_cut_dates(dense, "ds")
         return dense.withColumn("split", S.split_label("ds", cuts)).cache(), cuts
-    return _memo(("series", id(spark), sf), build)
+    return _memo(("series", spark.sparkContext.applicationId, sf), build)
 
 
 def _direct(spark, sf):
@@ -54,7 +54,7 @@ def _direct(spark, sf):
             fits = dict(ex.map(lambda v: (v, FC.fit_direct_forecaster(train, SER, v, parallelism=2)),
                                list(FC.DIRECT_VERSIONS)))
         return frame, train, test, fits
-    return _memo(("direct", id(spark), sf), build)
+    return _memo(("direct", spark.sparkContext.applicationId, sf), build)
 
 
 def _direct_preds(spark, sf):
@@ -95,7 +95,7 @@ def _seasonal(spark, sf):
         rs, _ = region_series(spark, sf)
         train = rs.filter(F.col("split") == "train")
         return {v: FC.fit_seasonal(train, SER, v).cache() for v in FC.VERSIONS}
-    return _memo(("seasonal", id(spark), sf), build)
+    return _memo(("seasonal", spark.sparkContext.applicationId, sf), build)
 
 
 def _seasonal_preds(spark, sf, split: str = "test"):

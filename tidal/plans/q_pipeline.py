@@ -33,11 +33,11 @@ def _fitted(spark, sf):
         ev = T.net_events(spark, sf)
         model, curve = fit_event_clustering(ev)
         return model, curve
-    return _memo(("fit", id(spark), sf), run)
+    return _memo(("fit", spark.sparkContext.applicationId, sf), run)
 
 
 def _features(spark, sf):
-    return _memo(("feat", id(spark), sf),
+    return _memo(("feat", spark.sparkContext.applicationId, sf),
                  lambda: event_features_for_fit(T.net_events(spark, sf))[1]
                  .select("event_id", "features").cache())
 

@@ -102,7 +102,7 @@ def bounded_broadcast(df: DataFrame, bound: int, key: str | None = None,
     no scan), and a limited count shows at most ``bound`` rows. Otherwise
     it is returned unhinted and Spark shuffles it. ``key`` memoises the
     decision per session."""
-    memo = (id(df.sparkSession), key, bound) if key else None
+    memo = (df.sparkSession.sparkContext.applicationId, key, bound) if key else None
     if memo is not None and memo in _BOUND_CHECKS:
         small = _BOUND_CHECKS[memo]
     else:
