@@ -113,7 +113,7 @@ def relative_tolerance(points: DataFrame, feat: str, k: int, tol: float = 1e-4,
 
 def kmeans_fit(points: DataFrame, feat: str, k: int, n_init: int = N_INIT, max_iter: int = MAX_ITER,
                seed: int = SEED, tol: float = 1e-4, sample_fraction: float | None = None,
-               parallelism: int = 4) -> KMeansFit:
+               parallelism: int = 8) -> KMeansFit:
     """Best of ``n_init`` Spark ML KMeans runs (k-means|| init, seeds
     seed..seed+n_init-1) by training cost; restarts are independent jobs on
     the same input and run concurrently. ``sample_fraction`` fits on a
@@ -151,7 +151,7 @@ def anomaly_score(assigned: DataFrame, lo: float, hi: float, distance: str = "di
 
 
 def k_search(points: DataFrame, feat: str, k_range=K_RANGE, n_init: int = 1, max_iter: int = MAX_ITER,
-             seed: int = SEED, parallelism: int = 4) -> DataFrame:
+             seed: int = SEED, parallelism: int = 8) -> DataFrame:
     """(k, inertia, silhouette) for every K, fitted on one cached frame
     (fits for different K run as concurrent jobs); silhouette uses squared
     Euclidean distances from cluster sums (O(n K), exact)."""
