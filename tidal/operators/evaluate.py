@@ -52,6 +52,20 @@ def mape_nonzero(df: DataFrame, by: list[str] = ("model",), y: str = "y",
                     .otherwise(F.lit(float("inf"))).alias("mape_nonzero"))
 
 
+def validation_report(df: DataFrame, by: list[str] = ("model",), y: str = "y",
+                      yhat: str = "yhat") -> DataFrame:
+    """mae, mse, rmse and MAPE over non-zero actuals (+inf when none) in one
+    aggregation."""
+    e = _err(y, yhat)
+    nz = F.col(y) != 0
+    g = df.groupBy(*by).agg(
+        F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
+        F.avg(F.when(nz, F.abs((F.col(y) - F.col(yhat)) / F.col(y)))).alias("_m"),
+        F.count(F.when(nz, 1)).alias("_n"))
+    return g.select(*by, "mae", "mse", F.sqrt("mse").alias("rmse"),
+                    F.when(F.col("_n") > 0, F.col("_m") * 100).otherwise(F.lit(float("inf"))).alias("mape"))
+
+
 def huber_loss(df: DataFrame, by: list[str] = ("model",), y: str = "y", yhat: str = "yhat",
                delta: float = 1.0) -> DataFrame:
     ae = F.abs(_err(y, yhat))

@@ -211,10 +211,15 @@ def join_future_regressors(future: DataFrame, regressors: DataFrame, series: lis
     keep = [c for c in cols if c in regressors.columns]
     out = future.join(regressors.select(*series, "ds", *keep), [*series, "ds"], "left")
     if fill_means is not None:
-        m = fill_means.select(*series, *[F.col(c).alias(f"_m_{c}") for c in keep])
-        out = out.join(m, list(series), "left") if series else out.join(m, how="left")
-        for c in keep:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_m_{c}"))).drop(f"_m_{c}")
+        if series:  # one mean row per series: equi-join on the series key
+            m = fill_means.select(*series, *[F.col(c).alias(f"_m_{c}") for c in keep])
+            out = out.join(m, list(series), "left")
+            for c in keep:
+                out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_m_{c}"))).drop(f"_m_{c}")
+        else:  # a single global series: its one mean row becomes literals
+            r = fill_means.first()
+            for c in keep:
+                out = out.withColumn(c, F.coalesce(F.col(c), F.lit(r[c])))
     return out
 
 

@@ -217,10 +217,7 @@ SELECT round(avg(abs(yhat - y)), 6) AS mae, round(avg((yhat - y) * (yhat - y)),
 FROM vp""")
 def q_validation_report(spark, sf):
     _, vp = _val_preds(spark, sf)
-    vp = vp.withColumn("model", F.lit("baseline"))
-    m = V.regression_metrics(vp).select("model", "mae", "mse", "rmse")
-    mp = V.mape_nonzero(vp).select("model", F.col("mape_nonzero").alias("mape"))
-    return _rnd(m.join(mp, "model").drop("model"), ["mae", "mse", "rmse", "mape"])
+    return _rnd(V.validation_report(vp, []), ["mae", "mse", "rmse", "mape"])
 
 
 @query("forecast_band", f"""{_VAL_SQL},
