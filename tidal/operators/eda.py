@@ -86,15 +86,19 @@ def histogram(df: DataFrame, col, bins: int = 50, bounds=None) -> DataFrame:
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), "count")
 
 
-def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: str, exact: bool = True,
+              accuracy: int = 100000) -> DataFrame:
     """Quartiles (linear interpolation), 1.5 IQR whiskers at the most extreme
     points inside the fences, outlier count, per group.
 
-    Pass 1: exact percentiles per group (buffer = distinct values per group;
-    use ``percentile_approx`` for continuous measures at scale). Pass 2:
+    Pass 1: percentiles per group. Exact (``percentile``) keeps one count
+    per distinct value per group: right for bounded domains; pass
+    ``exact=False`` (``percentile_approx``) for continuous measures at scale.
+    Pass 2:
     quartiles joined back by group key (one row per group) to find whiskers."""
-    q = df.groupBy(by).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("q"),
-                           F.count(F.lit(1)).alias("n"))
+    pct = (F.percentile(value, [0.25, 0.5, 0.75]) if exact
+           else F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy))
+    q = df.groupBy(by).agg(pct.cast("array<double>").alias("q"), F.count(F.lit(1)).alias("n"))
     q = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
