@@ -57,3 +57,21 @@ def test_unseen_category_gets_zero(spark):
     new = spark.createDataFrame([("b",), ("zzz",)], "c string")
     got = {r["c"]: r["c_code"] for r in FE.encode_unseen_zero(new, codes, "c").collect()}
     assert got == {"b": 1, "zzz": 0}
+
+
+def test_gramian_equals_brute_force(spark):
+    from collections import defaultdict
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    m = X.fit_tfidf(docs, "doc_id", "text")
+    w = m.transform(docs, "doc_id", "text").cache()
+    v = m.vocab.count()
+    g = X.gramian(w, v)
+    by = defaultdict(list)
+    for r in w.select("doc_id", "term_index", "weight").collect():
+        by[r[0]].append((r[1], r[2]))
+    brute = np.zeros((v, v))
+    for ents in by.values():
+        for i, a in ents:
+            for j, b in ents:
+                brute[i, j] += a * b
+    assert np.abs(brute - g).max() < 1e-12

@@ -135,9 +135,10 @@ class LsaModel:
 def gramian(weights: DataFrame, n_features: int) -> np.ndarray:
     """X^T X of the (doc x term) TF-IDF matrix, V x V.
 
-    Documents are grouped (one row each, at most V entries); every Arrow
-    batch of whole documents becomes a dense block whose X^T X is one BLAS
-    call; each partition emits its upper triangle once and Spark ML's
+    Documents are grouped (one row each, at most V entries). Per Arrow batch
+    of whole documents: short documents add their outer products directly
+    (cost = sum of squared term counts), long ones form a dense block whose
+    X^T X is one BLAS call. Each partition emits its upper triangle once and Spark ML's
     Summarizer sums those vectors (partial aggregation). Only the V x V
     result (bounded by the vocabulary) reaches the driver."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -157,11 +158,23 @@ def gramian(weights: DataFrame, n_features: int) -> np.ndarray:
             lens = pdf["idx"].map(len).to_numpy()
             if lens.sum() == 0:
                 continue
-            rows = np.repeat(np.arange(len(pdf)), lens)
-            block = np.zeros((len(pdf), v))
-            block[rows, np.concatenate(pdf["idx"].to_numpy()).astype(int)] = np.concatenate(
-                pdf["w"].to_numpy())
-            g += block.T @ block
+            idx = pdf["idx"].to_numpy()
+            w = pdf["w"].to_numpy()
+            if int((lens.astype(np.int64) ** 2).sum()) <= len(pdf) * v:
+                # short documents: sum each document's outer product directly
+                for k in np.unique(lens[lens > 0]):
+                    sel = np.flatnonzero(lens == k)
+                    ii = np.stack(idx[sel]).astype(np.int64)          # (n_k, k)
+                    ww = np.stack(w[sel])
+                    keys = (ii[:, :, None] * v + ii[:, None, :]).ravel()
+                    vals = (ww[:, :, None] * ww[:, None, :]).ravel()
+                    g += np.bincount(keys, vals, minlength=v * v).reshape(v, v)
+            else:
+                # long documents: one dense block per batch, X^T X by BLAS
+                rows = np.repeat(np.arange(len(pdf)), lens)
+                block = np.zeros((len(pdf), v))
+                block[rows, np.concatenate(idx).astype(int)] = np.concatenate(w)
+                g += block.T @ block
             seen = True
         if seen:
             yield pd.DataFrame({"g": [g[iu]]})
