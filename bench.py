@@ -29,7 +29,7 @@ HEADLINE = [
     # clustering and metrics
     "nearest_centroid", "silhouette", "cluster_eval_report", "cluster_summary",
     "hourly_event_counts",
-    # fitted pipelines
+    # fitted models
     "classify_events", "cross_family_table", "backtest",
 ]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidal.operators import forecast as FC
-from tidal.plans.pipelines import EventClusteringModel, fit_event_clustering
+from tidal.plans.event_model import EventClusteringModel, fit_event_clustering
 from tidal.sources import tables as T
 from tidal.streaming import events as ST
 

@@ -15,7 +15,7 @@ from ..sources import requests as RQ
 from ..sources import sinks
 from ..sources import tables as T
 from ..streaming import events as ST
-from .pipelines import EventClusteringModel, event_features_for_fit, fit_event_clustering
+from .event_model import EventClusteringModel, event_features_for_fit, fit_event_clustering
 from .registry import NET_EVENTS_CTE, SHIPMENTS_CTE, query, with_ctes
 
 _MEMO: dict = {}
