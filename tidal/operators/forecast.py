@@ -201,6 +201,8 @@ def fit_seasonal(frame: DataFrame, series: list[str], version: str = "v1",
                  multiplicative: bool = True, fold_col: str | None = None) -> DataFrame:
     """One coefficient row per series (and per fold when ``fold_col`` is
     given). Input: (series..., ds, y, regressors...) training rows."""
+    from ..session import ship_package
+    ship_package(frame.sparkSession)
     regs = VERSIONS[version]["regressors"]
     key = F.concat_ws("|", *[F.col(s).cast("string") for s in series]) if series else F.lit("ALL")
     fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)

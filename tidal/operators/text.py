@@ -143,6 +143,9 @@ def gramian(weights: DataFrame, n_features: int) -> np.ndarray:
     result (bounded by the vocabulary) reaches the driver."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
+
+    from ..session import ship_package
+    ship_package(weights.sparkSession)
     v = n_features
     iu = np.triu_indices(v)
     docs = weights.groupBy("doc_id").agg(

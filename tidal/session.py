@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # let AQE coalesce partitions inside cached plans (fitted frames are cached)
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -116,6 +119,31 @@ def bounded_broadcast(df: DataFrame, bound: int, key: str | None = None,
     return F.broadcast(df) if small else df
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidal`` importable in executor Python workers (what
+    ``--py-files`` does): zip the package once per application and add it
+    with ``addPyFile``. Needed by the pandas-UDF operators (per-series
+    seasonal fit, Gramian blocks), whose functions are pickled by module
+    reference. The zip is staged in a fresh driver folder only to hand it to
+    Spark's file distribution."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tidal-pkg-"), "tidal.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def require_columns(df: DataFrame, cols, op: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
