@@ -104,3 +104,28 @@ def test_r2_null_on_constant_actuals_and_zero_baseline(spark):
     assert all(r["r2"] is None for r in met.collect())
     cmp = {r["model"]: r for r in V.compare_models(met, "baseline").collect()}
     assert cmp["m"]["mae_improvement_pct"] is None  # baseline mae is 0
+
+
+def test_csv_reader_keeps_na_region(spark, tmp_path):
+    p = tmp_path / "ship.csv"
+    p.write_text("date,region,sku_category,shipping_weight_kg,request_urgency,shipping_method,"
+                 "avg_repair_cycle_days,failure_rate_pct,day_of_week,month,is_quarter_end\n"
+                 "2024-01-01,NA,CPU,3.5,2,express,5.0,0.5,0,1,0\n"
+                 "2024-01-01,EMEA,GPU,1.0,1,ground,4.0,0.2,0,1,0\n")
+    from tidal.sources.tables import read_shipments
+    df = read_shipments(spark, str(p))
+    assert sorted(r["region"] for r in df.collect()) == ["EMEA", "NA"]
+    d = A.daily_aggregate(df, "region")
+    assert {r["region"] for r in d.collect()} == {"NA", "EMEA"}
+
+
+def test_all_levels_equal_single_levels(spark):
+    from tidal.sources.tables import shipments
+    sh = shipments(spark, "/root/testdata/sf0.001").cache()
+    allv = A.daily_all_levels(sh).cache()
+    for level in A.LEVELS:
+        one = A.daily_aggregate(sh, level).select("date", "region", "sku_category",
+                                                  "total_shipping_weight_kg", "request_count",
+                                                  "shipping_method", "request_urgency")
+        two = allv.filter(F.col("level") == level).select(*one.columns)
+        assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
