@@ -31,6 +31,17 @@ _DEFAULTS = {
 }
 
 
+def _default_heap() -> str:
+    """Half the machine's memory, at most 8 GB (local mode: the driver JVM
+    is the whole cluster)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    mb = max(1024, min(8192, int(total / 2 / (1024 * 1024))))
+    return f"{mb}m"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tidal") -> SparkSession:
     """Local session for tests and the benchmark (UI off, UTC, AQE on)."""
@@ -44,7 +55,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.default.parallelism", str(parts))
-        .config("spark.driver.memory", os.environ.get("TIDAL_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("TIDAL_DRIVER_MEMORY", _default_heap()))
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
     )
     for k, v in _DEFAULTS.items():
