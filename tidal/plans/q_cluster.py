@@ -230,6 +230,7 @@ def _ext_query(name, cols):
     sql = f"{EXT} SELECT {', '.join(f'round({c}, 6) AS {c}' for c in cols)} FROM ext"
 
     def fn(spark, sf):
+        """External metric(s) from the cluster x label contingency table."""
         return _rnd(_ext(spark, sf).select(*cols), cols)
     query(name, sql)(fn)
 

@@ -69,6 +69,7 @@ FROM net_events GROUP BY {col}"""
 
 def _vc(col):
     def fn(spark, sf):
+        """Count and percent of events per value."""
         return EDA.value_counts_pct(_ev(spark, sf), col).withColumn("pct", F.round("pct", 9))
     return fn
 

@@ -48,6 +48,8 @@ FROM agg a JOIN m ON {kj}"""
 
 def _daily(level):
     def fn(spark, sf):
+        """Daily aggregate at this level: sum of weight, bucketed mean urgency,
+        mean cycle and failure rate, most frequent method, calendar, row count."""
         d = A.daily_aggregate(T.shipments(spark, sf), level)
         return d.withColumn("failure_rate_pct", F.round("failure_rate_pct", 6))
     return fn
@@ -351,6 +353,7 @@ FROM x, b GROUP BY 1, 2, 3"""
 
 def _hist(expr_fn):
     def fn(spark, sf):
+        """50 equal-width bins over [min, max] of the shipment weight (last bin closed)."""
         from ..operators.eda import histogram
         h = histogram(T.shipments(spark, sf), expr_fn(), 50)
         return h.withColumn("lower", F.round("lower", 9)).withColumn("upper", F.round("upper", 9))
@@ -378,6 +381,7 @@ GROUP BY f.{by}, n, q1, median, q3, iqr"""
 
 def _box(by):
     def fn(spark, sf):
+        """Weight quartiles, 1.5 IQR whiskers and outlier count per group."""
         from ..operators.eda import box_stats
         return box_stats(T.shipments(spark, sf), "shipping_weight_kg", by)
     return fn
@@ -436,6 +440,7 @@ SELECT {key}, round(mean, 6) AS mean, n, round(avg(mean) OVER (), 6) AS mean_of_
 
 def _season(key):
     def fn(spark, sf):
+        """Mean shipment weight per calendar key and the mean of those means."""
         from ..operators.eda import mean_by
         m = mean_by(T.shipments(spark, sf), key, "shipping_weight_kg")
         return m.withColumn("mean", F.round("mean", 6)).withColumn(

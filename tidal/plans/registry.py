@@ -22,6 +22,8 @@ def query(name: str, sql: str | None = None, headline: bool = False):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
+        if getattr(fn, "__name__", "") in ("fn", "<lambda>"):
+            fn.__name__ = f"q_{name}"
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
