@@ -134,7 +134,7 @@ def sequence_windows(df: DataFrame, series: list[str], target: str,
     out = out.filter((F.size("history") == history) & (F.size("target") == horizon)
                      & (((F.col("_rn") - history) % stride) == 0))
     return out.select(*series, F.col(date_col).alias("origin_date"),
-                      (F.col("_rn") - history).alias("sample_index"),
+                      (F.col("_rn") - history).cast("long").alias("sample_index"),
                       "history", "target", "target_dates")
 
 
