@@ -69,6 +69,7 @@ own AS (SELECT asg.vec_id, asg.cluster, asg.x, {SQDIST} AS d2 FROM asg JOIN cent
 @query("nearest_centroid", f"""{BASE}
 SELECT vec_id, cluster, round(sqrt(sq_distance), 6) AS distance FROM asg""")
 def q_nearest_centroid(spark, sf):
+    """Nearest of the K start centroids and the distance to it."""
     _, _, a = _assigned(spark, sf)
     return a.select("vec_id", "cluster", F.round("distance", 6).alias("distance"))
 
@@ -76,6 +77,7 @@ def q_nearest_centroid(spark, sf):
 @query("centroid_distances", f"""{BASE}
 SELECT vec_id, cid AS cluster, round(sqrt(d), 6) AS distance FROM dist""")
 def q_centroid_distances(spark, sf):
+    """Distance of every vector to every centroid, long form."""
     p, centers, _ = _assigned(spark, sf)
     return _rnd(CL.centroid_distances(p, "vec_id", "x", centers), ["distance"])
 
@@ -91,6 +93,7 @@ def q_lloyd_step(spark, sf):
 
 @query("cluster_sizes", f"{BASE} SELECT cluster, count(*) AS count FROM asg GROUP BY cluster")
 def q_cluster_sizes(spark, sf):
+    """Points per assigned cluster."""
     _, _, a = _assigned(spark, sf)
     return a.groupBy("cluster").agg(F.count(F.lit(1)).alias("count"))
 
@@ -106,6 +109,7 @@ def q_cluster_centroids(spark, sf):
 
 @query("inertia", f"{CENTS} SELECT round(sum(d2), 6) AS inertia FROM own")
 def q_inertia(spark, sf):
+    """Sum of squared distances to the cluster means."""
     _, _, a = _assigned(spark, sf)
     return _rnd(CE.inertia(a, "x", "cluster", DIM), ["inertia"])
 
@@ -127,6 +131,7 @@ def q_pairwise_silhouette(spark, sf):
 @query("silhouette", f"""{PAIRS}
 SELECT vec_id, cluster, round(a, 6) AS a, round(b, 6) AS b, round(silhouette, 6) AS silhouette FROM sil""")
 def q_silhouette(spark, sf):
+    """Per-point squared-distance silhouette with a and b."""
     _, _, a = _assigned(spark, sf)
     s = CE.silhouette_samples(a, "x", "cluster", DIM)
     return _rnd(s.select("vec_id", "cluster", "a", "b", "silhouette"), ["a", "b", "silhouette"])
@@ -141,6 +146,7 @@ kk AS (SELECT count(DISTINCT cluster) AS k FROM asg)
 SELECT round(CASE WHEN W = 0 THEN 1.0 ELSE (B / (k - 1)) / (W / (n - k)) END, 6) AS calinski_harabasz
 FROM bt, wt, kk""")
 def q_calinski_harabasz(spark, sf):
+    """Calinski-Harabasz index of the assignment."""
     _, _, a = _assigned(spark, sf)
     return _rnd(CE.calinski_harabasz(a, "x", "cluster", DIM), ["calinski_harabasz"])
 
@@ -154,6 +160,7 @@ coh AS (SELECT cluster, count(*) AS size, avg(sqrt(d2)) AS cohesion FROM own GRO
 
 @query("centroid_pairs", f"{_CPAIRS} SELECT i, j, round(d, 6) AS distance FROM cp")
 def q_centroid_pairs(spark, sf):
+    """Distances between all pairs of distinct cluster means."""
     _, _, a = _assigned(spark, sf)
     cents = CE.centroids_from_stats(CE.cluster_stats(a, "x", "cluster", DIM))
     return _rnd(spark.createDataFrame(CE.centroid_pairs(cents), "i int, j int, distance double"),
@@ -165,6 +172,7 @@ r AS (SELECT i, max((ci.cohesion + cj.cohesion) / d) AS ri FROM cp
       JOIN coh ci ON ci.cluster = cp.i JOIN coh cj ON cj.cluster = cp.j WHERE d > 0 GROUP BY i)
 SELECT round(avg(ri), 6) AS davies_bouldin FROM r""")
 def q_davies_bouldin(spark, sf):
+    """Davies-Bouldin index of the assignment."""
     _, _, a = _assigned(spark, sf)
     return _rnd(CE.davies_bouldin(a, "x", "cluster", DIM), ["davies_bouldin"])
 
@@ -183,6 +191,7 @@ SELECT coh.cluster, size, round(cohesion, 6) AS cohesion, round(silhouette_avg,
        round(coalesce(separation, CAST('Infinity' AS DOUBLE)), 6) AS separation
 FROM coh JOIN sil USING (cluster) LEFT JOIN sep USING (cluster)""")
 def q_cluster_quality(spark, sf):
+    """Per cluster: size, cohesion, mean silhouette, separation."""
     _, _, a = _assigned(spark, sf)
     q = CE.cluster_quality(a, "x", "cluster", DIM)
     return _rnd(q, ["cohesion", "silhouette_avg", "separation"])
@@ -193,6 +202,7 @@ SELECT cluster, label, count(*) AS count,
        round(count(*) / sum(count(*)) OVER (PARTITION BY cluster), 6) AS row_share
 FROM asg GROUP BY cluster, label""")
 def q_contingency(spark, sf):
+    """Cluster x label counts and row shares."""
     _, _, a = _assigned(spark, sf)
     return _rnd(CE.contingency(a, "cluster", "label"), ["row_share"])
 
@@ -310,6 +320,7 @@ SELECT vec_id, cluster, round(CASE WHEN hi > lo THEN least(1.0, greatest(0.0, (s
          AS is_anomalous
 FROM asg, bd""")
 def q_anomaly_score(spark, sf):
+    """Min-max scaled distance to the assigned centroid and the 0.7 flag."""
     from ..functions.columns import flag_anomalous
     _, _, a = _assigned(spark, sf)
     b = a.agg(F.min("distance").alias("lo"), F.max("distance").alias("hi")).first()
@@ -366,11 +377,13 @@ def _curve(spark, sf):
 
 @query("k_curve", f"{CURVE} SELECT k, round(inertia, 6) AS inertia, round(silhouette, 6) AS silhouette FROM cv")
 def q_k_curve(spark, sf):
+    """Inertia and silhouette for K = 3..10 from deterministic starts."""
     return _rnd(_curve(spark, sf), ["inertia", "silhouette"])
 
 
 @query("elbow_point", f"{CURVE} SELECT elbow_k FROM el")
 def q_elbow_point(spark, sf):
+    """K farthest from the normalised inertia chord."""
     return CL.elbow_point(_curve(spark, sf))
 
 
@@ -386,6 +399,7 @@ SELECT elbow_k, best_silhouette_k,
        CASE WHEN best_sil > elbow_sil + 0.05 THEN 'silhouette' ELSE 'elbow' END AS reason
 FROM el, bs, es""")
 def q_select_k(spark, sf):
+    """Elbow K unless the best-silhouette K beats it by more than 0.05."""
     return CL.select_k(_curve(spark, sf))
 
 

@@ -92,6 +92,7 @@ met AS (SELECT model, avg(abs(yhat - y)) AS mae, avg((yhat - y) * (yhat - y)) AS
 
 @query("union_predictions", f"{TEST_PREDS} SELECT model, ds, y, round(yhat, 6) AS yhat FROM preds")
 def q_union_predictions(spark, sf):
+    """Predictions of both baselines stacked with a model column."""
     return test_preds(spark, sf).withColumn("yhat", F.round("yhat", 6))
 
 
@@ -99,6 +100,7 @@ def q_union_predictions(spark, sf):
 SELECT model, {", ".join(f"round({c}, 6) AS {c}" for c in _METRIC_COLS)}, n FROM met""",
        headline=True)
 def q_regression_metrics(spark, sf):
+    """mae, mse, rmse, mape_eps, r2, max_error, median_ae per baseline model."""
     return _rnd(V.regression_metrics(test_preds(spark, sf)), _METRIC_COLS)
 
 
@@ -110,6 +112,7 @@ SELECT model, round(mae, 6) AS mae, round(mse, 6) AS mse, round(rmse, 6) AS rmse
        CASE WHEN model <> 'baseline' AND brmse > 0 THEN round((brmse - rmse) / brmse * 100, 2) END AS rmse_improvement_pct
 FROM met, b""")
 def q_compare_models(spark, sf):
+    """Metrics and percent improvement over the baseline."""
     m = V.regression_metrics(test_preds(spark, sf)).select("model", "mae", "mse", "rmse")
     return _rnd(V.compare_models(m, "baseline"), ["mae", "mse", "rmse"])
 
@@ -133,6 +136,7 @@ def q_relative_improvement(spark, sf):
 @query("best_model", f"""{METRICS_SQL}
 SELECT arg_min(model, (mae, model)) AS best_model, round(min(mae), 6) AS best_mae FROM met""")
 def q_best_model(spark, sf):
+    """Lowest-MAE model."""
     b = V.best_model(V.regression_metrics(test_preds(spark, sf)))
     return b.withColumn("best_mae", F.round("best_mae", 6))
 
@@ -143,6 +147,7 @@ SELECT model, CASE WHEN count(CASE WHEN y <> 0 THEN 1 END) > 0
                    ELSE CAST('Infinity' AS DOUBLE) END AS mape_nonzero
 FROM preds GROUP BY model""")
 def q_mape_nonzero(spark, sf):
+    """MAPE over non-zero actuals per baseline model."""
     return _rnd(V.mape_nonzero(test_preds(spark, sf)), ["mape_nonzero"])
 
 
@@ -152,6 +157,7 @@ SELECT model, round(avg(CASE WHEN abs(yhat - y) <= 1 THEN 0.5 * (yhat - y) * (yh
        round(avg(abs(yhat - y)), 6) AS mae, round(avg((yhat - y) * (yhat - y)), 6) AS mse
 FROM hp GROUP BY model""")
 def q_huber_loss(spark, sf):
+    """Huber (delta 1), MAE and MSE over 7-step forecasts."""
     return _rnd(V.huber_loss(horizon_preds(spark, sf)), ["huber", "mae", "mse"])
 
 
@@ -159,12 +165,14 @@ def q_huber_loss(spark, sf):
 SELECT model, h, round(avg(abs(yhat - y)), 6) AS mae, round(sqrt(avg((yhat - y) * (yhat - y))), 6) AS rmse
 FROM hp GROUP BY model, h""")
 def q_per_horizon_metrics(spark, sf):
+    """MAE and RMSE per forecast step."""
     return _rnd(V.per_horizon_metrics(horizon_preds(spark, sf)), ["mae", "rmse"])
 
 
 @query("per_sample_mae", f"""{HORIZON_PREDS}
 SELECT model, origin, round(avg(abs(yhat - y)), 6) AS mae FROM hp GROUP BY model, origin""")
 def q_per_sample_mae(spark, sf):
+    """MAE per forecast origin."""
     return _rnd(V.per_sample_mae(horizon_preds(spark, sf), ["model", "origin"]), ["mae"])
 
 
@@ -190,6 +198,7 @@ SELECT CAST(unnest(range({len(_GRID)})) AS INTEGER) AS i,
        round(unnest([{", ".join(repr(z) for _, z in _GRID)}]) * sd, 6) AS reference_q
 FROM q""")
 def q_error_quantiles(spark, sf):
+    """Empirical error quantiles beside exact normal quantiles."""
     hp = horizon_preds(spark, sf).filter("model = 'baseline'")
     q = V.error_quantiles(hp, m=len(_GRID))
     return q.select(F.col("i").cast("int").alias("i"), "p", F.round("normal_q", 9).alias("normal_q"),
@@ -225,6 +234,7 @@ lv2 AS (SELECT arg_max(y, ds) AS pv2 FROM sp WHERE split = 'train')
 SELECT ds, y, pv2 AS yhat, round(pv2 - 1.96 * val_mae, 6) AS lower, round(pv2 + 1.96 * val_mae, 6) AS upper
 FROM sp, lv2, vm WHERE split = 'test'""")
 def q_forecast_band(spark, sf):
+    """Baseline forecast with a +-1.96 x validation-MAE band."""
     sp, vp = _val_preds(spark, sf)
     mae = vp.agg(F.avg(F.abs(F.col("yhat") - F.col("y")))).first()[0]
     te = S.persistence_forecast(sp.filter("split = 'train'"), sp.filter("split = 'test'"), [], "y", "ds")
@@ -241,6 +251,7 @@ SELECT round(avg(CAST(y >= lower AND y <= upper AS DOUBLE)) * 100, 6) AS coverag
        CAST(sum(CAST(NOT (y >= lower AND y <= upper) AS BIGINT)) AS BIGINT) AS n_outside
 FROM b""")
 def q_interval_coverage(spark, sf):
+    """Share of test actuals inside the band."""
     sp, vp = _val_preds(spark, sf)
     mae = vp.agg(F.avg(F.abs(F.col("yhat") - F.col("y")))).first()[0]
     te = S.persistence_forecast(sp.filter("split = 'train'"), sp.filter("split = 'test'"), [], "y", "ds")

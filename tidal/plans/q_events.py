@@ -32,6 +32,7 @@ def _ev(spark, sf):
 
 @query("read_events", f"{NE} SELECT * FROM net_events")
 def q_read_events(spark, sf):
+    """Record-level network-event view derived from `events`."""
     return _ev(spark, sf)
 
 
@@ -39,6 +40,7 @@ def q_read_events(spark, sf):
 SELECT event_id, hour_of_day, day_of_week, CAST(month("timestamp") AS INTEGER) AS month,
        CAST(day("timestamp") AS INTEGER) AS day_of_month FROM net_events""")
 def q_calendar_features(spark, sf):
+    """Hour, weekday (Monday = 0), month and day of month per event."""
     e = _ev(spark, sf)
     return e.select("event_id", F.hour("timestamp").alias("hour_of_day"),
                     C.weekday0("timestamp").alias("day_of_week"), F.month("timestamp").alias("month"),
@@ -49,6 +51,7 @@ def q_calendar_features(spark, sf):
 SELECT event_id, round(ln(1 + duration_ms), 9) AS duration_ms_log1p,
        round(ln(1 + bytes_transferred), 9) AS bytes_transferred_log1p FROM net_events""")
 def q_log1p_features(spark, sf):
+    """log(1 + x) of duration and bytes."""
     e = FE.log1p_features(_ev(spark, sf))
     return _rnd(e.select("event_id", "duration_ms_log1p", "bytes_transferred_log1p"),
                 ["duration_ms_log1p", "bytes_transferred_log1p"], 9)
@@ -58,6 +61,7 @@ def q_log1p_features(spark, sf):
 SELECT event_id, severity, CASE severity WHEN 'info' THEN 0 WHEN 'warning' THEN 1 WHEN 'error' THEN 2
                                          WHEN 'critical' THEN 3 END AS severity_code FROM net_events""")
 def q_severity_code(spark, sf):
+    """Severity name to code 0..3."""
     return _ev(spark, sf).select("event_id", "severity", C.severity_code("severity").alias("severity_code"))
 
 
@@ -83,6 +87,7 @@ query("value_counts_true_cluster", _vc_sql("true_cluster"))(_vc("true_cluster"))
 @query("top_ports", f"""{NE}
 SELECT port, count(*) AS count FROM net_events GROUP BY port ORDER BY count DESC, port LIMIT 20""")
 def q_top_ports(spark, sf):
+    """20 most frequent ports."""
     return EDA.top_values(_ev(spark, sf), "port", 20)
 
 
@@ -91,6 +96,7 @@ SELECT count(*) AS rows, min("timestamp") AS first, max("timestamp") AS last,
        count(DISTINCT source_ip) AS distinct_source_ip, count(DISTINCT dest_ip) AS distinct_dest_ip
 FROM net_events""")
 def q_events_profile(spark, sf):
+    """Rows, time range and distinct source / destination IPs."""
     return EDA.dataset_profile(_ev(spark, sf), "timestamp", ["source_ip", "dest_ip"])
 
 
@@ -117,6 +123,7 @@ def q_box_stats(spark, sf):
 g AS (SELECT day_of_week, avg(duration_ms) AS mean, count(*) AS n FROM net_events GROUP BY day_of_week)
 SELECT day_of_week, round(mean, 6) AS mean, n, round(avg(mean) OVER (), 6) AS mean_of_means FROM g""")
 def q_seasonal_profile(spark, sf):
+    """Mean duration per weekday and the mean of those means."""
     m = EDA.mean_by(_ev(spark, sf), "day_of_week", "duration_ms")
     return _rnd(m, ["mean", "mean_of_means"])
 
@@ -204,6 +211,7 @@ def _event_clusters(spark, sf):
 @query("standard_scale", f"""{SCALED}
 SELECT event_id, {", ".join(f"round(x[{i + 1}], 6) AS {c}_scaled" for i, c in enumerate(_SCALE_COLS))} FROM z""")
 def q_standard_scale(spark, sf):
+    """Population-std scaling of the five event numerics."""
     z, _ = _scaled(spark, sf)
     cols = [f"{c}_scaled" for c in _SCALE_COLS]
     return _rnd(z.select("event_id", *cols), cols)
@@ -217,6 +225,7 @@ SELECT event_id, round((duration_ms - a0) / CASE WHEN z0 > a0 THEN z0 - a0 ELSE
        round((p - a2) / CASE WHEN z2 > a2 THEN z2 - a2 ELSE 1 END, 9) AS port_minmax
 FROM f, m""")
 def q_minmax_scale(spark, sf):
+    """Min-max scaling of duration, bytes and port."""
     cols = ["duration_ms", "bytes_transferred", "port"]
     e = _ev(spark, sf)
     out = FE.fit_minmax(e, cols).transform(e)
@@ -238,6 +247,7 @@ SELECT ids.cluster, CASE WHEN lab.j IS NULL THEN 'Empty cluster' WHEN lab.j = ''
          AS interpretation
 FROM ids LEFT JOIN lab USING (cluster)""")
 def q_cluster_label_rules(spark, sf):
+    """Rule labels per cluster of the deterministic K = 6 assignment."""
     return IN.cluster_label_rules(_event_clusters(spark, sf), KE)
 
 
@@ -262,6 +272,7 @@ SELECT cluster AS cluster_id, count, round(count * 100.0 / sum(count) OVER (), 6
        proto AS dominant_protocol, CASE WHEN j = '' THEN 'General traffic' ELSE j END AS interpretation
 FROM lab""")
 def q_cluster_summary(spark, sf):
+    """Per-cluster count, share, means, dominant severity/protocol, label."""
     s = IN.cluster_summary(_event_clusters(spark, sf))
     return _rnd(s, ["pct_of_total", "avg_duration_ms", "avg_bytes"])
 
@@ -270,6 +281,7 @@ def q_cluster_summary(spark, sf):
 SELECT event_id, asg.cluster, CASE WHEN j = '' THEN 'General traffic' ELSE j END AS interpretation
 FROM asg JOIN lab ON asg.cluster = lab.cluster""")
 def q_interpretation_join(spark, sf):
+    """Cluster label joined to every event."""
     a = _event_clusters(spark, sf)
     labels = IN.cluster_label_rules(a, None)
     return a.select("event_id", "cluster").join(F.broadcast(labels), "cluster")  # K label rows
@@ -290,6 +302,7 @@ def q_label_or_default(spark, sf):
 @query("flag_anomalous", f"""{EV_ASG}
 SELECT event_id, cluster, round(anomaly_score, 6) AS anomaly_score, anomaly_score > 0.7 AS is_anomalous FROM sc""")
 def q_flag_anomalous(spark, sf):
+    """Anomaly score per event and the 0.7 flag."""
     a = _event_clusters(spark, sf)
     return a.select("event_id", "cluster", F.round("anomaly_score", 6).alias("anomaly_score"),
                     C.flag_anomalous("anomaly_score").alias("is_anomalous"))
@@ -326,6 +339,7 @@ def q_label_codes(spark, sf):
 
 @query("vocab_sizes", f"{_SP} SELECT feature, count(*) AS n_classes FROM codes GROUP BY feature")
 def q_vocab_sizes(spark, sf):
+    """Number of classes per categorical feature."""
     _, model = _codes(spark, sf)
     rows = [(c, len(lbl)) for c, lbl in zip(_CATS, model.labelsArray)]
     return spark.createDataFrame(rows, "feature string, n_classes long")
@@ -335,6 +349,7 @@ def q_vocab_sizes(spark, sf):
 SELECT date, s.region, {", ".join(f"c{i}.code AS {c}_code" for i, c in enumerate(_CATS))}
 FROM shipments s {" ".join(f"JOIN codes c{i} ON c{i}.feature = '{c}' AND c{i}.value = CAST(s.{c} AS VARCHAR)" for i, c in enumerate(_CATS))}""")
 def q_encode_lookup(spark, sf):
+    """Code lookup for every shipment's categorical features."""
     sh, model = _codes(spark, sf)
     out = FE.apply_codes(sh.select("date", *_CATS), model, _CATS)
     return out.select("date", "region", *[f"{c}_code" for c in _CATS])

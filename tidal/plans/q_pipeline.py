@@ -83,6 +83,7 @@ def q_kmeans_minibatch(spark, sf):
 
 @query("kmeans_predict")
 def q_kmeans_predict(spark, sf):
+    """Cluster and distance per event from the fitted pipeline."""
     model, _ = _fitted(spark, sf)
     return CL.assign(model.features(T.net_events(spark, sf)), "features", model.centers) \
         .select("event_id", "cluster", "distance")
@@ -90,6 +91,7 @@ def q_kmeans_predict(spark, sf):
 
 @query("cluster_centers")
 def q_cluster_centers(spark, sf):
+    """Fitted centroids, long form with feature names."""
     model, _ = _fitted(spark, sf)
     names = model.feature_names
     rows = [(i, names[j], float(v)) for i, c in enumerate(model.centers) for j, v in enumerate(c)]
@@ -98,6 +100,7 @@ def q_cluster_centers(spark, sf):
 
 @query("classify_events")
 def q_classify_events(spark, sf):
+    """Full fitted pipeline: cluster, label, score, flag, version."""
     model, _ = _fitted(spark, sf)
     return model.classify(T.net_events(spark, sf)).select(
         "event_id", "cluster", "interpretation", "anomaly_score", "is_anomalous", "model_version")

@@ -51,6 +51,7 @@ SELECT date, region, y,
        CASE WHEN date < c1 THEN 'train' WHEN date < c2 THEN 'val' ELSE 'test' END AS split
 FROM rd, cuts""")
 def q_temporal_split(spark, sf):
+    """70/15/15 split label cut on distinct dates."""
     rd = T.shipments(spark, sf).groupBy("date", "region").agg(
         F.sum("shipping_weight_kg").alias("y"))
     return S.temporal_split(rd, "date")
@@ -71,6 +72,7 @@ w AS (
 )
 SELECT * FROM w WHERE n_hist = 30 AND n_target = 7""")
 def q_sequence_windows(spark, sf):
+    """30-row histories and 7-row targets per region, summarised per sample."""
     sw = S.sequence_windows(_region_daily(spark, sf), ["region"], "y", ["failure_rate_pct"])
     add = lambda a, b: a + b
     return sw.select(
@@ -93,6 +95,7 @@ _LAGS = 30
 SELECT date, region, y, {", ".join(f"lag(y, {k}) OVER w AS lag_{k}" for k in range(1, _LAGS + 1))}
 FROM rd WINDOW w AS (PARTITION BY region ORDER BY date)""")
 def q_lag_features(spark, sf):
+    """Lags 1..30 of the daily weight per region."""
     rd = _region_daily(spark, sf).select("date", "region", "y")
     return S.lag_features(rd, ["region"], "y", lags=_LAGS)
 
@@ -101,6 +104,7 @@ def q_lag_features(spark, sf):
 SELECT round(avg(failure_rate_pct), 6) AS failure_rate_pct, round(avg(avg_urgency), 6) AS avg_urgency
 FROM (SELECT * FROM sp WHERE split = 'train' ORDER BY ds DESC LIMIT 30)""")
 def q_recent_mean(spark, sf):
+    """Mean regressors over the last 30 training days."""
     tr = _pf_split(spark, sf).filter("split = 'train'")
     m = S.recent_mean(tr, [], ["failure_rate_pct", "avg_urgency"], "ds", 30)
     return m.select(F.round("failure_rate_pct", 6).alias("failure_rate_pct"),
@@ -111,6 +115,7 @@ def q_recent_mean(spark, sf):
 last AS (SELECT arg_max(y, ds) AS last_value FROM sp WHERE split = 'train')
 SELECT ds, y, last_value AS yhat FROM sp, last WHERE split = 'test'""")
 def q_persistence_forecast(spark, sf):
+    """Last training value repeated over the test dates."""
     sp = _pf_split(spark, sf)
     p = S.persistence_forecast(sp.filter("split = 'train'"), sp.filter("split = 'test'"),
                                [], "y", "ds")
@@ -209,6 +214,7 @@ def q_fill_regressor_mean(spark, sf):
 @query("tail_periods", f"""{PF_SPLIT}
 SELECT ds, y FROM sp WHERE ds > (SELECT max(ds) FROM sp WHERE split = 'train')""")
 def q_tail_periods(spark, sf):
+    """Rows after the last training date."""
     sp = _pf_split(spark, sf)
     last = sp.filter("split = 'train'").agg(F.max("ds")).first()[0]
     return sp.filter(F.col("ds") > F.lit(last)).select("ds", "y")
@@ -218,6 +224,7 @@ def q_tail_periods(spark, sf):
 SELECT ds, y, split FROM sp WHERE split = 'train'
 UNION ALL SELECT ds, y, split FROM sp WHERE split = 'test'""")
 def q_union_splits(spark, sf):
+    """Training and test rows stacked."""
     sp = _pf_split(spark, sf).select("ds", "y", "split")
     return sp.filter("split = 'train'").unionByName(sp.filter("split = 'test'"))
 

@@ -85,6 +85,7 @@ def q_rolling_mean(spark, sf):
 
 @query("read_shipments", f"{SH} SELECT * FROM shipments")
 def q_read_shipments(spark, sf):
+    """Record-level shipments view over the six TPC-H-like tables."""
     return T.shipments(spark, sf)
 
 
@@ -92,6 +93,7 @@ def q_read_shipments(spark, sf):
 SELECT date, region, sku_category, request_urgency, shipping_method,
        avg_repair_cycle_days, failure_rate_pct, day_of_week, month FROM shipments""")
 def q_select_features(spark, sf):
+    """Categorical and numeric feature columns of the shipments."""
     return T.shipments(spark, sf).select("date", *A.CATEGORICAL_FEATURES, *A.NUMERIC_FEATURES)
 
 
@@ -112,6 +114,7 @@ def q_rename_target(spark, sf):
 SELECT date, 'ALL' AS region, 'ALL' AS sku_category,
        sum(shipping_weight_kg) AS total_shipping_weight_kg FROM shipments GROUP BY date""")
 def q_fill_level_all(spark, sf):
+    """Date-level aggregate with region and SKU filled as 'ALL'."""
     return A.daily_aggregate(T.shipments(spark, sf), "all").select(
         "date", "region", "sku_category", "total_shipping_weight_kg")
 
@@ -122,6 +125,7 @@ SELECT date, region, avg(request_urgency) AS mean_urgency,
          AS request_urgency
 FROM shipments GROUP BY date, region""")
 def q_urgency_bucket(spark, sf):
+    """Mean urgency per (date, region) and its half-even bucket in 1..3."""
     from ..functions.columns import urgency_bucket
     return (T.shipments(spark, sf).groupBy("date", "region")
             .agg(F.avg("request_urgency").alias("mean_urgency"))
@@ -138,6 +142,7 @@ SELECT date,
          AS is_quarter_end
 FROM d""")
 def q_eom_eoq_flags(spark, sf):
+    """Last-3-days-of-month and quarter-end flags per shipping date."""
     from ..functions.columns import is_eom, is_quarter_end
     d = T.shipments(spark, sf).select("date").distinct()
     return d.select("date", is_eom("date").alias("is_eom"),
@@ -149,6 +154,7 @@ SELECT date, CAST(day(date) >= 28 OR (month(date) IN (3, 6, 9, 12)
                   AND day(date) >= day(last_day(date)) - 2) AS DOUBLE) AS is_month_end
 FROM d""")
 def q_month_end_regressor(spark, sf):
+    """Month-end regressor (day >= 28 or quarter end) per date."""
     from ..functions.columns import month_end_regressor
     d = T.shipments(spark, sf).select("date").distinct()
     return d.select("date", month_end_regressor("date").alias("is_month_end"))
@@ -160,6 +166,7 @@ SELECT date, round(datediff('day', (SELECT min(date) FROM d), date)
          AS trend_position
 FROM d""")
 def q_trend_position(spark, sf):
+    """Elapsed share of the date span per date."""
     d = T.shipments(spark, sf).select("date").distinct()
     lo, hi = S.date_bounds(d)
     span = max((hi - lo).days, 1)
@@ -188,6 +195,7 @@ r AS (SELECT DISTINCT region FROM d)
 SELECT cal.date, r.region, coalesce(d.y, 0) AS y, d.y IS NULL AS filled
 FROM cal CROSS JOIN r LEFT JOIN d ON d.date = cal.date AND d.region = r.region""")
 def q_densify_series(spark, sf):
+    """Every (date, region) of the calendar; gap days get y = 0."""
     d = T.shipments(spark, sf).groupBy("date", "region").agg(
         F.sum("shipping_weight_kg").alias("y"))
     out = S.densify_series(d.withColumn("filled", F.lit(False)), ["region"], "date",
@@ -231,6 +239,7 @@ SELECT CASE a.gid WHEN 3 THEN 'all' WHEN 1 THEN 'region' WHEN 2 THEN 'sku' ELSE
 FROM agg a JOIN m ON a.date = m.date AND a.gid = m.gid
   AND a.region IS NOT DISTINCT FROM m.region AND a.sku_category IS NOT DISTINCT FROM m.sku_category""")
 def q_daily_all_levels(spark, sf):
+    """All four aggregation levels in one GROUPING SETS pass."""
     d = A.daily_all_levels(T.shipments(spark, sf))
     return d.withColumn("failure_rate_pct", F.round("failure_rate_pct", 6))
 
@@ -241,6 +250,7 @@ SELECT date AS ds, sum(shipping_weight_kg) AS y,
        round(avg(failure_rate_pct), 6) AS failure_rate_pct, avg(request_urgency) AS avg_urgency
 FROM shipments GROUP BY date""")
 def q_prophet_frame(spark, sf):
+    """Global daily frame ds, y and the three regressors."""
     p = A.prophet_frame(T.shipments(spark, sf))
     return p.withColumn("failure_rate_pct", F.round("failure_rate_pct", 6))
 
@@ -251,6 +261,7 @@ SELECT region, shipping_method AS mode_method FROM (
   SELECT *, row_number() OVER (PARTITION BY region ORDER BY c DESC, shipping_method) AS rn FROM mc)
 WHERE rn = 1""")
 def q_mode_per_group(spark, sf):
+    """Most frequent shipping method per region (smallest on ties)."""
     return T.shipments(spark, sf).groupBy("region").agg(
         F.mode("shipping_method", True).alias("mode_method"))
 
@@ -270,6 +281,7 @@ def q_first_per_group(spark, sf):
 
 @query("rows_per_day", f"{SH} SELECT date, count(*) AS request_count FROM shipments GROUP BY date")
 def q_rows_per_day(spark, sf):
+    """Shipment count per date."""
     return T.shipments(spark, sf).groupBy("date").agg(F.count(F.lit(1)).alias("request_count"))
 
 
@@ -296,6 +308,7 @@ SELECT region, sum(shipping_weight_kg) AS total,
        round(sum(shipping_weight_kg) * 100.0 / sum(sum(shipping_weight_kg)) OVER (), 9) AS pct
 FROM shipments GROUP BY region""")
 def q_share_of_total(spark, sf):
+    """Weight per region and percent of the grand total."""
     from ..operators.eda import share_of_total
     return share_of_total(T.shipments(spark, sf), "region", "shipping_weight_kg").withColumn(
         "pct", F.round("pct", 9))
@@ -310,6 +323,7 @@ _NUM = ["shipping_weight_kg", "avg_repair_cycle_days", "request_urgency"]
        CAST(median({c}) AS DOUBLE) AS median, CAST(min({c}) AS DOUBLE) AS min,
        CAST(max({c}) AS DOUBLE) AS max, count({c}) AS n FROM shipments""" for c in _NUM))
 def q_numeric_summary(spark, sf):
+    """Mean, sample std, exact median, min, max per measure."""
     from ..operators.eda import numeric_summary
     s = numeric_summary(T.shipments(spark, sf), _NUM)
     return s.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
@@ -320,6 +334,7 @@ SELECT count(*) AS rows, min(date) AS first, max(date) AS last,
        count(DISTINCT region) AS distinct_region, count(DISTINCT sku_category) AS distinct_sku_category
 FROM shipments""")
 def q_dataset_profile(spark, sf):
+    """Rows, date range and distinct regions / SKUs."""
     from ..operators.eda import dataset_profile
     return dataset_profile(T.shipments(spark, sf), "date", ["region", "sku_category"])
 
@@ -405,6 +420,7 @@ def _corr_sql(src: str, cols: list[str]) -> str:
 
 @query("correlation_records", f"{SH}\n" + _corr_sql("shipments", _CORR_REC))
 def q_correlation_records(spark, sf):
+    """Pearson matrix (long form) over record-level columns."""
     from ..operators.eda import correlation_long
     return correlation_long(T.shipments(spark, sf), _CORR_REC).withColumn(
         "corr", F.round("corr", 6))
@@ -421,6 +437,7 @@ dd AS (SELECT date, sum(shipping_weight_kg) AS shipping_weight_kg, count(*) AS r
        FROM shipments GROUP BY date)
 """ + _corr_sql("dd", _CORR_DAILY))
 def q_correlation_daily(spark, sf):
+    """Pearson matrix (long form) over daily totals and counts."""
     from ..functions.columns import weekday0
     from ..operators.eda import correlation_long
     d = T.shipments(spark, sf).groupBy("date").agg(
@@ -457,6 +474,7 @@ SELECT sku_category, round(avg(shipping_weight_kg), 6) AS mean_weight, count(*)
        CAST(row_number() OVER (ORDER BY avg(shipping_weight_kg), sku_category) AS INTEGER) AS rank
 FROM shipments GROUP BY sku_category""")
 def q_sku_profile(spark, sf):
+    """Mean weight and count per SKU, ranked by mean."""
     from pyspark.sql import Window
     g = T.shipments(spark, sf).groupBy("sku_category").agg(
         F.avg("shipping_weight_kg").alias("mean_weight"), F.count(F.lit(1)).alias("count"))
@@ -473,6 +491,7 @@ SELECT date, region, sum(shipping_weight_kg) AS y,
        CAST(row_number() OVER (PARTITION BY region ORDER BY date) AS INTEGER) AS position
 FROM shipments GROUP BY date, region""")
 def q_order_by_date(spark, sf):
+    """Position of each daily row inside its region series."""
     from pyspark.sql import Window
     d = T.shipments(spark, sf).groupBy("date", "region").agg(F.sum("shipping_weight_kg").alias("y"))
     return d.withColumn("position", F.row_number().over(
@@ -481,4 +500,5 @@ def q_order_by_date(spark, sf):
 
 @query("distinct_values", f"{SH} SELECT DISTINCT region FROM shipments")
 def q_distinct_values(spark, sf):
+    """Distinct regions."""
     return T.shipments(spark, sf).select("region").distinct()

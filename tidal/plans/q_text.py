@@ -62,6 +62,7 @@ def _fit_docs(spark, sf):
 SELECT doc_id, CAST(n_unigrams AS INTEGER) AS n_unigrams, CAST(len(terms) AS INTEGER) AS n_terms,
        array_to_string(terms, ' | ') AS terms FROM terms""")
 def q_tokenize_ngrams(spark, sf):
+    """Unigrams (stop words removed) and bigrams per document."""
     d = X.document_terms(_docs(spark, sf), "doc_id", "text")
     n_uni = F.size(F.filter("terms", lambda t: ~F.contains(t, F.lit(" "))))
     return d.select("doc_id", n_uni.alias("n_unigrams"), F.size("terms").alias("n_terms"),
@@ -71,6 +72,7 @@ def q_tokenize_ngrams(spark, sf):
 @query("tfidf_vocab", f"""{DOC_TERMS}
 SELECT term, df, CAST(total_tf AS BIGINT) AS total_tf, term_index, round(idf, 9) AS idf FROM vocab""")
 def q_tfidf_vocab(spark, sf):
+    """Vocabulary: df bounds, 1,000 most frequent terms, smoothed idf."""
     _, model = _fit_docs(spark, sf)
     return model.vocab.withColumn("idf", F.round("idf", 9))
 
@@ -78,6 +80,7 @@ def q_tfidf_vocab(spark, sf):
 @query("tfidf_weights", f"""{DOC_TERMS}
 SELECT doc_id, term, term_index, tf, round(weight, 6) AS weight FROM w""", headline=True)
 def q_tfidf_weights(spark, sf):
+    """L2-normalised tf-idf weights, long form."""
     d, model = _fit_docs(spark, sf)
     return model.transform(d, "doc_id", "text").withColumn("weight", F.round("weight", 6))
 
@@ -87,6 +90,7 @@ SELECT doc_id, term, round(weight, 6) AS weight, CAST(rank AS INTEGER) AS rank F
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs(weight) DESC, term) AS rank FROM w)
 WHERE rank <= 5""")
 def q_rank_terms(spark, sf):
+    """Top 5 terms per document by weight."""
     d, model = _fit_docs(spark, sf)
     r = X.rank_terms(model.transform(d, "doc_id", "text"), "doc_id", 5)
     return r.select("doc_id", "term", F.round("weight", 6).alias("weight"), "rank")
