@@ -362,15 +362,17 @@ es AS (SELECT silhouette AS elbow_sil FROM cv, el WHERE cv.k = el.elbow_k)"""
 def _curve(spark, sf):
     """(k, inertia, silhouette) for K = 3..10, each K started from the K
     lowest-id vectors and assigned once."""
+    from concurrent.futures import ThreadPoolExecutor
     p = _points(spark, sf).cache()
     init = CL.initial_centroids_lowest_id(p, "vec_id", "x", 10)
-    rows = []
-    for k in range(3, 11):
-        a = CL.assign(p, "x", init[:k]).cache()
+
+    def one(k):  # independent per K: run as concurrent jobs
+        a = CL.assign(p, "x", init[:k])
         inertia = a.agg(F.sum("sq_distance")).first()[0]
-        sil = CE.silhouette_summary(a, "x", "cluster", DIM)
-        rows.append((k, float(inertia), float(sil)))
-        a.unpersist()
+        return k, float(inertia), float(CE.silhouette_summary(a, "x", "cluster", DIM))
+
+    with ThreadPoolExecutor(max_workers=8) as ex:
+        rows = list(ex.map(one, range(3, 11)))
     p.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
