@@ -7,10 +7,6 @@ and DuckDB (RE2); digits are ASCII ``[0-9]``.
 
 from __future__ import annotations
 
-import functools
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,19 +22,25 @@ WHOLE_NUMBER = rf"(?<![{WORD}])[0-9]+(?![{WORD}])"
 NON_WORD_RUN = rf"[^{WORD}]+"
 
 
-@functools.lru_cache(maxsize=1)
+# The English stop words that Spark ML publishes, in its order.
+STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+she her hers herself it its itself they them their theirs themselves what which who whom
+this that these those am is are was were be been being have has had having do does did doing
+a an the and but if or because as until while of at by for with about against between into
+through during before after above below to from up down in out on off over under again
+further then once here there when where why how all any both each few more most other some
+such no nor not only own same so than too very s t can will just don should now i'll you'll
+he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's
+how's let's ought that's there's what's when's where's who's why's would
+""".split()
+
+
 def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list, read from the MLlib jar
-    (the same list ``StopWordsRemover.loadDefaultStopWords('english')``
-    returns), so no JVM is needed to build SQL twins."""
-    import pyspark
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for name in sorted(os.listdir(jars)):
-        if name.startswith("spark-mllib_") and name.endswith(".jar"):
-            with zipfile.ZipFile(os.path.join(jars, name)) as z:
-                words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-                return tuple(w for w in words.split() if w)
-    raise FileNotFoundError("spark-mllib jar not found")
+    """The stop-word list that the tokeniser and its SQL twins share."""
+    return tuple(STOP_WORDS)
 
 
 def clean_text(text, ip_token: str = IP_TOKEN, num_token: str = NUM_TOKEN) -> Column:
@@ -52,26 +54,6 @@ def clean_text(text, ip_token: str = IP_TOKEN, num_token: str = NUM_TOKEN) -> Co
     return F.trim(t)
 
 
-def tokens(cleaned, min_len: int = 2, stop_words=None) -> Column:
-    """Lower-cased tokens of a cleaned text with at least ``min_len``
-    characters, stop words removed."""
-    c = F.col(cleaned) if isinstance(cleaned, str) else cleaned
-    arr = F.split(F.lower(c), " ")
-    sw = F.array(*[F.lit(w) for w in (english_stop_words() if stop_words is None else stop_words)])
-    return F.filter(arr, lambda x: (F.length(x) >= min_len) & ~F.array_contains(sw, x))
-
-
-def with_bigrams(toks) -> Column:
-    """Unigrams followed by space-joined bigrams of consecutive tokens."""
-    t = F.col(toks) if isinstance(toks, str) else toks
-    n = F.size(t)
-    bi = F.when(n >= 2, F.zip_with(F.slice(t, 1, F.greatest(n - 1, F.lit(1))),
-                                   F.slice(t, 2, F.greatest(n - 1, F.lit(1))),
-                                   lambda a, b: F.concat(a, F.lit(" "), b))) \
-          .otherwise(F.array().cast("array<string>"))
-    return F.concat(t, bi)
-
-
 def duck_clean_sql(col: str, ip_token: str = IP_TOKEN, num_token: str = NUM_TOKEN) -> str:
     """DuckDB twin of :func:`clean_text` (RE2 has no look-around, so the
     whole-number rule is applied per token after splitting)."""
@@ -79,14 +61,3 @@ def duck_clean_sql(col: str, ip_token: str = IP_TOKEN, num_token: str = NUM_TOKE
             f"'{IP_PATTERN}', '{ip_token}', 'g'), '{NON_WORD_RUN}', ' ', 'g'))")
     return (f"array_to_string(list_transform(string_split({base}, ' '), "
             f"lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN '{num_token}' ELSE x END), ' ')")
-
-
-def duck_terms_sql(cleaned_sql: str, min_len: int = 2, bigrams: bool = True) -> str:
-    sw = ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words())
-    toks = (f"list_filter(string_split(lower({cleaned_sql}), ' '), "
-            f"lambda x: length(x) >= {min_len} AND NOT list_contains([{sw}], x))")
-    if not bigrams:
-        return toks
-    return (f"(SELECT list_concat(t, CASE WHEN len(t) >= 2 THEN "
-            f"list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) ELSE [] END) "
-            f"FROM (SELECT {toks} AS t))")

@@ -12,15 +12,10 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
 _DEFAULTS = {
-    # no broadcast from static size estimates; AQE broadcasts from measured
-    # runtime sizes, and code hints only sides whose row count was checked
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -90,46 +85,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-_BOUND_CHECKS: dict = {}
-MAX_DIM_BYTES = 512 * 1024 * 1024  # on-disk size above which a table is never broadcast
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes stored under ``path`` (Hadoop FileSystem content summary)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def bounded_broadcast(df: DataFrame, bound: int, key: str | None = None,
-                      source_path: str | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it is proven small: the table it comes
-    from (``source_path``) is under MAX_DIM_BYTES on disk (metadata only,
-    no scan), and a limited count shows at most ``bound`` rows. Otherwise
-    it is returned unhinted and Spark shuffles it. ``key`` memoises the
-    decision per session."""
-    memo = (df.sparkSession.sparkContext.applicationId, key, bound) if key else None
-    if memo is not None and memo in _BOUND_CHECKS:
-        small = _BOUND_CHECKS[memo]
-    else:
-        small = True
-        if source_path is not None:
-            small = path_bytes(df.sparkSession, source_path) <= MAX_DIM_BYTES
-        if small:
-            small = df.limit(bound + 1).count() <= bound
-        if memo is not None:
-            _BOUND_CHECKS[memo] = small
-    return F.broadcast(df) if small else df
-
-
 _SHIPPED: set = set()
 
 
