@@ -54,7 +54,7 @@ def test_entry_imports_from_the_zipped_pyspark(tmp_path):
     home, target = os.path.dirname(pyspark.__file__), tmp_path / "pyspark.zip"
     with zipfile.ZipFile(target, "w") as z:
         for folder, _, names in os.walk(home):
-            for n in (n for n in names if n.endswith(".py")):
+            for n in (n for n in names if n.endswith((".py", ".json"))):
                 full = os.path.join(folder, n)
                 z.write(full, os.path.join("pyspark", os.path.relpath(full, home)))
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
