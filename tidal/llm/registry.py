@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontaminate as DC
 from . import token_planes as TP
 from .common import table
 
@@ -35,3 +36,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids through the plane files and back."""
     import public_tokenizers
     return TP.token_planes(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of every document against the whole benchmark."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = DC.decontaminate(docs, table(spark, sf_dir, "benchmark"), clean=False)
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
