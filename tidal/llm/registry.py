@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import cross_parsing as CP
 from . import decontaminate as DC
+from . import quality_knn as QK
 from . import token_planes as TP
-from .common import table
+from .common import fold, held_out, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +47,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = DC.decontaminate(docs, table(spark, sf_dir, "benchmark"), clean=False)
     return out.select("doc_id", "n_words", "n_hit", "n_items",
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op8_cross_parsing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    parser = CP.learn(docs, fold("doc_id", 3) != 1)
+    out = CP.identify(docs.select("doc_id", "text"), parser)
+    return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@register("op10_quality_knn")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = QK.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    out = QK.score_quality(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
