@@ -21,12 +21,13 @@ those named like a result are replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import labelled_sample, texts, with_computed
+from .common import labelled_sample, text_bytes, with_computed
 
 TRAIN_ROWS = 6_000
 VOCABULARY = 1_500
@@ -35,40 +36,23 @@ DIMENSIONS = 32
 NEIGHBOURS = 25
 SHARPNESS = 8
 BLOCK = 256
-REMEMBERED = 400_000
-RUNS = re.compile(r"a+|A+|9+|(.)\1\1+", re.S)
+KINDS = bytes(97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 57 if 48 <= b <= 57 else b
+              for b in range(256))
+RUNS = re.compile(rb"([aA9])\1+")
+LONG = re.compile(rb"([^aA9\s])\1{3,}")
 
 
-def shape(word: str) -> str:
-    """Case, digits and punctuation of a word; at most 12 characters."""
-    kinds = "".join("a" if ch.islower() else "A" if ch.isupper() else "9" if ch.isdigit()
-                    else "a" if ch.isalpha() else ch for ch in word[:64])
-    return RUNS.sub(lambda m: m[0][0] if m[0][0] in "aA9" else m[0][0] * 3, kinds)[:12]
+def shapes_of(raw: bytes) -> list[bytes]:
+    """The shape of every word: runs of lower-case letters (and of all
+    letters beyond ASCII) as a, of capitals as A, of digits as 9; other
+    characters stay, three of a kind standing for more."""
+    return RUNS.sub(rb"\1", LONG.sub(rb"\1\1\1", raw.translate(KINDS))).split()
 
 
-class Words(dict):
-    """word -> (number, number of its shape)."""
-
-    def __init__(self, shapes: dict[str, int] | None = None):
-        super().__init__()
-        self.grow = shapes is None
-        self.shapes = {} if shapes is None else shapes
-        self.shape_of: list[int] = []
-
-    def __missing__(self, word):
-        s = shape(word)
-        if self.grow:
-            k = self.shapes.setdefault(s, len(self.shapes))
-        else:
-            k = self.shapes.get(s, -1)
-        self[word] = n = len(self.shape_of)
-        self.shape_of.append(k)
-        return n
-
-    def forget(self):
-        if len(self.shape_of) > REMEMBERED:
-            self.clear()
-            self.shape_of.clear()
+def word_numbers(raw: bytes) -> np.ndarray:
+    """A number for each word, equal for equal words of the text."""
+    words = raw.split()
+    return np.fromiter(map(hash, words), np.int64, len(words))
 
 
 def structure(ids: np.ndarray) -> dict[str, int]:
@@ -130,15 +114,11 @@ class Model:
 
 def sample_terms(batches):
     for batch in batches:
-        words, names, out = Words(), None, {"doc_id": [], "label": [], "terms": [], "counts": []}
-        rows = zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts(batch))
-        for i, label, t in rows:
-            ids = np.fromiter(map(words.__getitem__, t.split()), np.int64)
-            counts: dict[str, int] = {}
-            names = list(words.shapes)
-            for kind, c in zip(*np.unique(np.array(words.shape_of, np.int64)[ids], return_counts=True)):
-                counts["shape:" + names[kind]] = int(c)
-            counts |= structure(ids)
+        out = {"doc_id": [], "label": [], "terms": [], "counts": []}
+        rows = zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), text_bytes(batch))
+        for i, label, raw in rows:
+            counts = {"shape:" + k.decode("utf-8", "replace"): v for k, v in Counter(shapes_of(raw)).items()}
+            counts |= structure(word_numbers(raw))
             for k, v in zip(out, (i, label, list(counts), list(counts.values()))):
                 out[k].append(v)
         yield pa.RecordBatch.from_pydict(out, pa.schema([("doc_id", pa.int64()), ("label", pa.int32()),
@@ -159,25 +139,21 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = 0.7, text_co
 
     def make():
         m = shared.value
-        shapes = {t[6:]: k for t, k in m.index.items() if t.startswith("shape:")}
-        words = Words(shapes)
+        known = {t[6:].encode(): k for t, k in m.index.items() if t.startswith("shape:")}
 
         def work(batch):
-            found = texts(batch, text_col)
-            scores = []
+            found, scores = text_bytes(batch, text_col), []
             for a in range(0, len(found), BLOCK):
                 block = found[a:a + BLOCK]
-                numbers = [np.fromiter(map(words.__getitem__, t.split()), np.int64) for t in block]
-                kinds = np.array(words.shape_of, np.int64)
-                x = np.zeros((len(block), len(m.index) + 1), np.float32)
-                for row, ids in zip(x, numbers):
-                    if len(ids):
-                        row += np.roll(np.bincount(kinds[ids] + 1, minlength=len(row)), -1)  # unknown shapes last
-                    for t, v in structure(ids).items():
+                x = np.zeros((len(block), len(m.index)), np.float32)
+                for row, raw in zip(x, block):
+                    for s, n in Counter(shapes_of(raw)).items():
+                        if s in known:
+                            row[known[s]] = n
+                    for t, n in structure(word_numbers(raw)).items():
                         if t in m.index:
-                            row[m.index[t]] = v
-                scores += m.score(x[:, :-1]).tolist()
-                words.forget()
+                            row[m.index[t]] = n
+                scores += m.score(x).tolist()
             return [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
         return work
 
