@@ -9,6 +9,7 @@ from . import cross_parsing as CP
 from . import decontaminate as DC
 from . import quality_knn as QK
 from . import token_planes as TP
+from . import toxicity as TX
 from .common import fold, held_out, table
 
 QUERIES: dict = {}
@@ -65,3 +66,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = QK.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
     out = QK.score_quality(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = TX.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    out = TX.score_toxicity(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
