@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import cross_parsing as CP
 from . import decontaminate as DC
+from . import mixing as MX
 from . import quality_knn as QK
 from . import token_planes as TP
 from . import toxicity as TX
@@ -75,3 +76,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = TX.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
     out = TX.score_toxicity(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+@register("op5_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: words taken of each."""
+    m = MX.mix(table(spark, sf_dir, "documents"))
+    rows = m.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
