@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import cross_parsing as CP
 from . import decontaminate as DC
+from . import line_frequency as LF
 from . import mixing as MX
 from . import quality_knn as QK
 from . import token_planes as TP
@@ -84,3 +85,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = MX.mix(table(spark, sf_dir, "documents"))
     rows = m.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op6_line_frequency")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules over every document, its source being the host."""
+    out = LF.filter_quality(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
