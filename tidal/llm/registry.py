@@ -9,6 +9,7 @@ from . import cross_parsing as CP
 from . import decontaminate as DC
 from . import line_frequency as LF
 from . import mixing as MX
+from . import personal_data as PD
 from . import quality_knn as QK
 from . import token_planes as TP
 from . import toxicity as TX
@@ -92,3 +93,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over every document, its source being the host."""
     out = LF.filter_quality(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = PD.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["order"] < len(PD.BASE))
+    counts = [F.size(PD.of_kind(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in PD.BASE]
+    return found.select("doc_id", *counts, F.sha2(PD.joined(base), 256).alias("base_sha256"),
+                        PD.joined(F.col("spans")).alias("spans"))
