@@ -9,6 +9,7 @@ from . import cross_parsing as CP
 from . import decontaminate as DC
 from . import line_frequency as LF
 from . import mixing as MX
+from . import page_difference as PG
 from . import personal_data as PD
 from . import quality_knn as QK
 from . import token_planes as TP
@@ -103,3 +104,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(PD.of_kind(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in PD.BASE]
     return found.select("doc_id", *counts, F.sha2(PD.joined(base), 256).alias("base_sha256"),
                         PD.joined(F.col("spans")).alias("spans"))
+
+
+@register("op9_page_difference")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return PG.extract(table(spark, sf_dir, "pages"))
