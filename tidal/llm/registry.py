@@ -12,6 +12,7 @@ from . import mixing as MX
 from . import page_difference as PG
 from . import personal_data as PD
 from . import quality_knn as QK
+from . import shingle_join as SJ
 from . import token_planes as TP
 from . import toxicity as TX
 from .common import fold, held_out, table
@@ -110,3 +111,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return PG.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op7_shingle_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of Jaccard 0.75 or more."""
+    return SJ.near_duplicates(table(spark, sf_dir, "documents"))
