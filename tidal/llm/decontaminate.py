@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, with_computed
+from .common import quoted, text_bytes, with_computed
 
 WINDOW = 13
 MAX_COVERAGE = 0.05
@@ -224,3 +224,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
         return work
 
     return with_computed(docs, ADDED, make)
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Pipeline stage: contaminated documents go, the marked spans of the
+    others are cut from their text (and n_chars, where it is kept, follows)."""
+    out = decontaminate(docs, benchmark).where("not contaminated")
+    changed = F.size("spans") > 0
+    result = {"text": F.when(changed, F.col("clean_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        result["n_chars"] = F.when(changed, F.length("clean_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.select(*[result.get(c, F.col(quoted(c))).alias(c) for c in docs.columns])
