@@ -27,7 +27,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     executor costs no earlier stage."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tidal-llm/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def checked_broadcast(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A stored table of a few narrow columns, to be broadcast if it has at
+    most ``rows`` rows; otherwise Spark shuffles it."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -55,7 +71,7 @@ def with_computed(df: DataFrame, added: str, make: Callable[[], Callable[[pa.Rec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1000)):
             work = work or make()
             yield pa.RecordBatch.from_arrays([*batch.columns, *work(batch)], [f.name for f in schema.fields])
 
@@ -83,3 +99,9 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, train,
            .orderBy(F.xxhash64(id_col), id_col).limit(limit))
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return docs.join(F.broadcast(ids.withColumnRenamed(id_col, "doc_id")), "doc_id")
+
+
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces, so that Python objects exist for a few rows only."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)

@@ -61,8 +61,8 @@ def targets(by_source: DataFrame, weights=WEIGHTS, total: float = TOTAL, cap: fl
             .withColumn("level", (F.col("goal") - F.coalesce(F.sum("most").over(before), F.lit(0)))
                         / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
             .withColumn("fits", F.col("level") * F.col("weight") <= F.col("most")))
-    common = F.min(F.when(F.col("fits"), F.struct("most_by_weight", "level"))).over(everything)["level"]
-    return (sums.withColumn("most_by_weight", F.col("most") / F.col("weight")).withColumn("common", common)
+    common = F.min(F.when(F.col("fits"), F.struct("place", "level"))).over(everything)["level"]  # the first that fits
+    return (sums.withColumn("place", F.row_number().over(order)).withColumn("common", common)
             .select("source", "source_size",
                     F.least(F.coalesce(F.col("common") * F.col("weight"), F.col("most").cast("double")),
                             F.col("most").cast("double")).alias("target")))

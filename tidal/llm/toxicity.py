@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, labelled_sample, texts, with_computed
+from .common import fold, labelled_sample, stored, texts, with_computed
 
 TRAIN_ROWS = 10_000
 KEYS_PER_KIND = 400
@@ -193,9 +193,9 @@ def _keys(batches):
 
 def lexicon_keys(sample: DataFrame) -> list[str]:
     """The keys that occur almost only in toxic documents, by kind."""
-    counts = (sample.mapInArrow(_keys, "key string, label int, n long").groupBy("key")
+    counts = stored(sample.mapInArrow(_keys, "key string, label int, n long").groupBy("key")
               .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum("n").alias("n"))
-              .where((F.col("toxic") >= LEAST_TOXIC) & (F.col("toxic") >= PURITY * F.col("n"))))
+              .where((F.col("toxic") >= LEAST_TOXIC) & (F.col("toxic") >= PURITY * F.col("n"))), "keys")
     out = []
     for kind in ("w", *map(str, LENGTHS)):
         top = counts.where(F.col("key").startswith(kind + ":")).orderBy(F.desc("toxic"), "n", "key")
