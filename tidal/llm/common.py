@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -40,6 +41,13 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that are done:
+    it does so when the driver collects the plans' garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def checked_broadcast(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A stored table of a few narrow columns, to be broadcast if it has at
     most ``rows`` rows; otherwise Spark shuffles it."""
