@@ -112,18 +112,14 @@ def relative_tolerance(points: DataFrame, feat: str, k: int, tol: float = 1e-4,
 
 
 def kmeans_fit(points: DataFrame, feat: str, k: int, n_init: int = N_INIT, max_iter: int = MAX_ITER,
-               seed: int = SEED, tol: float = 1e-4, sample_fraction: float | None = None,
-               parallelism: int = 8) -> KMeansFit:
+               seed: int = SEED, tol: float = 1e-4, parallelism: int = 8) -> KMeansFit:
     """Best of ``n_init`` Spark ML KMeans runs (k-means|| init, seeds
     seed..seed+n_init-1) by training cost; restarts are independent jobs on
-    the same input and run concurrently. ``sample_fraction`` fits on a
-    seeded sample (the mini-batch option) but scores on everything."""
+    the same input and run concurrently."""
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.ml.clustering import KMeans
     vec = _vectors(points, feat)
-    if sample_fraction is not None:
-        vec = vec.sample(False, sample_fraction, seed)
     eps = relative_tolerance(points, feat, k, tol)
 
     def one(s):

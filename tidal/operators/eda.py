@@ -69,7 +69,8 @@ def value_range(df: DataFrame, col):
 
 
 def histogram(df: DataFrame, col, bins: int = 50, bounds=None) -> DataFrame:
-    """Equal-width bins over [min, max]; the last bin is closed on the right."""
+    """Equal-width bins over [min, max]; the last bin is closed on the right and
+    empty bins count 0. A constant column is one bin."""
     x = F.col(col) if isinstance(col, str) else col
     lo, hi = bounds or value_range(df.select(x.alias("_x")), "_x")
     if lo is None:
@@ -82,6 +83,9 @@ def histogram(df: DataFrame, col, bins: int = 50, bounds=None) -> DataFrame:
     else:
         b = F.lit(0).cast("long")
     g = df.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    if hi > lo:  # empty bins too
+        every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+        g = every.join(g, "bin", "left").fillna(0, ["count"])
     return g.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), "count")
 

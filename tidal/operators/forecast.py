@@ -86,7 +86,7 @@ def fit_direct_forecaster(train: DataFrame, series: list[str], version: str = "v
         ohe_m = ohe.fit(idx.transform(train))
         prep = [idx, ohe_m]
     asm = VectorAssembler(inputCols=_direct_inputs(version, lags, series), outputCol="x",
-                          handleInvalid="skip")
+                          handleInvalid="error")
     data = train
     for p in prep:
         data = p.transform(data)

@@ -137,8 +137,7 @@ def event_features_for_fit(events: DataFrame, n_components: int = X.N_COMPONENTS
 
 
 def fit_event_clustering(events: DataFrame, k: int | None = None, n_init: int = CL.N_INIT,
-                         k_range=CL.K_RANGE, version: str = "v1", search_n_init: int = 1,
-                         sample_fraction: float | None = None) -> tuple[EventClusteringModel, DataFrame]:
+                         k_range=CL.K_RANGE, version: str = "v1", search_n_init: int = 1) -> tuple[EventClusteringModel, DataFrame]:
     """Full fit; returns the model and the K-search curve (or None)."""
     events = events.cache()
     model, feats = event_features_for_fit(events)
@@ -150,7 +149,7 @@ def fit_event_clustering(events: DataFrame, k: int | None = None, n_init: int =
         k, reason = int(sel["selected_k"]), sel["reason"]
     else:
         reason = "given"
-    fit = CL.kmeans_fit(feats, "features", k, n_init=n_init, sample_fraction=sample_fraction)
+    fit = CL.kmeans_fit(feats, "features", k, n_init=n_init)
     assigned = CL.assign(feats, "features", fit.centers).join(
         events.select("event_id", "severity", "duration_ms", "bytes_transferred", "hour_of_day", "protocol"),
         "event_id")

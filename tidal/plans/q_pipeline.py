@@ -74,10 +74,11 @@ def q_kmeans_fit(spark, sf):
 
 @query("kmeans_minibatch")
 def q_kmeans_minibatch(spark, sf):
-    """Fit on a seeded half sample, assign every event."""
+    """One k-means|| start on all events (the mini-batch option visits all rows
+    too), assign every event."""
     model, _ = _fitted(spark, sf)
     feats = _features(spark, sf)
-    fit = CL.kmeans_fit(feats, "features", model.k, n_init=1, sample_fraction=0.5)
+    fit = CL.kmeans_fit(feats, "features", model.k, n_init=1)
     return CL.assign(feats, "features", fit.centers).select("event_id", "cluster", "distance")
 
 
@@ -230,7 +231,7 @@ def q_fill_request_time(spark, sf):
 
 @query("hourly_event_counts_stream")
 def q_hourly_event_counts_stream(spark, sf):
-    """The same hourly windows as a watermarked Structured Streaming job over
-    the table folder (append mode: closed windows only)."""
+    """The same hourly windows as a Structured Streaming job over the table's
+    files; equal to the batch counts, whatever the order of the files."""
     base = _scratch(spark, "hourly")
-    return ST.hourly_event_counts_stream(spark, sf, f"{base}/sink", f"{base}/ckpt")
+    return ST.hourly_event_counts_stream(spark, f"{sf.rstrip('/')}/events.parquet", f"{base}/sink", f"{base}/ckpt")

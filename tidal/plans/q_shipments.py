@@ -358,12 +358,11 @@ def q_pivot_region(spark, sf):
 def _hist_sql(expr: str, bins: int = 50) -> str:
     return f"""{SH},
 x AS (SELECT {expr} AS v FROM shipments),
-b AS (SELECT min(v) AS lo, max(v) AS hi FROM x)
-SELECT CAST(least({bins - 1}, floor((v - lo) * {float(bins)} / (hi - lo))) AS INTEGER) AS bin,
-       round(lo + least({bins - 1}, floor((v - lo) * {float(bins)} / (hi - lo))) * ((hi - lo) / {bins}), 9) AS lower,
-       round(lo + (least({bins - 1}, floor((v - lo) * {float(bins)} / (hi - lo))) + 1) * ((hi - lo) / {bins}), 9) AS upper,
-       count(*) AS count
-FROM x, b GROUP BY 1, 2, 3"""
+b AS (SELECT min(v) AS lo, max(v) AS hi FROM x),
+c AS (SELECT least({bins - 1}, floor((v - lo) * {float(bins)} / (hi - lo))) AS bin, count(*) AS n FROM x, b GROUP BY 1)
+SELECT CAST(i AS INTEGER) AS bin, round(lo + i * ((hi - lo) / {bins}), 9) AS lower,
+       round(lo + (i + 1) * ((hi - lo) / {bins}), 9) AS upper, coalesce(n, 0) AS count
+FROM b, range({bins}) t(i) LEFT JOIN c ON c.bin = i"""
 
 
 def _hist(expr_fn):
