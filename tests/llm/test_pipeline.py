@@ -17,7 +17,7 @@ def shingles(text):
     return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
 
 
-@pytest.mark.xfail(reason="open: the mix takes other documents than on the plainly computed input; cause not found yet")
+@pytest.mark.xfail(reason="open: document 29 stays in one of the two before mixing; cause not found yet")
 def test_pipeline_against_plain_stages(spark, tmp_path):
     import corpus_pipeline
     import public_tokenizers
