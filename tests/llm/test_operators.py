@@ -139,6 +139,28 @@ def test_near_duplicates(spark, docs):
     assert 1 in kept and 2 not in kept and 3 not in kept and None in kept
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_near_copy_of_a_large_copy_group_is_linked(spark, monkeypatch, hot):
+    monkeypatch.setattr(SJ, "HOT", hot)
+    rows = []
+    for seed in range(8):  # one group of copies and one near copy each
+        base = prose(seed, 60)
+        rows += [(100 * seed + k, base) for k in range(30)] + [(100 * seed + 30, base.replace(base.split()[30], "changed"))]
+    got = rows_of(SJ.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)), "doc_id", "component_id")
+    assert got == sorted(((i, i // 100 * 100) for i, _ in rows), key=repr)
+
+
+def test_dealing_counts_classes_not_copies(spark, monkeypatch):
+    monkeypatch.setattr(SJ, "HOT", 5)
+    base = prose(1, 60)
+    texts = spark.createDataFrame([(base,)] * 40 + [(base + " " + w,) for w in "abc"], "text string").repartition(5)
+    frequency = SJ.frequencies(texts)
+    assert int(frequency.max()) > 5 and len(SJ.hot_shingles(texts, frequency)[0]) == 0
+    monkeypatch.setattr(SJ, "HOT", 3)
+    shingles, groups = SJ.hot_shingles(texts, frequency)
+    assert len(shingles) and set(groups.tolist()) == {2}
+
+
 def test_cross_parsing(spark, docs):
     train = [(k, prose(k, 80) if k % 2 else "el agua de la montaña y los ríos del valle " * 9 + str(k), ["es", "en"][k % 2]) for k in range(8)]
     d = spark.createDataFrame(train, "doc_id long, text string, lang string")
