@@ -180,6 +180,19 @@ def test_page_difference(spark):
     assert got == [(1, "one & only"), (2, "two words"), (3, ""), (4, "T\n\nbody a < b"), (4, "T\n\nbody a < b")]
 
 
+def test_alignment_decides_beside_an_article(spark):
+    page = lambda k, teaser: (f"<nav>menu</nav><main><p>read more on our site<p>{prose(k, 12)}</main>"
+                              f"<div>{prose(k + 50, 20)}</div><article>{teaser}</article><div>all rights reserved</div>")
+    rows = [(k, f"http://h/a/{k}", page(k, f"teaser {k}")) for k in (1, 2)]
+    copy = "<p>site motto</p><article><p>{}<p>{}</article><div>by author {}</div>"
+    rows += [(k, f"http://g/{k}", copy.format(prose(8, 20), prose(9, 20), k)) for k in (3, 4)]
+    got = dict(rows_of(PG.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id", "text"))
+    for k in (1, 2):
+        assert got[k].split("\n\n") == [prose(k, 12), prose(k + 50, 20), f"teaser {k}"]
+    for k in (3, 4):
+        assert got[k].split("\n\n") == [prose(8, 20), prose(9, 20), f"by author {k}"]
+
+
 def test_shared_lines_is_a_longest_common_subsequence():
     assert len(PG.shared_lines([1, 2, 3, 1, 4], [2, 1, 3, 4, 1])) == 3 and PG.shared_lines([], [1]) == set()
 

@@ -3,12 +3,14 @@
 Pages of a host are ordered by URL path; a page's partner is the neighbour
 (previous or next) that shares the longer beginning of the path (ties: the
 previous). The page's text lines, its blocks, are aligned with the partner's
-by a longest common subsequence, and lines that both share are template and
-are deleted. What the markup itself says is kept beside it: lines in menus,
-headers, footers, sidebars, notices, adverts, forms and comments go also when
-the partner lacks them, and lines of an ``article`` (or ``main``) stay also
-when a copy of the article is the partner. On pages with an article only its
-lines are main text; on others all unshared, unmarked lines are.
+by a longest common subsequence; lines that both share are template and are
+deleted, inside an ``article`` (or ``main``) too, and lines that the partner
+lacks stay, outside of it too. What the markup itself says is kept beside it:
+lines in menus, headers, footers, sidebars, notices, adverts, forms and
+comments go also when the partner lacks them, and an article stays whole when
+its partner is a copy of it (shares more than ``COPIED`` of its text).
+A page without partner has only its markup: its article, or else all unmarked
+lines, are main text.
 
 Pairing sorts narrow rows (line hashes) by range, so a large host spreads over
 many tasks; rows at the ends of a task's range are paired in a second step
@@ -50,6 +52,7 @@ MARKED = set("ad ads advert adverts advertisement advertising banner breadcrumb
              "contentinfo".split())
 SPACES = re.compile(r"\s+")
 ASIDE_LINE, NEUTRAL, ARTICLE = 0, 1, 2
+COPIED = 0.5
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
@@ -134,11 +137,13 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
 
 def main_lines(lines: list[tuple[str, int]], partner: list[int]) -> list[str]:
     """The lines that differencing and the markup leave."""
+    own = [t for t, z in lines if z == ARTICLE]
+    if not partner:
+        return own or [t for t, z in lines if z == NEUTRAL]
     shared = shared_lines([line_hash(t) for t, _ in lines], partner)
-    unshared = [(t, z) for i, (t, z) in enumerate(lines) if z == ARTICLE or i not in shared]
-    if any(z == ARTICLE for _, z in unshared):
-        return [t for t, z in unshared if z == ARTICLE]
-    return [t for t, z in unshared if z == NEUTRAL]
+    common = sum(len(t) for i, (t, z) in enumerate(lines) if z == ARTICLE and i in shared)
+    copied = common > COPIED * sum(map(len, own))
+    return [t for i, (t, z) in enumerate(lines) if z != ASIDE_LINE and (i not in shared or (z == ARTICLE and copied))]
 
 
 def common_start(a: str, b: str) -> int:
