@@ -124,6 +124,16 @@ def test_line_frequency(spark, docs):
     assert out[4]["n_words"] == 0 and out[4]["base_failed"] and out[7]["n_words"] == 9000
 
 
+def test_boilerplate_of_small_and_of_hot_hosts(spark):
+    small = [(k, "Subscribe to our letter\n" + prose(k, 30), "small") for k in range(60)]
+    hot = [(k, ("All rights reserved here\n" if k < 1002 else "") + f"own line number {'x' * (k % 7)}{'y' * (k // 7)}", "hot")
+           for k in range(1000, 1000 + 2)] + [(k, "All rights reserved here", "hot") for k in range(2000, 3000)] + [
+           (k, prose(k, 3), "hot") for k in range(3000, 24000)]
+    d = spark.createDataFrame(small + hot, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["boilerplate_words"] for r in LF.filter_quality(d).where("doc_id < 3000").collect()}
+    assert got[3] == 4 and got[1000] == 4 and got[2500] == 4
+
+
 def test_repeated_words_and_lines(spark):
     t = "a b c d e f g h i j\na b c d e f g h\n\na b c d e f g h"
     r = LF.measure(spark.createDataFrame([(1, t, "s")], "doc_id long, text string, source string")).first()

@@ -3,10 +3,11 @@
 Rules on one text (``base``): word characters, symbols, repeated lines, and
 words inside repeated windows of eight words; too few words or too many
 repeated ones fail. The cross-document rule: a line, lower-cased with white
-space and digits levelled, is boilerplate of its host when more documents of
-the host hold it than both ``MIN_DOCS`` and ``MAX_SHARE`` of the host's
-documents; without its boilerplate lines a document must keep
-``MIN_WORDS`` words and ``MIN_KEPT`` of its words, or it is depleted.
+space and digits levelled, is boilerplate of its host when more than
+``MIN_DOCS`` documents of the host hold it, and also more than ``MAX_SHARE`` of
+the host's documents or more than ``MAX_DOCS``; without its boilerplate lines a
+document must keep ``MIN_WORDS`` words and ``MIN_KEPT`` of its words, or it is
+depleted.
 
 The text is read once; what goes on is one narrow row per document with the
 hashes of its lines. Line counts aggregate before they shuffle, a very common
@@ -28,8 +29,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
-MIN_DOCS = 100
+MIN_DOCS = 10
 MAX_SHARE = 0.05
+MAX_DOCS = 1000
 MIN_KEPT = 0.3
 
 
@@ -95,7 +97,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 
 
 def filter_quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
-                   min_words: int = MIN_WORDS, min_kept: float = MIN_KEPT, **columns) -> DataFrame:
+                   min_words: int = MIN_WORDS, min_kept: float = MIN_KEPT, max_docs: int = MAX_DOCS, **columns) -> DataFrame:
     """doc_id, host, the base counts, words in boilerplate lines, base_failed,
     depleted and kept."""
     rows = stored(measure(docs, **columns).withColumn("row", F.monotonically_increasing_id()), "lines")
@@ -103,7 +105,7 @@ def filter_quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
     common = (rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
               .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs))
     common = stored(common.join(hosts.withColumnRenamed("host", "of"), common["host"].eqNullSafe(F.col("of")))
-                    .where(F.col("n") > max_share * F.col("docs")).select(F.col("host").alias("of"), F.col("h").alias("same")),
+                    .where((F.col("n") > max_docs) | (F.col("n") > max_share * F.col("docs"))).select(F.col("host").alias("of"), F.col("h").alias("same")),
                     "common")
     lines = rows.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.words")
     lost = (lines.join(common, lines["host"].eqNullSafe(common["of"]) & (lines["h"] == common["same"]))
