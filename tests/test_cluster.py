@@ -120,3 +120,22 @@ def test_single_centroid_separation_infinite(spark):
     a = CL.assign(df, "x", [rows[0][1]])
     q = CE.cluster_quality(a, "x", "cluster", 3).first()
     assert q["separation"] == float("inf")
+
+
+def test_every_k_of_the_search_makes_all_starts(spark, monkeypatch):
+    import inspect
+
+    import numpy as np
+
+    from tidal.plans import event_model as EM
+    from tidal.plans import q_pipeline as QP
+    x = np.random.default_rng(7).normal(size=(120, 3)).tolist()
+    pts = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "id long, f array<double>")
+    starts, fit = [], CL.kmeans_fit
+    monkeypatch.setattr(CL, "kmeans_fit", lambda *a, **b: starts.append(b["n_init"]) or fit(*a, **b))
+    curve = {r["k"]: r["inertia"] for r in CL.k_search(pts, "f", (4, 5)).collect()}
+    assert starts == [CL.N_INIT] * 2 and abs(curve[5] - fit(pts, "f", 5).inertia) < 1e-6
+    assert inspect.signature(EM.fit_event_clustering).parameters["search_n_init"].default == CL.N_INIT
+    monkeypatch.setattr(QP, "_fitted", lambda *a: (type("M", (), {"k": 4}), None))
+    monkeypatch.setattr(QP, "_features", lambda *a: pts.selectExpr("id as event_id", "f as features"))
+    assert QP.q_kmeans_minibatch(spark, "").count() == 120 and starts[-1] == CL.N_INIT

@@ -146,10 +146,10 @@ def anomaly_score(assigned: DataFrame, lo: float, hi: float, distance: str = "di
     return F.lit(0.0)
 
 
-def k_search(points: DataFrame, feat: str, k_range=K_RANGE, n_init: int = 1, max_iter: int = MAX_ITER,
+def k_search(points: DataFrame, feat: str, k_range=K_RANGE, n_init: int = N_INIT, max_iter: int = MAX_ITER,
              seed: int = SEED, parallelism: int = 8) -> DataFrame:
-    """(k, inertia, silhouette) for every K, fitted on one cached frame
-    (fits for different K run as concurrent jobs); silhouette uses squared
+    """(k, inertia, silhouette) for every K, the best of ``n_init`` starts
+    each, fitted on one cached frame (fits for different K run as concurrent jobs); silhouette uses squared
     Euclidean distances from cluster sums (O(n K), exact)."""
     from concurrent.futures import ThreadPoolExecutor
 

@@ -137,7 +137,7 @@ def event_features_for_fit(events: DataFrame, n_components: int = X.N_COMPONENTS
 
 
 def fit_event_clustering(events: DataFrame, k: int | None = None, n_init: int = CL.N_INIT,
-                         k_range=CL.K_RANGE, version: str = "v1", search_n_init: int = 1) -> tuple[EventClusteringModel, DataFrame]:
+                         k_range=CL.K_RANGE, version: str = "v1", search_n_init: int = CL.N_INIT) -> tuple[EventClusteringModel, DataFrame]:
     """Full fit; returns the model and the K-search curve (or None)."""
     events = events.cache()
     model, feats = event_features_for_fit(events)

@@ -74,11 +74,11 @@ def q_kmeans_fit(spark, sf):
 
 @query("kmeans_minibatch")
 def q_kmeans_minibatch(spark, sf):
-    """One k-means|| start on all events (the mini-batch option visits all rows
-    too), assign every event."""
+    """Best of 10 k-means|| starts on all events (the mini-batch option makes as
+    many and visits all rows too), assign every event."""
     model, _ = _fitted(spark, sf)
     feats = _features(spark, sf)
-    fit = CL.kmeans_fit(feats, "features", model.k, n_init=1)
+    fit = CL.kmeans_fit(feats, "features", model.k, n_init=CL.N_INIT)
     return CL.assign(feats, "features", fit.centers).select("event_id", "cluster", "distance")
 
 
