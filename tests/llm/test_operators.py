@@ -149,6 +149,13 @@ def test_near_duplicates(spark, docs):
     assert 1 in kept and 2 not in kept and 3 not in kept and None in kept
 
 
+def test_one_row_of_a_group_stays(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a), (1, a), (2, a), (None, b), (None, b), (2, c), (None, c), (4, None), (4, None)]
+    got = rows_of(SJ.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)), "doc_id", "text")
+    assert got == sorted([(1, a), (None, b), (2, c), (4, None), (4, None)], key=repr)
+
+
 @pytest.mark.parametrize("hot", [1, 3])
 def test_near_copy_of_a_large_copy_group_is_linked(spark, monkeypatch, hot):
     monkeypatch.setattr(SJ, "HOT", hot)
