@@ -134,6 +134,12 @@ def test_boilerplate_of_small_and_of_hot_hosts(spark):
     assert got[3] == 4 and got[1000] == 4 and got[2500] == 4
 
 
+def test_text_without_boilerplate_lines(spark):
+    rows = [(k, f"Subscribe to our letter {k}\n\n" + prose(k, 30) + "\n", None) for k in range(30)] + [(50, None, None), (51, "Subscribe to our letter 7", "x")]
+    got = rows_of(LF.without_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")), "doc_id", "text")
+    assert got == sorted([(k, "\n" + prose(k, 30) + "\n") for k in range(30)] + [(50, None), (51, "Subscribe to our letter 7")], key=repr)
+
+
 def test_repeated_words_and_lines(spark):
     t = "a b c d e f g h i j\na b c d e f g h\n\na b c d e f g h"
     r = LF.measure(spark.createDataFrame([(1, t, "s")], "doc_id long, text string, source string")).first()

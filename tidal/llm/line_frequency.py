@@ -96,17 +96,22 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         .select("doc_id", "host", "w.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.lines")
 
 
+def common_lines(rows: DataFrame, min_docs: int, max_share: float, max_docs: int) -> DataFrame:
+    """(of, same): the hosts and their boilerplate lines' hashes."""
+    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > min_docs)
+    common = (rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+              .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs))
+    return stored(common.join(hosts.withColumnRenamed("host", "of"), common["host"].eqNullSafe(F.col("of")))
+                  .where((F.col("n") > max_docs) | (F.col("n") > max_share * F.col("docs")))
+                  .select(F.col("host").alias("of"), F.col("h").alias("same")), "common")
+
+
 def filter_quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
                    min_words: int = MIN_WORDS, min_kept: float = MIN_KEPT, max_docs: int = MAX_DOCS, **columns) -> DataFrame:
     """doc_id, host, the base counts, words in boilerplate lines, base_failed,
     depleted and kept."""
     rows = stored(measure(docs, **columns).withColumn("row", F.monotonically_increasing_id()), "lines")
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > min_docs)
-    common = (rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-              .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs))
-    common = stored(common.join(hosts.withColumnRenamed("host", "of"), common["host"].eqNullSafe(F.col("of")))
-                    .where((F.col("n") > max_docs) | (F.col("n") > max_share * F.col("docs"))).select(F.col("host").alias("of"), F.col("h").alias("same")),
-                    "common")
+    common = common_lines(rows, min_docs, max_share, max_docs)
     lines = rows.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.words")
     lost = (lines.join(common, lines["host"].eqNullSafe(common["of"]) & (lines["h"] == common["same"]))
             .groupBy(F.col("row").alias("in_row")).agg(F.sum("words").alias("lost_words")))
@@ -118,3 +123,16 @@ def filter_quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
             .withColumn("base_failed", failed).withColumn("depleted", depleted)
             .withColumn("kept", ~failed & ~depleted).drop("row", "in_row", "lost_words"))
 
+
+def without_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS,
+                        id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """``docs`` with each text left without its host's boilerplate lines. The
+    lines of a host are few, as each is in many of its documents."""
+    rows = stored(measure(docs, id_col, text_col, host_col).select("host", "lines"), "host-lines")
+    sets = (common_lines(rows, min_docs, max_share, max_docs).groupBy(F.col("of").alias("_of"))
+            .agg(F.collect_set("same").alias("_same")))
+    text = F.col(quoted(text_col))
+    left = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_same", F.xxhash64(normal_line(x))))
+    out = docs.join(sets, F.col(quoted(host_col)).eqNullSafe(F.col("_of")), "left")
+    return out.select(*[F.when(F.col("_same").isNull(), text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col
+                        else F.col(quoted(c)) for c in docs.columns])
