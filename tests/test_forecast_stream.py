@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 from tidal.operators import forecast as FC
 from tidal.plans.event_model import EventClusteringModel, fit_event_clustering
 from tidal.sources import tables as T

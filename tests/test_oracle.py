@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 import __spark_entry__ as E
 from scripts.oracle_check import _rows

@@ -2,7 +2,7 @@
 an exact SQL twin (the model-fitting queries are audited by
 scripts/explain_plans.py)."""
 
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 import __spark_entry__ as E
 
