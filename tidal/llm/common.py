@@ -24,11 +24,17 @@ def quoted(name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder of
-    ``spark.checkpoint.dir`` and read it back: lineage ends there, and a lost
-    executor costs no earlier stage."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tidal-llm/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    ``spark.checkpoint.dir`` and read it back: lineage ends there, a lost
+    executor costs no earlier stage, and the shuffle files of ``df`` go."""
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidal-llm/{uuid.uuid4().hex}/{name}"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
