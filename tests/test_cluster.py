@@ -62,7 +62,7 @@ def test_silhouette_matches_spark_evaluator(spark):
     from pyspark.ml.functions import array_to_vector
     df, rows = _points(spark, n=60)
     a = CL.assign(df, "x", [r[1] for r in rows[:3]])
-    ours = CE.silhouette_summary(a, "x", "cluster", 3)
+    ours = CE.silhouette_sq_summary(a, "x", "cluster", 3)
     ev = ClusteringEvaluator(featuresCol="v", predictionCol="cluster", distanceMeasure="squaredEuclidean")
     theirs = ev.evaluate(a.withColumn("v", array_to_vector("x")).withColumn("cluster", F.col("cluster").cast("double")))
     assert ours == pytest.approx(theirs, abs=1e-9)
@@ -118,24 +118,76 @@ def test_empty_cluster_label_and_default(spark):
 def test_single_centroid_separation_infinite(spark):
     df, rows = _points(spark, n=12, k=1)
     a = CL.assign(df, "x", [rows[0][1]])
-    q = CE.cluster_quality(a, "x", "cluster", 3).first()
+    q = CE.cluster_quality(a, "id", "x", "cluster", 3).first()
     assert q["separation"] == float("inf")
 
 
-def test_every_k_of_the_search_makes_all_starts(spark, monkeypatch):
-    import inspect
+def brute_silhouette(X, lab, dist):
+    out = {}
+    for i in X:
+        own = [j for j in X if lab[j] == lab[i] and j != i]
+        others = [np.mean([dist(X[i], X[j]) for j in X if lab[j] == c]) for c in set(lab.values()) if c != lab[i]]
+        if not own or not others:
+            out[i] = 0.0
+            continue
+        aa, bb = np.mean([dist(X[i], X[j]) for j in own]), min(others)
+        out[i] = (bb - aa) / max(aa, bb)
+    return out
+
+
+def test_euclidean_silhouette_equals_brute_force(spark):
+    df, rows = _points(spark, n=45)
+    a = CL.assign(df, "x", [r[1] for r in rows[:3]])
+    lab = {r["id"]: r["cluster"] for r in a.collect()}
+    X = {i: np.array(x) for i, x, _ in rows}
+    want = brute_silhouette(X, lab, lambda u, v: float(np.linalg.norm(u - v)))
+    got = {r["id"]: r["silhouette"] for r in CE.silhouette(a, "id", "x", "cluster").collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+    part = {r["id"]: r["silhouette"] for r in CE.silhouette(a, "id", "x", "cluster", sample=30).collect()}
+    assert len(part) == 45 and abs(np.mean(list(part.values())) - np.mean(list(want.values()))) < 0.1
 
-    import numpy as np
 
-    from tidal.plans import event_model as EM
-    from tidal.plans import q_pipeline as QP
-    x = np.random.default_rng(7).normal(size=(120, 3)).tolist()
-    pts = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "id long, f array<double>")
-    starts, fit = [], CL.kmeans_fit
-    monkeypatch.setattr(CL, "kmeans_fit", lambda *a, **b: starts.append(b["n_init"]) or fit(*a, **b))
-    curve = {r["k"]: r["inertia"] for r in CL.k_search(pts, "f", (4, 5)).collect()}
-    assert starts == [CL.N_INIT] * 2 and abs(curve[5] - fit(pts, "f", 5).inertia) < 1e-6
-    assert inspect.signature(EM.fit_event_clustering).parameters["search_n_init"].default == CL.N_INIT
-    monkeypatch.setattr(QP, "_fitted", lambda *a: (type("M", (), {"k": 4}), None))
-    monkeypatch.setattr(QP, "_features", lambda *a: pts.selectExpr("id as event_id", "f as features"))
-    assert QP.q_kmeans_minibatch(spark, "").count() == 120 and starts[-1] == CL.N_INIT
+def test_search_makes_all_starts_and_measures_the_fits(spark):
+    df, rows = _points(spark, n=120, dim=3, k=4)
+    curve, fits = CL.search(df, "x", (3, 5), n_init=3)
+    X = {i: np.array(x) for i, x, _ in rows}
+    got = {r["k"]: r for r in curve.collect()}
+    assert set(got) == {3, 4, 5}
+    for k, fit in fits.items():
+        lab = {i: int(np.argmin([np.sum((x - np.array(c)) ** 2) for c in fit.centers])) for i, x in X.items()}
+        cost = sum(np.sum((x - np.array(fit.centers[lab[i]])) ** 2) for i, x in X.items())
+        assert got[k]["inertia"] == pytest.approx(cost) and fit.inertia == pytest.approx(cost)
+        for c in range(k):  # settled: every centre is the mean of its points
+            own = [X[i] for i in X if lab[i] == c]
+            assert not own or np.allclose(np.mean(own, 0), fit.centers[c], atol=0.05)
+        want = brute_silhouette(X, lab, lambda u, v: float(np.linalg.norm(u - v)))
+        sq = brute_silhouette(X, lab, lambda u, v: float(np.sum((u - v) ** 2)))
+        assert got[k]["silhouette"] == pytest.approx(np.mean(list(want.values())), abs=1e-9)
+        assert got[k]["silhouette_sq"] == pytest.approx(np.mean(list(sq.values())), abs=1e-9)
+
+
+def test_all_starts_advance_and_the_best_is_kept(spark):
+    from tidal.operators import kmeans as KM
+    df, _ = _points(spark, n=90, dim=2, k=3)
+    vectors, dim = KM.prepared(df, "x")
+    mean, variance = KM.mean_and_variance(vectors, dim)
+    models = KM.advance(vectors, KM.starts(vectors, [(3, s) for s in range(6)], dim), mean, variance, 100, 1e-4)
+    assert len(models) == 6 and all(len(m.centers) == 3 and m.passes >= 1 for m in models)
+    assert KM.best_of(models)[3].inertia == min(m.inertia for m in models)
+    again = KM.starts(vectors, [(3, 0)], dim)[0]
+    assert np.array_equal(again.centers, KM.starts(vectors, [(3, 0), (2, 9)], dim)[0].centers)
+    vectors.unpersist()
+
+
+def test_minibatch_stays_near_the_full_fit_and_visits_every_point(spark):
+    df, _ = _points(spark, n=2000, dim=3, k=4)
+    full, mini = CL.kmeans_fit(df, "x", 4, n_init=3), CL.kmeans_minibatch(df, "x", 4, n_init=3, batches=5)
+    assert full.inertia <= mini.inertia * (1 + 1e-9) and mini.inertia <= 1.1 * full.inertia
+
+
+def test_kmeans_far_from_the_origin_and_with_equal_points(spark):
+    far = spark.createDataFrame([(i, [1e7 + (i % 2) * 3.0, 1e7]) for i in range(20)], "id long, x array<double>")
+    fit = CL.kmeans_fit(far, "x", 2, n_init=2)
+    assert fit.inertia == pytest.approx(0.0, abs=1e-6)
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(8)] + [(9, None)], "id long, x array<double>")
+    assert CL.kmeans_fit(same, "x", 3, n_init=2).inertia == pytest.approx(0.0)

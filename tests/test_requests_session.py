@@ -7,7 +7,6 @@ import sys
 
 import pytest
 
-from tidal.operators import cluster as CL
 from tidal.operators import series as S
 from tidal.sources import requests as RQ
 
@@ -65,10 +64,25 @@ def test_entry_imports_from_the_zipped_pyspark(tmp_path):
     assert int(out.stdout.split()[0]) >= 150
 
 
-def test_relative_tolerance_matches_reference_rule(spark):
-    df = spark.createDataFrame([([float(i), 0.0],) for i in range(10)], "x array<double>")
-    # mean variance of the two columns = (8.25 + 0) / 2
-    assert CL.relative_tolerance(df, "x", 4, 1e-4) == pytest.approx((1e-4 * 8.25 / 2 / 4) ** 0.5)
+def test_missing_required_fields_are_named(spark):
+    point = {**_point(1), "region": None, "shipping_weight_kg": None, "date": "soon"}
+    df = spark.createDataFrame([(json.dumps({"request_id": "r", "historical_data": [point] * 30}),)], "body string")
+    want = ["date", "region", "shipping_weight_kg"]
+    assert RQ.validate_forecast_requests(RQ.parse_forecast_requests(df)).first()["reasons"] in (want, sorted([*want, "history<30"]))
+    row = RQ.validate_histories(RQ.parse_forecast_histories(df), ["v3"]).first()
+    assert row["reasons"] == want and row["n_points"] == 30
+    event = {"event_id": 1, "source_ip": "10.9.8.7", "port": 1, "duration_ms": 1.0, "bytes_transferred": 1, "log_message": "x"}
+    ev = spark.createDataFrame([(json.dumps(event),)], "body string")
+    assert RQ.validate_event_requests(RQ.parse_event_requests(ev)).first()["reasons"] == ["dest_ip", "protocol"]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tidal import session as SE
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        SE.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
 
 
 def test_forward_fill_carries_last_value(spark):

@@ -21,24 +21,85 @@ def test_clean_text_rules(spark):
 def test_tfidf_rows_are_unit_length_and_idf_smoothed(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "alpha beta"), (3, "alpha delta"),
                                   (4, "beta gamma gamma")], "id long, text string")
-    m = X.fit_tfidf(docs, "id", "text", ngrams=False, max_df=1.0)
+    m = X.fit_tfidf(docs, "text", ngrams=False, max_df=1.0)
     w = m.transform(docs, "id", "text")
     norms = w.groupBy("doc_id").agg(F.sum(F.col("weight") ** 2).alias("n2")).collect()
     assert all(r["n2"] == pytest.approx(1.0) for r in norms)
-    v = {r["term"]: r for r in m.vocab.collect()}
+    v = {r["term"]: r for r in m.vocabulary(spark).collect()}
     assert "delta" not in v  # df = 1 < min_df
     assert v["alpha"]["idf"] == pytest.approx(np.log(5 / 4) + 1)
 
 
-def test_lsa_components_orthonormal(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    m = X.fit_tfidf(docs, "doc_id", "text")
-    w = m.transform(docs, "doc_id", "text")
-    lsa = X.fit_lsa(w, m.vocab.count(), m.n_docs, 5)
-    g = lsa.components @ lsa.components.T
-    assert np.allclose(g, np.eye(5), atol=1e-8)
-    assert np.all(np.diff(lsa.singular_values) <= 1e-9)
-    assert 0 < lsa.explained_variance_ratio.sum() <= 1 + 1e-9
+@pytest.fixture(scope="module")
+def corpus(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    m = X.fit_tfidf(docs, "text")
+    return docs, m, X.fit_lsa(docs, "text", m, 5)
+
+
+def dense(weights, size, ids):
+    row = {i: k for k, i in enumerate(ids)}
+    out = np.zeros((len(ids), size))
+    for r in weights.collect():
+        out[row[r["doc_id"]], r["term_index"]] = r["weight"]
+    return out
+
+
+def test_lsa_equals_the_decomposition_of_the_whole_matrix(spark, corpus):
+    docs, m, lsa = corpus
+    ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
+    x = dense(m.transform(docs, "doc_id", "text"), m.size, ids)
+    _, s, vt = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(lsa.singular_values, s[:5], rtol=1e-6)
+    assert np.allclose(lsa.components @ lsa.components.T, np.eye(5), atol=1e-8)
+    # the same subspace: the projection of one basis on the other keeps its length
+    assert np.allclose(np.linalg.svd(lsa.components @ vt[:5].T)[1], 1.0, atol=1e-5)
+    z = x @ lsa.components.T
+    assert np.allclose(lsa.explained_variance, z.var(0), atol=1e-9)
+    assert lsa.total_variance == pytest.approx(x.var(0).sum(), abs=1e-9)
+    got = {r["doc_id"]: r["lsa"] for r in X.lsa_scores(docs, "text", m, lsa).collect()}
+    assert np.allclose(np.array([got[i] for i in ids]), z, atol=1e-9)
+
+
+def test_vectors_equal_the_long_weights(spark, corpus):
+    docs, m, _ = corpus
+    ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
+    x = dense(m.transform(docs, "doc_id", "text"), m.size, ids)
+    got = {r["doc_id"]: r["tfidf"].toArray() for r in m.vectors(docs, "text").select("doc_id", "tfidf").collect()}
+    assert np.allclose(np.array([got[i] for i in ids]), x, atol=1e-12)
+
+
+def test_repeated_and_null_ids_keep_their_own_text(spark, corpus):
+    docs, m, lsa = corpus
+    text = docs.first()["text"]
+    odd = spark.createDataFrame([(1, text), (1, "nothing known"), (None, text), (2, None)], "doc_id long, text string")
+    rows = X.lsa_scores(odd, "text", m, lsa).collect()
+    assert len(rows) == 4 and rows[0]["lsa"] == rows[2]["lsa"] and any(rows[0]["lsa"])
+    assert rows[3]["lsa"] == [0.0] * 5
+
+
+def test_similar_terms_and_topics_by_brute_force(spark, corpus):
+    docs, m, lsa = corpus
+    term, load = m.terms[3][0], lsa.components.T
+    cos = [(t[0], float(load[t[3]] @ load[3] / np.linalg.norm(load[t[3]]) / np.linalg.norm(load[3]))) for t in m.terms if t[3] != 3]
+    want = sorted(cos, key=lambda x: (-x[1], x[0]))[:4]
+    asked = spark.createDataFrame([(term,), ("no such term",), (None,)], "term string")
+    got = X.term_similarity(spark, m, lsa, asked, n=4).orderBy("rank").collect()
+    assert [(r["similar_term"], round(r["cosine"], 9)) for r in got] == [(t, round(c, 9)) for t, c in want]
+    assert X.similar_terms(m, lsa, "no such term") == []
+    scored = X.lsa_scores(docs, "text", m, lsa).limit(5).collect()
+    frame = spark.createDataFrame(scored, "doc_id long, text string, lsa array<double>")
+    top = X.document_topics(frame, ["doc_id"], n=2).collect()
+    for r in scored:
+        order = sorted(range(5), key=lambda c: (-abs(r["lsa"][c]), c))[:2]
+        assert [(t["component"], t["score"]) for t in top if t["doc_id"] == r["doc_id"]] == [(c, r["lsa"][c]) for c in order]
+
+
+def test_empty_corpus_has_no_components(spark):
+    none = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    m = X.fit_tfidf(none, "text")
+    lsa = X.fit_lsa(none, "text", m)
+    assert m.size == 0 and lsa.k == 0 and X.lsa_scores(none, "text", m, lsa).count() == 2
 
 
 def test_scaler_uses_population_std_and_guards_zero(spark):
@@ -50,28 +111,23 @@ def test_scaler_uses_population_std_and_guards_zero(spark):
 
 
 def test_unseen_category_gets_zero(spark):
-    train = spark.createDataFrame([("b",), ("a",)], "c string")
-    model = FE.fit_label_codes(train, ["c"])
-    codes = FE.code_table(model, ["c"], spark)
+    train = spark.createDataFrame([("b",), ("a",), ("a",), (None,)], "c string")
+    codes = FE.fit_label_codes(train, ["c"])
     assert {r["value"]: r["code"] for r in codes.collect()} == {"a": 0, "b": 1}
     new = spark.createDataFrame([("b",), ("zzz",)], "c string")
     got = {r["c"]: r["c_code"] for r in FE.encode_unseen_zero(new, codes, "c").collect()}
     assert got == {"b": 1, "zzz": 0}
+    assert {r["c"]: r["c_code"] for r in FE.apply_codes(new, codes, ["c"]).collect()} == {"b": 1, "zzz": 2}
 
 
-def test_gramian_equals_brute_force(spark):
-    from collections import defaultdict
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    m = X.fit_tfidf(docs, "doc_id", "text")
-    w = m.transform(docs, "doc_id", "text").cache()
-    v = m.vocab.count()
-    g = X.gramian(w, v)
-    by = defaultdict(list)
-    for r in w.select("doc_id", "term_index", "weight").collect():
-        by[r[0]].append((r[1], r[2]))
-    brute = np.zeros((v, v))
-    for ents in by.values():
-        for i, a in ents:
-            for j, b in ents:
-                brute[i, j] += a * b
-    assert np.abs(brute - g).max() < 1e-12
+def test_codes_over_several_ranges_follow_the_order_of_values(spark):
+    rows = [(f"v{(i * 7919) % 5000:05d}", f"w{i % 3}") for i in range(20000)]
+    df = spark.createDataFrame(rows, "a string, b string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        codes = FE.fit_label_codes(df, ["a", "b"]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for c, k in (("a", 0), ("b", 1)):
+        values = sorted({r[k] for r in rows})
+        assert {r["value"]: r["code"] for r in codes if r["feature"] == c} == {v: i for i, v in enumerate(values)}

@@ -31,7 +31,7 @@ def _level_keys(level: str) -> list[str]:
     return LEVELS[level]
 
 
-def _method_level_aggs(target: str = "shipping_weight_kg"):
+def method_level_aggs(target: str = "shipping_weight_kg"):
     """First level: per (keys, shipping_method) partial sums and counts."""
     return [
         F.sum(target).alias("_w"), F.sum("request_urgency").alias("_u"),
@@ -40,7 +40,7 @@ def _method_level_aggs(target: str = "shipping_weight_kg"):
     ]
 
 
-def _series_level_aggs():
+def series_level_aggs():
     """Second level over <= 3 method rows per group: totals, means, and the
     most frequent method (smallest name on ties) via ``min_by`` — all
     declarative aggregates (codegen), no object-hash ``mode`` buffer."""
@@ -83,20 +83,24 @@ def daily_aggregate(shipments: DataFrame, level: str = "region") -> DataFrame:
     require_columns(shipments, ["date", "shipping_weight_kg", "request_urgency",
                                 "shipping_method"], "daily_aggregate")
     keys = _level_keys(level)
-    per_method = shipments.groupBy("date", *keys, "shipping_method").agg(*_method_level_aggs())
-    agg = per_method.groupBy("date", *keys).agg(*_series_level_aggs())
+    per_method = shipments.groupBy("date", *keys, "shipping_method").agg(*method_level_aggs())
+    agg = per_method.groupBy("date", *keys).agg(*series_level_aggs())
     return _finish_daily(agg, keys)
 
 
 def daily_all_levels(shipments: DataFrame) -> DataFrame:
-    """All four levels in one scan with GROUPING SETS; ``level`` names the set."""
+    """All four levels from one scan: the records are reduced to (date, region,
+    SKU, method) first, and the grouping sets roll those few rows up, so the
+    records are not repeated per level; ``level`` names the set."""
+    fine = shipments.groupBy("date", "region", "sku_category", "shipping_method").agg(*method_level_aggs())
     sets = [[F.col("date"), F.col("shipping_method")],
             [F.col("date"), F.col("region"), F.col("shipping_method")],
             [F.col("date"), F.col("sku_category"), F.col("shipping_method")],
             [F.col("date"), F.col("region"), F.col("sku_category"), F.col("shipping_method")]]
-    per_method = (shipments.groupingSets(sets, "date", "region", "sku_category", "shipping_method")
-                  .agg(*_method_level_aggs(), F.grouping_id().alias("gid")))
-    agg = per_method.groupBy("gid", "date", "region", "sku_category").agg(*_series_level_aggs())
+    per_method = (fine.groupingSets(sets, "date", "region", "sku_category", "shipping_method")
+                  .agg(*[F.sum(c).alias(c) for c in ("_w", "_u", "_c", "_f", "_n")], F.max("_q").alias("_q"),
+                       F.grouping_id().alias("gid")))
+    agg = per_method.groupBy("gid", "date", "region", "sku_category").agg(*series_level_aggs())
     # gid bits: date, region, sku_category, shipping_method (method always grouped)
     level = (F.when(F.col("gid") == 6, "all").when(F.col("gid") == 2, "region")
              .when(F.col("gid") == 4, "sku").otherwise("region_sku"))

@@ -2,13 +2,13 @@
 
 Centroids are fitted state bounded by K x D; they travel as literal
 vectors inside the expressions, so assigning points is a per-row
-projection with no join and no shuffle. Fitting uses Spark ML's
-distributed KMeans (k-means|| init) on a cached feature frame.
+projection with no join and no shuffle. Fitting advances all starts (and,
+in the search, all K) together, one scan and one aggregation a pass
+(see ``kmeans.py``).
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as VX
+from . import kmeans as KM
 
 K_RANGE = (3, 10)
 N_INIT = 10
 MAX_ITER = 300
 SEED = 42
 SILHOUETTE_MARGIN = 0.05
+TOL = 1e-4
+MINI_BATCHES = 20
 
 
 def initial_centroids_lowest_id(points: DataFrame, id_col: str, feat: str, k: int) -> list:
@@ -83,11 +86,6 @@ class KMeansFit:
     history: list = field(default_factory=list)
 
 
-def _vectors(points: DataFrame, feat: str) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-    return points.select(array_to_vector(VX.as_double_array(feat)).alias("features"))
-
-
 def _renumber(centers: np.ndarray) -> list:
     """Canonical cluster ids: ascending centroid norm, then coordinates."""
     order = sorted(range(len(centers)), key=lambda i: (float(np.linalg.norm(centers[i])),
@@ -95,46 +93,53 @@ def _renumber(centers: np.ndarray) -> list:
     return [centers[i].tolist() for i in order]
 
 
-def mean_feature_variance(points: DataFrame, feat: str, dim: int) -> float:
-    x = F.col(feat)
-    r = points.agg(*[F.var_pop(x[i]).alias(f"v{i}") for i in range(dim)]).first()
-    return float(np.mean([r[f"v{i}"] or 0.0 for i in range(dim)]))
+def _finished(vectors: DataFrame, model: KM.Model) -> KMeansFit:
+    """Centres in canonical order with the bounds of the distances."""
+    centers = _renumber(model.centers)
+    st = assign(vectors, "x", centers).agg(F.sum("sq_distance").alias("inertia"), F.min("distance").alias("lo"),
+                                           F.max("distance").alias("hi")).first()
+    return KMeansFit(centers, float(st["inertia"]), len(centers), model.seed, float(st["lo"]), float(st["hi"]))
 
 
-def relative_tolerance(points: DataFrame, feat: str, k: int, tol: float = 1e-4,
-                       dim: int | None = None) -> float:
-    """Spark's KMeans stops when every centre moves less than ``epsilon``;
-    the reference's rule stops when the summed squared centre shift is below
-    ``tol`` x the mean feature variance. epsilon = sqrt(tol * var / k)
-    guarantees the reference's condition."""
-    dim = dim or len(points.select(feat).first()[0])
-    return max(math.sqrt(tol * mean_feature_variance(points, feat, dim) / k), 1e-12)
+def _fitted(vectors: DataFrame, dim: int, ks: list[int], n_init: int, max_iter: int, seed: int, tol: float) -> dict[int, KM.Model]:
+    mean, variance = KM.mean_and_variance(vectors, dim)
+    models = KM.starts(vectors, [(k, s) for k in ks for s in range(seed, seed + n_init)], dim)
+    return KM.best_of(KM.advance(vectors, models, mean, variance, max_iter, tol))
 
 
 def kmeans_fit(points: DataFrame, feat: str, k: int, n_init: int = N_INIT, max_iter: int = MAX_ITER,
-               seed: int = SEED, tol: float = 1e-4, parallelism: int = 8) -> KMeansFit:
-    """Best of ``n_init`` Spark ML KMeans runs (k-means|| init, seeds
-    seed..seed+n_init-1) by training cost; restarts are independent jobs on
-    the same input and run concurrently."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-    vec = _vectors(points, feat)
-    eps = relative_tolerance(points, feat, k, tol)
-
-    def one(s):
-        # uncached input: KMeans persists its own vector RDD for the iterations
-        m = KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=s, tol=eps).fit(vec)
-        return m.summary.trainingCost, s, m
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as ex:
-        runs = list(ex.map(one, range(seed, seed + n_init)))
-    cost, best_seed, best = min(runs, key=lambda r: (r[0], r[1]))
-    centers = _renumber(np.array([c.tolist() for c in best.clusterCenters()]))
-    a = assign(points, feat, centers)
-    st = a.agg(F.sum("sq_distance").alias("inertia"), F.min("distance").alias("lo"),
-               F.max("distance").alias("hi")).first()
-    return KMeansFit(centers, float(st["inertia"]), k, best_seed, float(st["lo"]), float(st["hi"]))
+               seed: int = SEED, tol: float = TOL) -> KMeansFit:
+    """Best of ``n_init`` k-means++ starts by training cost; all starts
+    advance together on one persisted frame. Stops by the reference's rule:
+    summed squared centre shift at most ``tol`` x mean feature variance."""
+    vectors, dim = KM.prepared(points, feat)
+    try:
+        return _finished(vectors, _fitted(vectors, dim, [k], n_init, max_iter, seed, tol)[k])
+    finally:
+        vectors.unpersist()
+
+
+def kmeans_minibatch(points: DataFrame, feat: str, k: int, n_init: int = N_INIT, batches: int = MINI_BATCHES,
+                     seed: int = SEED) -> KMeansFit:
+    """Mini-batch k-means: one visit of all points in ``batches`` random
+    parts, per-centre counts as learning rates, one aggregate a part; the
+    best of ``n_init`` starts by the cost over all points. On clustered data
+    its inertia stays within 10 % of ``kmeans_fit`` (see the tests) for one
+    scan instead of one per pass."""
+    from pyspark import StorageLevel
+    KM.ship_package(points.sparkSession)
+    vectors = KM.usable(points, feat).withColumn("part", F.floor(F.rand(seed) * batches).cast("int")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        first = vectors.first()
+        dim = len(first["x"])
+        mean, _ = KM.mean_and_variance(vectors, dim)
+        models = KM.starts(vectors.where("part = 0").select("x") if vectors.where("part = 0").limit(k).count() == k
+                           else vectors.select("x"), [(k, s) for s in range(seed, seed + n_init)], dim)
+        best = KM.best_of(KM.advance_by_batches(vectors, models, mean, batches))[k]
+        return _finished(vectors.select("x"), best)
+    finally:
+        vectors.unpersist()
 
 
 def anomaly_score(assigned: DataFrame, lo: float, hi: float, distance: str = "distance") -> Column:
@@ -146,26 +151,29 @@ def anomaly_score(assigned: DataFrame, lo: float, hi: float, distance: str = "di
     return F.lit(0.0)
 
 
+def search(points: DataFrame, feat: str, k_range=K_RANGE, n_init: int = N_INIT, max_iter: int = MAX_ITER,
+           seed: int = SEED, tol: float = TOL) -> tuple[DataFrame, dict[int, KMeansFit]]:
+    """The (k, inertia, silhouette, silhouette_sq) curve and the best fit of
+    every K. All K and starts advance together; both silhouettes of all K
+    come from one further pass each (``cluster_eval``)."""
+    from .cluster_eval import curve_silhouettes
+    vectors, dim = KM.prepared(points, feat)
+    try:
+        best = _fitted(vectors, dim, list(range(k_range[0], k_range[1] + 1)), n_init, max_iter, seed, tol)
+        fits = {k: _finished(vectors, m) for k, m in sorted(best.items())}
+        sil = curve_silhouettes(vectors, [np.array(f.centers) for f in fits.values()])
+        rows = [(k, f.inertia, *s) for (k, f), s in zip(fits.items(), sil)]
+    finally:
+        vectors.unpersist()
+    schema = "k int, inertia double, silhouette double, silhouette_sq double"
+    return points.sparkSession.createDataFrame(rows, schema), fits
+
+
 def k_search(points: DataFrame, feat: str, k_range=K_RANGE, n_init: int = N_INIT, max_iter: int = MAX_ITER,
-             seed: int = SEED, parallelism: int = 8) -> DataFrame:
-    """(k, inertia, silhouette) for every K, the best of ``n_init`` starts
-    each, fitted on one cached frame (fits for different K run as concurrent jobs); silhouette uses squared
-    Euclidean distances from cluster sums (O(n K), exact)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from .cluster_eval import silhouette_summary
-    spark = points.sparkSession
-    pts = points.select(feat).cache()
-
-    def one(k):
-        fit = kmeans_fit(pts, feat, k, n_init=n_init, max_iter=max_iter, seed=seed, parallelism=1)
-        a = assign(pts, feat, fit.centers)
-        return k, fit.inertia, silhouette_summary(a, feat, "cluster", len(fit.centers[0]))
-
-    with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        rows = list(ex.map(one, range(k_range[0], k_range[1] + 1)))
-    pts.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+             seed: int = SEED) -> DataFrame:
+    """(k, inertia, silhouette, silhouette_sq) for every K, the best of
+    ``n_init`` starts each."""
+    return search(points, feat, k_range, n_init, max_iter, seed)[0]
 
 
 def elbow_point(curve: DataFrame, k: str = "k", inertia: str = "inertia") -> DataFrame:

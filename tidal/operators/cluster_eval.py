@@ -4,7 +4,10 @@ Per-cluster sufficient statistics (size n_C, vector sum S_C, sum of squared
 norms Q_C) are one partial aggregation, K x D numbers in total. Every
 point-to-cluster mean squared distance follows from them exactly:
 sum_{y in C} |x - y|^2 = n_C |x|^2 - 2 x.S_C + Q_C, so silhouettes cost
-O(n K) and never emit point pairs. External metrics come from the small
+O(n K) and never emit point pairs. Euclidean distances have no such
+identity: there every point meets a bounded sample of the points
+(``SAMPLE`` rows, all of them on smaller tables, where the values are
+exact), block by block. External metrics come from the small
 (cluster x class) contingency table.
 """
 
@@ -12,10 +15,17 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as VX
+from ..session import ship_package
+from . import kmeans as KM
+
+#: Rows that Euclidean mean distances are measured against.
+SAMPLE = 4096
 
 
 def cluster_stats(points: DataFrame, feat: str, cluster_col: str, dim: int) -> list[dict]:
@@ -62,11 +72,136 @@ def silhouette_samples(points: DataFrame, feat: str, cluster_col: str, dim: int,
     return p.withColumn("a", a).withColumn("b", b).withColumn("silhouette", s).drop("msd")
 
 
-def silhouette_summary(points: DataFrame, feat: str, cluster_col: str, dim: int) -> float:
+def silhouette_sq_summary(points: DataFrame, feat: str, cluster_col: str, dim: int) -> float:
     s = silhouette_samples(points, feat, cluster_col, dim)
     return float(s.agg(F.avg("silhouette")).first()[0])
 
 
+# --- Euclidean distances against a bounded sample -----------------------------------
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances; those of near points are taken from the
+    differences, as the product form cancels there."""
+    mean = y.mean(0)
+    x, y = x - mean, y - mean
+    d = KM.squared_distances(x, y)
+    i, j = np.nonzero(d <= 1e-6 * (np.square(x).sum(1)[:, None] + np.square(y).sum(1)[None, :]))
+    for k in range(0, len(i), 16 * KM.BATCH):
+        a, b = i[k:k + 16 * KM.BATCH], j[k:k + 16 * KM.BATCH]
+        d[a, b] = np.square(x[a] - y[b]).sum(1)
+    return np.sqrt(d)
+
+
+def _means(sums: np.ndarray, counts: np.ndarray, own: np.ndarray, sampled: np.ndarray) -> np.ndarray:
+    """Mean distance to each cluster; a sampled point is not its own neighbour."""
+    n = np.tile(counts, (len(sums), 1))
+    n[np.flatnonzero(sampled), own[sampled]] -= 1
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n > 0, sums / n, np.nan)
+
+
+def _silhouettes(means: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, (b - a) / max(a, b)); 0 where a or b has no member."""
+    rows = np.arange(len(means))
+    a = means[rows, own]
+    others = means.copy()
+    others[rows, own] = np.nan
+    b = np.where(np.isnan(others).all(1), np.nan, np.nanmin(np.where(np.isnan(others), np.inf, others), axis=1, initial=np.inf))
+    top = np.fmax(a, b)
+    s = np.where(np.isnan(a) | np.isnan(b) | ~(top > 0), 0.0, (b - a) / np.where(top > 0, top, 1.0))
+    return a, b, s
+
+
+def sample_mark(points: DataFrame, key: str, rows: int):
+    """The condition that a row is one of at most ``rows`` taken by a hash of
+    the unique column ``key``; always true on smaller tables."""
+    h = F.xxhash64(key)
+    cut = points.select(h.alias("h")).orderBy("h").offset(rows).limit(1).collect()
+    return F.coalesce(h < F.lit(cut[0]["h"]), F.lit(False)) if cut else F.lit(True)
+
+
+def mean_distances(points: DataFrame, key: str, feat: str, cluster_col: str, sample: int = SAMPLE) -> DataFrame:
+    """Adds ``md``: an ARRAY of (cluster, mean Euclidean distance to its other
+    members, NULL without any), and the silhouette parts ``a``, ``b`` and
+    ``silhouette``. Distances are measured against the sampled members."""
+    ship_package(points.sparkSession)
+    marked = points.withColumn("_in", sample_mark(points, key, sample))
+    taken = marked.where("_in").select(F.col(feat).cast("array<double>").alias("x"), F.col(cluster_col).alias("c")).collect()  # <= sample rows
+    ids = sorted({r["c"] for r in taken})
+    y = np.array([r["x"] for r in taken], float)
+    member = np.array([[r["c"] == c for c in ids] for r in taken], float)
+    counts, place = member.sum(0), {c: i for i, c in enumerate(ids)}
+
+    @F.pandas_udf("md array<struct<c:int,m:double>>, a double, b double, silhouette double")
+    def measure(x, c, inside):
+        import pandas as pd
+        out = []
+        for at in range(0, len(x), KM.BATCH):
+            part = np.stack(x.iloc[at:at + KM.BATCH].to_numpy())
+            own = c.iloc[at:at + KM.BATCH].map(lambda v: place.get(v, -1)).to_numpy(np.int64)
+            known = own >= 0
+            m = _means(_distances(part, y) @ member, counts, own, inside.iloc[at:at + KM.BATCH].to_numpy(bool) & known)
+            a, b, s = _silhouettes(m, np.where(known, own, 0))
+            for row, ra, rb, rs, k in zip(m, a, b, s, known):
+                none = lambda v: None if np.isnan(v) else float(v)
+                out.append(([{"c": i, "m": none(v)} for i, v in zip(ids, row)], none(ra) if k else None, none(rb) if k else None,
+                            float(rs) if k else 0.0))
+        return pd.DataFrame(out, columns=["md", "a", "b", "silhouette"])
+
+    out = marked.withColumn("_m", measure(F.col(feat).cast("array<double>"), F.col(cluster_col).cast("int"), "_in"))
+    return out.select("*", "_m.md", "_m.a", "_m.b", "_m.silhouette").drop("_m", "_in")
+
+
+def silhouette(points: DataFrame, key: str, feat: str, cluster_col: str, sample: int = SAMPLE) -> DataFrame:
+    """Per-point Euclidean silhouette with a and b."""
+    return mean_distances(points, key, feat, cluster_col, sample).drop("md")
+
+
+def silhouette_summary(points: DataFrame, key: str, feat: str, cluster_col: str, sample: int = SAMPLE) -> float:
+    return float(silhouette(points, key, feat, cluster_col, sample).agg(F.avg("silhouette")).first()[0] or 0.0)
+
+
+def curve_silhouettes(vectors: DataFrame, centers: list[np.ndarray], sample: int = SAMPLE) -> list[tuple[float, float]]:
+    """(Euclidean, squared) mean silhouette of the column ``x`` for several
+    sets of centres at once: the distances to the sample are computed once a
+    row and serve all of them."""
+    ship_package(vectors.sparkSession)
+    keyed = vectors.withColumn("_k", F.monotonically_increasing_id())
+    marked = keyed.withColumn("_in", sample_mark(keyed, "_k", sample)).select("x", "_in")
+    y = np.array([r["x"] for r in marked.where("_in").select("x").collect()], float)  # <= sample rows
+    dim, n_models = y.shape[1], len(centers)
+    mean = y.mean(0)
+    own_sample = [KM.squared_distances(y - mean, c - mean).argmin(1) for c in centers]
+    member = [np.eye(len(c))[o] for c, o in zip(centers, own_sample)]
+    models = [KM.Model(len(c), 0, c) for c in centers]
+    n, cost, sums = KM.group_sums(vectors, models, mean)
+    cut = np.cumsum([len(c) for c in centers])[:-1]
+    ns, ss = np.split(n, cut), np.split(sums, cut)
+    # sum of squared norms of a cluster: its cost about the centre, moved to the mean
+    qs = [c + 2 * ((m - mean) * s).sum(1) - k * np.square(m - mean).sum(1)
+          for c, m, s, k in zip(np.split(cost, cut), centers, ss, ns)]
+
+    def run(batches):
+        total = np.zeros((n_models, 3))
+        for part, x in KM.matrices(batches):
+            inside = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            d, z = _distances(x, y), x - mean
+            norm = np.square(z).sum(1)[:, None]
+            for k in range(n_models):
+                own = KM.squared_distances(z, centers[k] - mean).argmin(1)
+                s = _silhouettes(_means(d @ member[k], member[k].sum(0), own, inside), own)[2]
+                all_ = np.maximum(ns[k] * norm - 2 * z @ ss[k].T + qs[k], 0.0)
+                s2 = _silhouettes(_means(all_, ns[k], own, np.ones(len(x), bool)), own)[2]
+                total[k] += s.sum(), s2.sum(), len(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_models), pa.int32()), *[pa.array(total[:, c]) for c in range(3)]],
+                                         ["m", "s", "s2", "n"])
+
+    parts = marked.mapInArrow(run, "m int, s double, s2 double, n double")
+    got = {r["m"]: r for r in parts.groupBy("m").agg(F.sum("s").alias("s"), F.sum("s2").alias("s2"), F.sum("n").alias("n")).collect()}
+    assert dim and len(got) == n_models
+    return [(got[k]["s"] / got[k]["n"], got[k]["s2"] / got[k]["n"]) for k in range(n_models)]
+
+
 def centroids_from_stats(stats: list[dict]) -> dict:
     return {s["cluster"]: [v / s["n"] for v in s["s"]] for s in stats}
 
@@ -133,13 +268,15 @@ def davies_bouldin(points: DataFrame, feat: str, cluster_col: str, dim: int) ->
     return r.groupBy("i").agg(F.max("r").alias("ri")).agg(F.avg("ri").alias("davies_bouldin"))
 
 
-def cluster_quality(points: DataFrame, feat: str, cluster_col: str, dim: int) -> DataFrame:
-    """Per cluster: size, mean silhouette, cohesion, separation (nearest
+def cluster_quality(points: DataFrame, key: str, feat: str, cluster_col: str, dim: int) -> DataFrame:
+    """Per cluster: size, mean Euclidean and squared silhouette, cohesion, separation (nearest
     other centroid; +infinity with a single cluster)."""
     stats = cluster_stats(points, feat, cluster_col, dim)
     cents = centroids_from_stats(stats)
-    sil = silhouette_samples(points, feat, cluster_col, dim, stats).groupBy(cluster_col).agg(
-        F.avg("silhouette").alias("silhouette_avg"))
+    sq = silhouette_samples(points, feat, cluster_col, dim, stats).groupBy(cluster_col).agg(
+        F.avg("silhouette").alias("silhouette_sq_avg"))
+    sil = silhouette(points, key, feat, cluster_col).groupBy(cluster_col).agg(F.avg("silhouette").alias("silhouette_avg")) \
+        .join(sq, cluster_col)
     coh = per_cluster_cohesion(points, feat, cluster_col, cents)
     sep = {}
     for i, j, d in centroid_pairs(cents):

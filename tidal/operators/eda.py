@@ -154,17 +154,3 @@ def sample_rows(df: DataFrame, key: str, n: int = 5000, seed: int = 42) -> DataF
     Independent of partitioning, unlike ``sample``; top-k runs per partition."""
     return (df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
             .orderBy("_h", key).limit(n).drop("_h"))
-
-
-def rebalance_weights(df: DataFrame, cls: str, anomaly_classes: list[str],
-                      target_ratio: float) -> DataFrame:
-    """Per-class weights so the anomaly classes together make up
-    ``target_ratio`` of the weighted rows, proportions inside each group kept."""
-    counts = df.groupBy(cls).agg(F.count(F.lit(1)).alias("n"))
-    is_anom = F.col(cls).isin(*anomaly_classes)
-    tot = F.sum("n").over(ALL_ROWS())
-    anom = F.sum(F.when(is_anom, F.col("n")).otherwise(0)).over(ALL_ROWS())
-    share = anom / tot
-    w = F.when(is_anom, F.try_divide(F.lit(target_ratio), share)) \
-         .otherwise(F.try_divide(F.lit(1 - target_ratio), 1 - share))
-    return counts.withColumn("current_share", F.col("n") / tot).withColumn("weight", w)

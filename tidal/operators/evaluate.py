@@ -23,19 +23,67 @@ def _err(y: str, yhat: str) -> Column:
     return F.col(yhat) - F.col(y)
 
 
+def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], accuracy: int = 20_000) -> DataFrame:
+    """(by..., p, quantile): exact linear-interpolation quantiles without one
+    task holding a group's values. A quantile sketch brackets each one within
+    about ``2 / accuracy`` of the ranks; the values below a bracket are counted,
+    those inside are counted by value and only they are put in order."""
+    v = df.where(F.col(value).isNotNull()).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
+                                                  F.col(value).cast("double").alias("_v"))
+    keys = [f"_k{i}" for i in range(len(by))]
+    wide = sorted({x for p in probs for x in (max(0.0, p - 2.0 / accuracy), min(1.0, p + 2.0 / accuracy))})
+    sketch = v.groupBy(*keys).agg(F.percentile_approx("_v", wide, accuracy).alias("_q"), F.count(F.lit(1)).alias("_n"),
+                                  F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    ends = [(p, wide.index(max(0.0, p - 2.0 / accuracy)), wide.index(min(1.0, p + 2.0 / accuracy))) for p in probs]
+    few = F.col("_n") <= accuracy  # a bracket might not hold two ranks: take all values
+    brackets = sketch.select(*keys, "_n", F.explode(F.array(*[F.struct(
+        F.lit(float(p)).alias("p"), F.when(few | F.lit(p <= 2.0 / accuracy), F.col("_min")).otherwise(F.col("_q")[a]).alias("lo"),
+        F.when(few | F.lit(p >= 1 - 2.0 / accuracy), F.col("_max")).otherwise(F.col("_q")[b]).alias("hi")) for p, a, b in ends])).alias("_b"))
+    lists = brackets.groupBy(*keys).agg(F.first("_n").alias("_n"), F.collect_list("_b").alias("_bs"))  # one entry a quantile
+    if keys:
+        cond = None
+        for k in keys:
+            c = F.col(f"l.{k}").eqNullSafe(F.col(f"v.{k}"))
+            cond = c if cond is None else cond & c
+        j = v.alias("v").join(lists.alias("l"), cond).select("v.*", "_n", "_bs")
+    else:
+        r = lists.first()
+        if r is None:
+            return df.sparkSession.createDataFrame([], "p double, quantile double")
+        j = v.withColumn("_n", F.lit(r["_n"])).withColumn("_bs", F.array(*[
+            F.struct(F.lit(x["p"]).alias("p"), F.lit(x["lo"]).alias("lo"), F.lit(x["hi"]).alias("hi")) for x in r["_bs"]]))
+    # below a bracket every value counts as one group, inside it keeps itself
+    hit = j.select(*keys, "_n", "_v", F.explode("_bs").alias("_b")).where(F.col("_v") <= F.col("_b.hi"))
+    below = F.col("_v") < F.col("_b.lo")
+    c = hit.groupBy(*keys, F.col("_b.p").alias("p"), F.when(~below, F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
+    w = Window.partitionBy(*keys, "p").orderBy(F.col("_v").asc_nulls_first())
+    c = c.withColumn("_last", F.sum("_c").over(w) - 1).withColumn("_rank", F.col("p") * (F.col("_n") - 1))
+    low = F.min(F.when(F.col("_last") >= F.floor("_rank"), F.col("_v")))
+    high = F.min(F.when(F.col("_last") >= F.ceil("_rank"), F.col("_v")))
+    out = c.groupBy(*keys, "p").agg((low + (high - low) * F.first(F.col("_rank") - F.floor("_rank"))).alias("quantile"))
+    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, by)], "p", "quantile")
+
+
 def regression_metrics(df: DataFrame, by: list[str] = ("model",), y: str = "y",
-                       yhat: str = "yhat", exact_median: bool = True) -> DataFrame:
+                       yhat: str = "yhat") -> DataFrame:
     """mae, mse, rmse, mape_eps (%), r2 (NULL when the actuals are constant),
-    max_error, median_ae per group."""
+    max_error, exact median_ae per group; a model with most of the errors is
+    spread over all tasks (``exact_quantiles``)."""
+    by = list(by)
     e = _err(y, yhat)
     ae = F.abs(e)
-    med = F.median(ae) if exact_median else F.percentile_approx(ae, 0.5, 10000)
     g = df.groupBy(*by).agg(
         F.avg(ae).alias("mae"), F.avg(e * e).alias("mse"),
         (F.avg(ae / (F.abs(F.col(y)) + F.lit(EPS))) * 100).alias("mape_eps"),
         F.sum(e * e).alias("_ss_res"), (F.var_pop(y) * F.count(F.lit(1))).alias("_ss_tot"),
-        F.max(ae).alias("max_error"), med.cast("double").alias("median_ae"),
-        F.count(F.lit(1)).alias("n"))
+        F.max(ae).alias("max_error"), F.count(F.lit(1)).alias("n"))
+    med = exact_quantiles(df.select(*by, ae.alias("_ae")), by, "_ae", [0.5])
+    med = med.select(*[F.col(c).alias(f"_m{i}") for i, c in enumerate(by)], F.col("quantile").alias("median_ae"))
+    cond = F.lit(True)
+    for i, c in enumerate(by):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_m{i}"))
+    g = g.join(med, cond, "left")
     return g.select(*by, "mae", "mse", F.sqrt("mse").alias("rmse"), "mape_eps",
                     F.when(F.col("_ss_tot") > 0, 1 - F.col("_ss_res") / F.col("_ss_tot"))
                     .alias("r2"), "max_error", "median_ae", "n")
@@ -129,13 +177,12 @@ def error_quantiles(df: DataFrame, y: str = "y", yhat: str = "yhat", m: int = 99
     """Q-Q table: empirical error quantiles (linear interpolation) beside
     exact normal quantiles on the same probability grid."""
     grid = normal_quantile_grid(m)
-    ps = [p for p, _ in grid]
-    q = df.agg(F.percentile(_err(y, yhat), ps).alias("q"), F.stddev_samp(_err(y, yhat)).alias("sd"))
-    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.lit(z).alias("z"))
-                    for i, (p, z) in enumerate(grid)])
-    return q.select(F.explode(arr).alias("g"), "q", "sd").select(
-        F.col("g.i").alias("i"), F.col("g.p").alias("p"), F.col("g.z").alias("normal_q"),
-        F.col("q")[F.col("g.i")].alias("error_q"), (F.col("g.z") * F.col("sd")).alias("reference_q"))
+    e = df.select(_err(y, yhat).alias("_e"))
+    q = exact_quantiles(e, [], "_e", [p for p, _ in grid])
+    sd = e.agg(F.stddev_samp("_e")).first()[0]
+    rows = df.sparkSession.createDataFrame([(i, float(p), float(z)) for i, (p, z) in enumerate(grid)], "i int, p double, normal_q double")
+    return rows.join(q, "p").select("i", "p", "normal_q", F.col("quantile").alias("error_q"),
+                                    (F.col("normal_q") * F.lit(sd).cast("double")).alias("reference_q"))
 
 
 def backtest_metrics(preds: DataFrame, by: list[str] = (), cutoff: str = "cutoff", ds: str = "ds",

@@ -1,8 +1,8 @@
 """Feature preparation: codes for categories, scalers, feature vectors.
 
-Fitting reduces a column to a few numbers (mean, population std, min, max,
-the sorted distinct values) with one aggregation; the fitted numbers are
-inlined as literals when transforming, so scoring is a per-row projection.
+Fitting a scaler reduces a column to a few numbers (mean, population std,
+min, max) with one aggregation; they are inlined as literals when transforming,
+so scoring is a per-row projection. Category codes are a distributed table.
 """
 
 from __future__ import annotations
@@ -10,9 +10,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 EVENT_NUMERIC = ["duration_ms", "bytes_transferred", "port", "hour_of_day", "day_of_week"]
 LOG_FEATURES = ["duration_ms", "bytes_transferred"]
 
@@ -77,43 +79,44 @@ def fit_minmax(df: DataFrame, cols: list) -> MinMaxModel:
     return MinMaxModel(list(cols), [r[f"lo_{c}"] for c in cols], [r[f"hi_{c}"] for c in cols])
 
 
-def fit_label_codes(df: DataFrame, cols: list):
-    """Sorted distinct string values -> 0..n-1 per column (Spark ML
-    StringIndexer, alphabetical order); unseen values get n at transform
-    (``handleInvalid='keep'``); see :func:`encode_unseen_zero` for the
-    scoring rule."""
-    from pyspark.ml.feature import StringIndexer
-    strs = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-    idx = StringIndexer(inputCols=cols, outputCols=[f"{c}_code" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    return idx.fit(strs)
-
-
-def code_table(model, cols: list, spark) -> DataFrame:
-    """Long (feature, value, code) table of a fitted indexer."""
-    rows = [(c, v, i) for c, labels in zip(cols, model.labelsArray) for i, v in enumerate(labels)]
-    return spark.createDataFrame(rows, "feature string, value string, code int")
-
-
-def apply_codes(df: DataFrame, model, cols: list) -> DataFrame:
-    cast = df
-    for c in cols:
-        cast = cast.withColumn(f"_s_{c}", F.col(c).cast("string"))
-    m = model.copy()
-    m.setInputCols([f"_s_{c}" for c in cols])
-    out = m.transform(cast)
+def fit_label_codes(df: DataFrame, cols: list) -> DataFrame:
+    """(feature, value, code): the distinct values of each column as strings,
+    numbered 0..n-1 in their order. Values are ranged over partitions, counted
+    per range, and each range starts at the count of the ranges before it; no
+    value passes the driver and no task holds more than one range."""
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
+                                          for c in cols])).alias("p")).select("p.*").where("value is not null").distinct()
+    ranged = pairs.repartitionByRange("feature", "value").withColumn("part", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint()  # ranges are sampled: fix them before they are read twice
+    before = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("feature", "part").agg(F.count(F.lit(1)).alias("n")) \
+        .select("feature", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row a range
+    rank = F.row_number().over(Window.partitionBy("feature", "part").orderBy("value")) - 1
+    return ranged.withColumn("rank", rank).join(offsets, ["feature", "part"]) \
+        .select("feature", "value", (F.col("start") + F.col("rank")).cast("int").alias("code"))
+
+
+def _joined_code(df: DataFrame, codes: DataFrame, col: str, feature: str, how: str) -> DataFrame:
+    t = codes.filter(F.col("feature") == feature).select(F.col("value").alias("_v"), F.col("code").alias(f"{col}_code"))
+    return df.join(t, F.col(col).cast("string") == F.col("_v"), how).drop("_v")
+
+
+def apply_codes(df: DataFrame, codes: DataFrame, cols: list) -> DataFrame:
+    """Value -> code per column by equi-joins on the code table; values not
+    seen in training get the next free code of their column."""
+    sizes = {r["feature"]: r["n"] for r in codes.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a column
+    out = df
     for c in cols:
-        out = out.withColumn(f"{c}_code", F.col(f"{c}_code").cast("int")).drop(f"_s_{c}")
+        out = _joined_code(out, codes, c, c, "left")
+        out = out.withColumn(f"{c}_code", F.coalesce(F.col(f"{c}_code"), F.lit(sizes.get(c, 0))))
     return out
 
 
 def encode_unseen_zero(df: DataFrame, codes: DataFrame, col: str, feature: str | None = None) -> DataFrame:
-    """Value -> code by a left join on the (small) code table; values not
-    seen in training get code 0."""
-    feature = feature or col
-    t = codes.filter(F.col("feature") == feature).select(F.col("value").alias("_v"),
-                                                         F.col("code").alias(f"{col}_code"))
-    j = df.join(t, F.col(col).cast("string") == F.col("_v"), "left").drop("_v")
+    """Value -> code by a left join on the code table; values not seen in
+    training get code 0."""
+    j = _joined_code(df, codes, col, feature or col, "left")
     return j.withColumn(f"{col}_code", F.coalesce(F.col(f"{col}_code"), F.lit(0)))
 
 
@@ -122,12 +125,6 @@ def assemble(df: DataFrame, cols: list, out: str = "features") -> DataFrame:
     return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols]))
 
 
-def assemble_vector(df: DataFrame, cols: list, out: str = "features") -> DataFrame:
-    """Spark ML vector form (VectorAssembler) for ML estimators."""
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
-
-
 def pca_2d(df: DataFrame, feat: str, k: int = 2):
     """Centred k-d projection (Spark ML PCA does not centre in transform,
     so the mean is subtracted first) and the explained-variance ratios."""

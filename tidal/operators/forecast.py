@@ -1,15 +1,13 @@
-"""Forecasters for many daily series.
-
-* Direct forecaster: one global Spark ML linear model per horizon step over
-  lag + calendar (+ series one-hot, + exogenous) features. Fitting is
-  distributed (normal equations: one pass per model).
-* Seasonal forecaster: per-series piecewise-linear trend with changepoints
-  plus weekly/yearly Fourier terms (+ regressors), ridge-penalised. The
-  per-series solve is a small dense system in ``applyInPandas`` (one group
-  = one series' daily rows, bounded by the calendar). The design matrix is
-  the same expression in NumPy (fit) and in Spark SQL (predict and
-  components), so prediction stays a JVM projection over a one-row-per-
-  series coefficient table.
+"""Seasonal forecaster for many daily series.
+
+Per-series piecewise-linear trend with changepoints plus weekly/yearly
+Fourier terms (+ regressors), ridge-penalised. The per-series solve is a
+small dense system in ``applyInPandas`` (one group = one series' daily rows,
+bounded by the calendar). The design matrix is the same expression in NumPy
+(fit) and in Spark SQL (predict and components), so prediction stays a JVM
+projection over a one-row-per-series coefficient table. Past the data the
+last slope goes on and the band widens by what the fitted slope changes
+would do there. The direct forecaster is in ``direct.py``.
 """
 
 from __future__ import annotations
@@ -18,10 +16,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import sinks
 from . import series as S
 
 # Fixed values that must equal the reference's seasonal model settings.
@@ -36,91 +35,7 @@ INTERVAL_Z = 1.2815515655446004  # two-sided 80% normal interval
 REGRESSORS = ["is_month_end", "failure_rate_pct", "avg_urgency"]
 VERSIONS = {"v1": {"regressors": []}, "v2": {"regressors": REGRESSORS}}
 EPOCH = "1970-01-01"
-
-# ---------------------------------------------------------------- direct models
-
-
-DIRECT_VERSIONS = {
-    "v1": {"series_onehot": False, "exogenous": False, "reg": 0.0},
-    "v2": {"series_onehot": True, "exogenous": False, "reg": 0.0},
-    "v3": {"series_onehot": True, "exogenous": True, "reg": 0.1},
-}
-
-
-def direct_frame(daily: DataFrame, series: list[str], target: str = "y", date_col: str = "date",
-                 lags: int = S.HISTORY, horizon: int = S.HORIZON) -> DataFrame:
-    """Per origin row: lag_0..lag_{lags-1} (lag_0 = the origin's own value),
-    calendar of the origin, and targets y_h1..y_h{horizon}."""
-    w = Window.partitionBy(*series).orderBy(date_col)
-    out = daily.withColumn("lag_0", F.col(target))
-    for k in range(1, lags):
-        out = out.withColumn(f"lag_{k}", F.lag(target, k).over(w))
-    out = S.lead_targets(out, series, target, date_col, horizon)
-    return (out.withColumn("dow", F.weekday(date_col).cast("double"))
-               .withColumn("month", F.month(date_col).cast("double")))
-
-
-def _direct_inputs(version: str, lags: int, series: list[str]) -> list[str]:
-    v = DIRECT_VERSIONS[version]
-    cols = [f"lag_{k}" for k in range(lags)] + ["dow", "month"]
-    if v["series_onehot"]:
-        cols += [f"{s}_vec" for s in series]
-    if v["exogenous"]:
-        cols += ["failure_rate_pct", "avg_urgency"]
-    return cols
-
-
-def fit_direct_forecaster(train: DataFrame, series: list[str], version: str = "v3",
-                          lags: int = S.HISTORY, horizon: int = S.HORIZON, parallelism: int = 4):
-    """7 LinearRegression fits (one per step) on one cached frame; series
-    keys one-hot encoded for v2/v3. Returns (pipeline stages, models)."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    v = DIRECT_VERSIONS[version]
-    prep = []
-    if v["series_onehot"]:
-        idx = StringIndexer(inputCols=series, outputCols=[f"{s}_idx" for s in series],
-                            handleInvalid="keep", stringOrderType="alphabetAsc").fit(train)
-        ohe = OneHotEncoder(inputCols=[f"{s}_idx" for s in series],
-                            outputCols=[f"{s}_vec" for s in series], handleInvalid="keep")
-        ohe_m = ohe.fit(idx.transform(train))
-        prep = [idx, ohe_m]
-    asm = VectorAssembler(inputCols=_direct_inputs(version, lags, series), outputCol="x",
-                          handleInvalid="error")
-    data = train
-    for p in prep:
-        data = p.transform(data)
-    data = asm.transform(data).cache()
-
-    def fit(h):
-        lr = LinearRegression(featuresCol="x", labelCol=f"y_h{h}", regParam=v["reg"],
-                              elasticNetParam=0.0, solver="normal")
-        return h, lr.fit(data.filter(F.col(f"y_h{h}").isNotNull()))
-
-    # the per-step models are independent one-pass jobs on one cached frame
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        models = dict(ex.map(fit, range(1, horizon + 1)))
-    data.unpersist()
-    return prep + [asm], models
-
-
-def predict_direct(frame: DataFrame, stages, models: dict, series: list[str], date_col: str = "date",
-                   model_name: str = "direct") -> DataFrame:
-    """Long predictions (series, origin, h, y, yhat) for every origin."""
-    data = frame
-    for s in stages:
-        data = s.transform(data)
-    outs = []
-    for h, m in models.items():
-        outs.append(m.transform(data).select(
-            *series, F.col(date_col).alias("origin"), F.lit(h).alias("h"),
-            F.col(f"y_h{h}").alias("y"), F.col("prediction").alias("yhat")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out.withColumn("model", F.lit(model_name))
-
+SEASONAL_NAME = "seasonal_forecaster"
 
 # -------------------------------------------------------------- seasonal model
 
@@ -244,9 +159,63 @@ def _slice_dot(x: Column, beta: Column, start: Column, length: Column) -> Column
     return _dot(F.slice(x, start, length), F.slice(beta, start, length))
 
 
+def trend_variance(ds: str = "ds") -> Column:
+    """Variance (in units of y_scale) that slope changes after the last
+    training day add to the trend; 0 up to that day. As in the history they
+    are taken to come at the rate of the fitted changepoints, with Laplace
+    sizes of the fitted mean absolute change b: S changes per unit of time,
+    each of variance 2 b^2, at uniform places, give 2 S b^2 tau^3 / 3 at a
+    distance tau past the data."""
+    tau = F.greatest(F.datediff(F.col(ds), F.col("t0")).cast("double") / F.col("span_days") - 1.0, F.lit(0.0))
+    n = F.size("changepoints")
+    b = F.when(n > 0, F.aggregate(F.slice("beta", F.lit(3), n), F.lit(0.0), lambda s, v: s + F.abs(v)) / n).otherwise(F.lit(0.0))
+    return F.lit(2.0) * n * b * b * F.pow(tau, F.lit(3.0)) / 3.0
+
+
+def future_rows(coefs: DataFrame, periods: int = S.HORIZON, version: str = "v1", regressors: DataFrame | None = None,
+                series: list[str] = ()) -> DataFrame:
+    """(series, ds, regressors) for the ``periods`` days after every series'
+    last training day. Known regressor values join by (series, ds); month
+    ends follow from the date; what stays unknown takes the training mean."""
+    regs = VERSIONS[version]["regressors"]
+    last = coefs.select("series", F.date_add("t0", F.col("span_days").cast("int")).alias("last_date"), "reg_mean")
+    out = S.future_frame(last, periods, ["series", "reg_mean"])
+    given = [c for c in regs if regressors is not None and c in regressors.columns]
+    if given:
+        key = F.concat_ws("|", *[F.col(s).cast("string") for s in series]) if series else F.lit("ALL")
+        known = regressors.select(key.alias("series"), "ds", *[F.col(c).alias(f"_k_{c}") for c in given])
+        out = out.join(known, ["series", "ds"], "left")
+    for i, c in enumerate(regs):
+        values = [F.col(f"_k_{c}")] if c in given else []
+        values += [F.col(c)] if c in out.columns else []
+        out = out.withColumn(c, F.coalesce(*values, F.col("reg_mean")[i]).cast("double"))
+    return out.select("series", "ds", *regs)
+
+
+def predict_future(coefs: DataFrame, periods: int = S.HORIZON, version: str = "v1", regressors: DataFrame | None = None,
+                   series: list[str] = ()) -> DataFrame:
+    """yhat with the widening band for the days after the data, every series."""
+    rows = future_rows(coefs, periods, version, regressors, series)
+    p = predict_seasonal(rows, coefs, version, series=["series"])
+    return p.select("series", "ds", "yhat", "yhat_lower", "yhat_upper")
+
+
+def save_seasonal(spark: SparkSession, root: str, coefs: DataFrame, version: str, metrics: dict | None = None,
+                  description: str = "") -> str:
+    """The per-series coefficients as a versioned table."""
+    return sinks.save_model(spark, root, SEASONAL_NAME, version, "seasonal_forecaster", {"coefficients": coefs}, metrics or {},
+                            {"regressors": VERSIONS[version]["regressors"]}, description)
+
+
+def load_seasonal(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """The saved coefficients; a missing version names those that exist."""
+    return sinks.load_model(spark, root, SEASONAL_NAME, version)[1]["coefficients"]
+
+
 def predict_seasonal(rows: DataFrame, coefs: DataFrame, version: str = "v1",
                      with_components: bool = False, series: list[str] = ()) -> DataFrame:
-    """yhat with an 80% band for the given (series, ds[, regressors]) rows;
+    """yhat with an 80% band for the given (series, ds[, regressors]) rows, in
+    the history or past it (the band widens there, see ``trend_variance``);
     components (trend, weekly, yearly, regressors) on the model scale."""
     regs = VERSIONS[version]["regressors"]
     key = F.concat_ws("|", *[F.col(s).cast("string") for s in series]) if series else F.lit("ALL")
@@ -258,8 +227,8 @@ def predict_seasonal(rows: DataFrame, coefs: DataFrame, version: str = "v1",
     x = design_sql("ds", regs)
     j = j.withColumn("_x", x)
     z = _dot(F.col("_x"), F.col("beta")) * F.col("y_scale")
-    lo = z - F.lit(INTERVAL_Z) * F.col("sigma") * F.col("y_scale")
-    hi = z + F.lit(INTERVAL_Z) * F.col("sigma") * F.col("y_scale")
+    sd = F.sqrt(F.pow(F.col("sigma"), 2) + trend_variance("ds")) * F.col("y_scale")
+    lo, hi = z - F.lit(INTERVAL_Z) * sd, z + F.lit(INTERVAL_Z) * sd
     back = F.expm1  # model was fitted on log1p(y)
     j = j.withColumn("yhat", F.when(F.col("log_target"), back(z)).otherwise(z)) \
          .withColumn("yhat_lower", F.when(F.col("log_target"), back(lo)).otherwise(lo)) \

@@ -15,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import require_columns
+from ..session import ensure_checkpoint_dir, require_columns
 
 TRAIN_RATIO = 0.70
 VAL_RATIO = 0.15
@@ -39,6 +39,14 @@ def rolling_mean(df: DataFrame, value: str, series: list[str], order: str = "dat
     return out
 
 
+def computed_once(daily: DataFrame) -> DataFrame:
+    """A daily frame written once to the shared checkpoint folder, for queries
+    that read it several times (cut dates, last values, means): the records
+    below it are scanned once, and a lost executor repeats nothing."""
+    ensure_checkpoint_dir(daily.sparkSession)
+    return daily.checkpoint()
+
+
 def date_bounds(df: DataFrame, date_col: str = "date") -> tuple[_dt.date, _dt.date]:
     r = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
     return r["lo"], r["hi"]

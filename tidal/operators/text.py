@@ -1,26 +1,44 @@
-"""TF-IDF and latent semantic analysis, long form first.
-
-The corpus becomes a long table (doc, term, tf) by one explode and one
-aggregation; document frequencies, the vocabulary and the weights are
-further aggregations and equi-joins. The vocabulary (<= ``max_features``
-terms) and the SVD basis (vocab x k) are the only fitted state and are
-bounded by parameters, not by the corpus.
+"""TF-IDF and latent semantic analysis as per-row transforms.
+
+Fitting aggregates only the vocabulary: every task counts the terms of its
+documents and sends (term, documents, occurrences) once, so no (document,
+term) row is shuffled. Scoring is a projection of each row: the fitted state
+(<= ``max_features`` terms, their idf and the vocab x k basis) travels with the
+function, and no join on a document id is needed, so repeated or null ids are
+rows like any other. The decomposition is Spark's ``RowMatrix.computeSVD``.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as TX
+from ..session import ship_package
 
 MAX_FEATURES = 1000
 MIN_DF = 2
 MAX_DF = 0.95
 N_COMPONENTS = 20
+ROWS = 500
+HELD_TERMS = 500_000
+
+
+def with_tokens(df: DataFrame, text_col: str, out: str, min_len: int = 2, ip_token: str = TX.IP_TOKEN,
+                num_token: str = TX.NUM_TOKEN) -> DataFrame:
+    """``df`` with the cleaned words of ``text_col`` without stop words."""
+    from pyspark.ml.feature import StopWordsRemover
+    raw = F.filter(F.split(F.lower(TX.clean_text(text_col, ip_token, num_token)), " "),
+                   lambda x: F.length(x) >= min_len)
+    remover = StopWordsRemover(inputCol=f"{out}_raw", outputCol=out, stopWords=list(TX.english_stop_words()),
+                               caseSensitive=True)
+    return remover.transform(df.withColumn(f"{out}_raw", raw)).drop(f"{out}_raw")
 
 
 def document_terms(df: DataFrame, id_col: str, text_col: str, min_len: int = 2,
@@ -32,34 +50,59 @@ def document_terms(df: DataFrame, id_col: str, text_col: str, min_len: int = 2,
     transformers (hash-set stop-word removal, NGram) read that column.
     Written as one nested expression, Catalyst inlines the whole regex
     chain into every reference (measured ~9x slower on sf0.1 documents)."""
-    from pyspark.ml.feature import NGram, StopWordsRemover
-    raw = F.filter(F.split(F.lower(TX.clean_text(text_col, ip_token, num_token)), " "),
-                   lambda x: F.length(x) >= min_len)
-    a = df.select(F.col(id_col).alias("doc_id"), raw.alias("_raw"))
-    b = StopWordsRemover(inputCol="_raw", outputCol="_toks", stopWords=list(TX.english_stop_words()),
-                         caseSensitive=True).transform(a)
+    from pyspark.ml.feature import NGram
+    b = with_tokens(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text", "_toks",
+                    min_len, ip_token, num_token)
     if not ngrams:
         return b.select("doc_id", F.col("_toks").alias("terms"))
     c = NGram(n=2, inputCol="_toks", outputCol="_bi").transform(b)
     return c.select("doc_id", F.concat("_toks", "_bi").alias("terms"))
 
 
-def term_frequencies(terms: DataFrame) -> DataFrame:
-    """Long (doc_id, term, tf). The (doc, term) key spreads even one huge
-    document over all reducers; partial aggregation runs before the shuffle.
-    ``explode_outer`` + a null filter keeps Spark from re-deriving the term
-    array in an inferred ``size(terms) > 0`` filter."""
-    return (terms.select("doc_id", F.explode_outer("terms").alias("term"))
-            .filter(F.col("term").isNotNull())
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+def count_terms(tokens: str | None, ngrams: bool) -> Counter:
+    """Occurrences of the words (joined by one space) and their bigrams."""
+    words = tokens.split(" ") if tokens else []
+    counts = Counter(words)
+    if ngrams:
+        counts.update(map(" ".join, zip(words, words[1:])))
+    return counts
+
+
+def term_statistics(df: DataFrame, text_col: str, min_len: int = 2, ngrams: bool = True,
+                    ip_token: str = TX.IP_TOKEN, num_token: str = TX.NUM_TOKEN) -> DataFrame:
+    """(term, df, total_tf) over all documents. A task sends a term once for
+    up to ``HELD_TERMS`` different terms."""
+    ship_package(df.sparkSession)
 
+    def run(batches):
+        docs, occurrences = Counter(), Counter()
 
-def fit_vocabulary(tf: DataFrame, n_docs: int, min_df: int = MIN_DF, max_df: float = MAX_DF,
+        def told():
+            terms = list(occurrences)
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([docs[t] for t in terms], pa.int64()),
+                                               pa.array([occurrences[t] for t in terms], pa.int64())], ["term", "df", "tf"])
+
+        for batch in batches:
+            for tokens in batch.column(0).to_pylist():
+                counts = count_terms(tokens, ngrams)
+                docs.update(counts.keys())
+                occurrences.update(counts)
+            if len(occurrences) >= HELD_TERMS:
+                yield told()
+                docs.clear()
+                occurrences.clear()
+        yield told()
+
+    words = with_tokens(df.select(F.col(text_col).alias("_text")), "_text", "_toks", min_len, ip_token, num_token)
+    parts = words.select(F.array_join("_toks", " ").alias("t")).mapInArrow(run, "term string, df long, tf long")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("total_tf"))
+
+
+def fit_vocabulary(stats: DataFrame, n_docs: int, min_df: int = MIN_DF, max_df: float = MAX_DF,
                    max_features: int = MAX_FEATURES) -> DataFrame:
     """Terms with min_df <= df <= max_df * n, the ``max_features`` most
     frequent by corpus count (ties: term), indexed alphabetically, with the
     smoothed idf ln((1+n)/(1+df)) + 1."""
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_tf"))
     kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
     top = kept.orderBy(F.col("total_tf").desc(), F.col("term")).limit(max_features)
     # <= max_features rows: ranking them in one partition is bounded by the parameter
@@ -68,46 +111,91 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, min_df: int = MIN_DF, max_df: flo
                       (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def tfidf_weights(tf: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Long (doc_id, term, term_index, tf, weight): tf * idf, L2-normalised
-    per document over vocabulary terms."""
-    w = tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term")  # <= max_features rows
-    w = w.withColumn("raw", F.col("tf") * F.col("idf"))
-    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return (w.join(norms, "doc_id")
-            .select("doc_id", "term", "term_index", "tf", (F.col("raw") / F.col("norm")).alias("weight")))
-
-
 @dataclass
 class TfidfModel:
-    vocab: DataFrame
+    """The fitted vocabulary (<= ``max_features`` rows, held on the driver)."""
+
+    terms: list            # (term, df, total_tf, term_index, idf) in index order
     n_docs: int
     min_len: int = 2
     ngrams: bool = True
     ip_token: str = TX.IP_TOKEN
     num_token: str = TX.NUM_TOKEN
-    train_df: DataFrame | None = None   # the fitted corpus ...
-    train_tf: DataFrame | None = None   # ... and its persisted term frequencies
 
-    def transform(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        if df is self.train_df and self.train_tf is not None:
-            return tfidf_weights(self.train_tf, self.vocab)  # no second tokenisation pass
-        terms = document_terms(df, id_col, text_col, self.min_len, self.ngrams,
-                               self.ip_token, self.num_token)
-        return tfidf_weights(term_frequencies(terms), self.vocab)
+    def vocabulary(self, spark) -> DataFrame:
+        return spark.createDataFrame([tuple(t) for t in self.terms],
+                                     "term string, df long, total_tf long, term_index int, idf double")
 
+    @property
+    def size(self) -> int:
+        return len(self.terms)
+
+    def tokens(self, df: DataFrame, text_col: str, out: str) -> DataFrame:
+        return with_tokens(df, text_col, out, self.min_len, self.ip_token, self.num_token)
+
+    def weigher(self):
+        """The function from a document's words to its (indices, tf, weights):
+        tf * idf, L2-normalised over vocabulary terms."""
+        place = {t[0]: t[3] for t in self.terms}
+        idf = np.array([t[4] for t in self.terms])
+        ngrams = self.ngrams
+
+        def weigh(tokens):
+            counts = count_terms(tokens, ngrams)
+            found = sorted((place[t], c) for t, c in counts.items() if t in place)
+            index = np.array([i for i, _ in found], np.int64)
+            tf = np.array([c for _, c in found], np.int64)
+            raw = tf * idf[index]
+            return index, tf, raw / np.sqrt((raw * raw).sum()) if len(raw) else raw
+        return weigh
 
-def fit_tfidf(df: DataFrame, id_col: str, text_col: str, min_len: int = 2, ngrams: bool = True,
+    def transform(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """Long (doc_id, term, term_index, tf, weight), one row per vocabulary
+        term of every row; no shuffle."""
+        ship_package(df.sparkSession)
+        weigh, names = self.weigher(), [t[0] for t in self.terms]
+        words = self.tokens(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text", "_toks") \
+            .select("doc_id", F.array_join("_toks", " ").alias("t"))
+        schema = T.StructType([words.schema["doc_id"], *T._parse_datatype_string(
+            "term string, term_index int, tf long, weight double").fields])
+
+        def run(batches):
+            terms = pa.array(names, pa.string())
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(at, ROWS)
+                    found = [weigh(t) for t in batch.column(1).to_pylist()]
+                    row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+                    index, tf, weight = (np.concatenate([f[k] for f in found]) for k in range(3))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(row)), terms.take(pa.array(index.astype(np.int64))),
+                         pa.array(index, pa.int32()), pa.array(tf, pa.int64()), pa.array(weight, pa.float64())], schema.names)
+
+        return words.mapInArrow(run, schema)
+
+    def vectors(self, df: DataFrame, text_col: str, out: str = "tfidf") -> DataFrame:
+        """``df`` with the sparse TF-IDF vector (Spark ML) of every row."""
+        from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
+        from pyspark.ml.linalg import Vectors
+        t = self.tokens(df, text_col, "_toks")
+        if self.ngrams:
+            t = NGram(n=2, inputCol="_toks", outputCol="_bi").transform(t)
+            t = t.withColumn("_toks", F.concat("_toks", "_bi")).drop("_bi")
+        count = CountVectorizerModel.from_vocabulary([x[0] for x in self.terms], inputCol="_toks", outputCol="_tf")
+        scale = ElementwiseProduct(scalingVec=Vectors.dense([x[4] for x in self.terms]), inputCol="_tf", outputCol="_raw")
+        unit = Normalizer(p=2.0, inputCol="_raw", outputCol=out)
+        return unit.transform(scale.transform(count.transform(t))).drop("_toks", "_tf", "_raw")
+
+
+def fit_tfidf(df: DataFrame, text_col: str, min_len: int = 2, ngrams: bool = True,
               min_df: int = MIN_DF, max_df: float = MAX_DF, max_features: int = MAX_FEATURES,
               ip_token: str = TX.IP_TOKEN, num_token: str = TX.NUM_TOKEN) -> TfidfModel:
-    """Fit the vocabulary; the corpus' term frequencies stay persisted
-    (memory and disk) so transforming the same corpus reuses them."""
-    from pyspark import StorageLevel
+    """Fit the vocabulary: one pass over the texts, one aggregation by term."""
     n = df.count()
-    terms = document_terms(df, id_col, text_col, min_len, ngrams, ip_token, num_token)
-    tf = term_frequencies(terms).persist(StorageLevel.MEMORY_AND_DISK)
-    vocab = fit_vocabulary(tf, n, min_df, max_df, max_features)
-    return TfidfModel(vocab.cache(), n, min_len, ngrams, ip_token, num_token, df, tf)
+    stats = term_statistics(df, text_col, min_len, ngrams, ip_token, num_token)
+    vocab = fit_vocabulary(stats, n, min_df, max_df, max_features).collect()  # <= max_features rows
+    terms = sorted((tuple(r) for r in vocab), key=lambda r: r[3])
+    return TfidfModel(terms, n, min_len, ngrams, ip_token, num_token)
 
 
 # --- LSA ---------------------------------------------------------------------------
@@ -120,6 +208,10 @@ class LsaModel:
     total_variance: float           # sum of population variances of all tf-idf columns
     n_docs: int
 
+    @property
+    def k(self) -> int:
+        return len(self.components)
+
     def basis(self, spark) -> DataFrame:
         """Long (term_index, component, loading) table, k x V rows."""
         k, v = self.components.shape
@@ -132,131 +224,128 @@ class LsaModel:
             np.zeros_like(self.explained_variance)
 
 
-def gramian(weights: DataFrame, n_features: int) -> np.ndarray:
-    """X^T X of the (doc x term) TF-IDF matrix, V x V.
-
-    Documents are grouped (one row each, at most V entries). Per Arrow batch
-    of whole documents: short documents add their outer products directly
-    (cost = sum of squared term counts), long ones form a dense block whose
-    X^T X is one BLAS call. Each partition emits its upper triangle once and Spark ML's
-    Summarizer sums those vectors (partial aggregation). Only the V x V
-    result (bounded by the vocabulary) reaches the driver."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    from ..session import ship_package
-    ship_package(weights.sparkSession)
-    v = n_features
-    iu = np.triu_indices(v)
-    docs = weights.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("e")).select(
-        F.transform("e", lambda x: x["term_index"]).alias("idx"),
-        F.transform("e", lambda x: x["weight"]).alias("w"))
-
-    def partial(batches):
-        import pandas as pd
-        g = np.zeros((v, v))
-        seen = False
-        for pdf in batches:
-            lens = pdf["idx"].map(len).to_numpy()
-            if lens.sum() == 0:
-                continue
-            idx = pdf["idx"].to_numpy()
-            w = pdf["w"].to_numpy()
-            if int((lens.astype(np.int64) ** 2).sum()) <= len(pdf) * v:
-                # short documents: sum each document's outer product directly
-                for k in np.unique(lens[lens > 0]):
-                    sel = np.flatnonzero(lens == k)
-                    ii = np.stack(idx[sel]).astype(np.int64)          # (n_k, k)
-                    ww = np.stack(w[sel])
-                    keys = (ii[:, :, None] * v + ii[:, None, :]).ravel()
-                    vals = (ww[:, :, None] * ww[:, None, :]).ravel()
-                    g += np.bincount(keys, vals, minlength=v * v).reshape(v, v)
-            else:
-                # long documents: one dense block per batch, X^T X by BLAS
-                rows = np.repeat(np.arange(len(pdf)), lens)
-                block = np.zeros((len(pdf), v))
-                block[rows, np.concatenate(idx).astype(int)] = np.concatenate(w)
-                g += block.T @ block
-            seen = True
-        if seen:
-            yield pd.DataFrame({"g": [g[iu]]})
-
-    parts = docs.mapInPandas(partial, "g array<double>")
-    total = parts.select(array_to_vector("g").alias("g")).agg(Summarizer.sum(F.col("g")).alias("s"))
-    flat = np.array(total.select(vector_to_array("s")).first()[0])
-    out = np.zeros((v, v))
-    out[iu] = flat
-    return out + np.triu(out, 1).T
-
-
-def fit_lsa(weights: DataFrame, n_features: int, n_docs: int, k: int = N_COMPONENTS) -> LsaModel:
-    """Truncated SVD of the (uncentred) TF-IDF matrix: the top-k
-    eigenvectors of the distributed Gramian are the right singular vectors.
-    Sign rule: the largest-|loading| entry of each component is positive."""
-    g = gramian(weights, n_features)
-    evals, evecs = np.linalg.eigh(g)
-    order = np.argsort(evals)[::-1][:k]
-    comps = evecs[:, order].T.copy()
-    for c in range(comps.shape[0]):
-        j = int(np.argmax(np.abs(comps[c])))
-        if comps[c, j] < 0:
-            comps[c] = -comps[c]
-    sv = np.sqrt(np.clip(evals[order], 0, None))
-    # variance of projected columns over all docs (docs without terms project to 0)
-    col_stats = weights.groupBy("term_index").agg(F.sum("weight").alias("s"),
-                                                  F.sum(F.col("weight") ** 2).alias("s2")).collect()
-    total = sum(r["s2"] / n_docs - (r["s"] / n_docs) ** 2 for r in col_stats)
-    model = LsaModel(comps, sv, np.zeros(len(order)), float(total), n_docs)
-    proj = lsa_transform(weights, model, weights.sparkSession)
-    st = proj.agg(*[F.sum(f"lsa_{c}").alias(f"s{c}") for c in range(len(order))],
-                  *[F.sum(F.col(f"lsa_{c}") ** 2).alias(f"q{c}") for c in range(len(order))]).first()
-    model.explained_variance = np.array(
-        [st[f"q{c}"] / n_docs - (st[f"s{c}"] / n_docs) ** 2 for c in range(len(order))])
-    return model
+def lsa_scores(df: DataFrame, text_col: str, tfidf: TfidfModel, model: LsaModel, out: str = "lsa") -> DataFrame:
+    """``df`` with the k component scores of every row's text (zeros for a
+    text without vocabulary terms): a per-row projection, no join."""
+    ship_package(df.sparkSession)
+    weigh, basis = tfidf.weigher(), np.ascontiguousarray(model.components.T)
 
+    @F.pandas_udf("array<double>")
+    def project(tokens):
+        found = [weigh(t) for t in tokens]
+        return type(tokens)([w @ basis[i] for i, _, w in found])
 
-def lsa_transform(weights: DataFrame, model: LsaModel, spark=None) -> DataFrame:
-    """(doc_id, lsa_0..lsa_{k-1}) = tf-idf row x basis. The basis is joined
-    as one array per term (V rows, bounded by the vocabulary) and the k
-    sums run as one partial aggregation per document."""
-    spark = spark or weights.sparkSession
-    k, v = model.components.shape
-    basis = spark.createDataFrame(
-        [(int(j), [float(x) for x in model.components[:, j]]) for j in range(v)],
-        "term_index int, loadings array<double>")
-    j = weights.join(F.broadcast(basis), "term_index")
-    return j.groupBy("doc_id").agg(
-        *[F.sum(F.col("weight") * F.col("loadings")[c]).alias(f"lsa_{c}") for c in range(k)])
+    words = tfidf.tokens(df, text_col, "_toks")
+    return words.withColumn(out, project(F.array_join("_toks", " "))).drop("_toks")
 
 
-def lsa_features(ids: DataFrame, id_col: str, projected: DataFrame, k: int) -> DataFrame:
-    """Every document gets k components (0 for documents without terms)."""
-    out = ids.select(F.col(id_col).alias("doc_id")).join(projected, "doc_id", "left")
-    return out.fillna(0.0, subset=[f"lsa_{c}" for c in range(k)])
+def fit_lsa(df: DataFrame, text_col: str, tfidf: TfidfModel, k: int = N_COMPONENTS) -> LsaModel:
+    """Truncated SVD of the (uncentred) TF-IDF matrix by Spark's
+    ``RowMatrix.computeSVD``, whose iterations multiply by the distributed
+    rows. Sign rule: the largest-|loading| entry of a component is positive."""
+    from pyspark import StorageLevel
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+    k, n = min(k, tfidf.size), tfidf.n_docs
+    if k == 0:
+        return LsaModel(np.zeros((0, 0)), np.zeros(0), np.zeros(0), 0.0, n)
+    rows = tfidf.vectors(df.select(F.col(text_col).alias("_text")), "_text").select("tfidf") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    svd = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "tfidf"), n, tfidf.size).computeSVD(k, False, 1e-9)
+    comps, sv = svd.V.toArray().T.copy(), np.array(svd.s.toArray())
+    for c in range(len(comps)):
+        if comps[c, np.argmax(np.abs(comps[c]))] < 0:
+            comps[c] = -comps[c]
+    var = rows.select(Summarizer.variance(F.col("tfidf")).alias("v")).select(F.aggregate(
+        vector_to_array("v"), F.lit(0.0), lambda a, x: a + x)).first()[0]
+    rows.unpersist()
+    # Spark's variance divides by n - 1
+    model = LsaModel(comps, sv, np.zeros(len(sv)), float(var) * (n - 1) / n if n > 1 else 0.0, n)
+    s = lsa_scores(df.select(F.col(text_col).alias("_text")), "_text", tfidf, model)
+    st = s.agg(F.array(*[F.var_pop(F.col("lsa")[c]) for c in range(len(sv))])).first()[0]
+    model.explained_variance = np.array([x or 0.0 for x in st])
+    return model
 
 
-def top_terms_per_component(model: LsaModel, vocab: DataFrame, n: int = 10) -> DataFrame:
+def similar_terms(tfidf: TfidfModel, model: LsaModel, term: str, n: int = 10) -> list[tuple[str, float]]:
+    """The ``n`` terms whose loadings have the highest cosine with those of
+    ``term`` (ties: term); none for a term outside the vocabulary. Works on
+    the fitted V x k basis alone."""
+    place = {t[0]: t[3] for t in tfidf.terms}
+    if term not in place:
+        return []
+    load = model.components.T
+    norm = np.linalg.norm(load, axis=1)
+    dots = load @ load[place[term]]
+    ok = (norm > 0) & (norm[place[term]] > 0)
+    ok[place[term]] = False
+    cos = [(t[0], float(dots[t[3]] / (norm[t[3]] * norm[place[term]]))) for t in tfidf.terms if ok[t[3]]]
+    return sorted(cos, key=lambda x: (-x[1], x[0]))[:n]
+
+
+def term_similarity(spark, tfidf: TfidfModel, model: LsaModel, asked: DataFrame, term_col: str = "term",
+                    n: int = 10) -> DataFrame:
+    """(term, similar_term, cosine, rank) for every row of ``asked``; a term
+    outside the vocabulary has no row."""
+    ship_package(spark)
+
+    @F.pandas_udf("array<struct<similar_term:string,cosine:double>>")
+    def nearest(terms):
+        known = {t: similar_terms(tfidf, model, t, n) for t in set(terms)}
+        return type(terms)([[{"similar_term": s, "cosine": c} for s, c in known[t]] for t in terms])
+
+    rows = asked.select(F.col(term_col).alias("term")).where("term is not null")
+    return rows.select("term", F.posexplode(nearest("term")).alias("place", "s")) \
+        .select("term", "s.similar_term", "s.cosine", (F.col("place") + 1).alias("rank"))
+
+
+def document_topics(scored: DataFrame, keep: list[str], lsa_col: str = "lsa", n: int = 3) -> DataFrame:
+    """The ``n`` components with the largest |score| of every row (ties: the
+    smaller component), per row and without a shuffle."""
+    pairs = F.transform(lsa_col, lambda x, i: F.struct((-F.abs(x)).alias("o"), i.alias("component"), x.alias("score")))
+    top = F.slice(F.array_sort(pairs), 1, n)
+    return scored.select(*keep, F.posexplode(top).alias("place", "t")) \
+        .select(*keep, "t.component", "t.score", (F.col("place") + 1).alias("rank"))
+
+
+def top_terms_per_component(model: LsaModel, tfidf: TfidfModel, spark, n: int = 10) -> DataFrame:
     """n largest-|loading| terms per component, with sign."""
-    b = model.basis(vocab.sparkSession).join(vocab.select("term", "term_index"), "term_index")
+    b = model.basis(spark).join(F.broadcast(tfidf.vocabulary(spark).select("term", "term_index")), "term_index")
     w = Window.partitionBy("component").orderBy(F.abs("loading").desc(), "term")
     return b.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def cluster_term_profile(weights: DataFrame, labels: DataFrame, cluster_col: str = "cluster",
+def cluster_term_profile(df: DataFrame, text_col: str, tfidf: TfidfModel, cluster_col: str = "cluster",
                          n: int = 10) -> DataFrame:
     """Mean TF-IDF weight of each term inside each cluster (documents
-    without the term count as 0), top ``n`` terms, cluster size."""
-    sizes = labels.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("n_samples"))
-    s = (weights.join(labels.select(F.col("doc_id"), cluster_col), "doc_id")
-         .groupBy(cluster_col, "term").agg(F.sum("weight").alias("sum_w")))
-    s = s.join(sizes, cluster_col).withColumn("mean_weight", F.col("sum_w") / F.col("n_samples"))
-    w = Window.partitionBy(cluster_col).orderBy(F.col("mean_weight").desc(), "term")
-    return (s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    without the term count as 0), top ``n`` terms, cluster size. The weights
+    meet only in the aggregate of (cluster, term)."""
+    w = tfidf.transform(df.select(F.struct(F.col(cluster_col)).alias("_c"), F.col(text_col).alias("_text")), "_c", "_text")
+    sums = w.groupBy(F.col(f"doc_id.{cluster_col}").alias(cluster_col), "term").agg(F.sum("weight").alias("sum_w"))
+    sizes = df.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("n_samples"))
+    s = sums.join(sizes, sums[cluster_col].eqNullSafe(sizes[cluster_col])).select(
+        sums[cluster_col], "term", (F.col("sum_w") / F.col("n_samples")).alias("mean_weight"), "n_samples")
+    top = Window.partitionBy(cluster_col).orderBy(F.col("mean_weight").desc(), "term")
+    return (s.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= n)
             .select(cluster_col, "rank", "term", "mean_weight", "n_samples"))
 
 
-def rank_terms(weights: DataFrame, key: str = "doc_id", n: int = 5) -> DataFrame:
-    """Top ``n`` terms per key by |weight| (ties: term)."""
-    w = Window.partitionBy(key).orderBy(F.abs("weight").desc(), "term")
-    return weights.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+def rank_terms(df: DataFrame, id_col: str, text_col: str, tfidf: TfidfModel, n: int = 5) -> DataFrame:
+    """Top ``n`` terms of every row by |weight| (ties: term), per row."""
+    ship_package(df.sparkSession)
+    weigh, names = tfidf.weigher(), [t[0] for t in tfidf.terms]
+
+    @F.pandas_udf("array<struct<term:string,weight:double>>")
+    def best(tokens):
+        out = []
+        for t in tokens:
+            index, _, weight = weigh(t)
+            pairs = sorted((-abs(w), names[i], w) for i, w in zip(index.tolist(), weight.tolist()))[:n]
+            out.append([{"term": name, "weight": w} for _, name, w in pairs])
+        return type(tokens)(out)
+
+    words = tfidf.tokens(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text", "_toks")
+    return words.select("doc_id", F.posexplode(best(F.array_join("_toks", " "))).alias("place", "b")) \
+        .select("doc_id", "b.term", "b.weight", (F.col("place") + 1).alias("rank"))

@@ -46,16 +46,12 @@ class EventClusteringModel:
         return [*FE.EVENT_NUMERIC, *[f"lsa_component_{i}" for i in range(self.lsa.components.shape[0])]]
 
     def features(self, events: DataFrame) -> DataFrame:
-        """events + ``features`` (5 scaled numerics ++ k LSA components)."""
+        """events + ``features`` (5 scaled numerics ++ k LSA components): a
+        per-row projection, whatever the ids."""
         e = self.scaler.transform(FE.log1p_features(events))
-        w = self.tfidf.transform(events, "event_id", "log_message")
-        k = self.lsa.components.shape[0]
-        proj = X.lsa_transform(w, self.lsa, events.sparkSession)
-        lsa = X.lsa_features(events.select("event_id"), "event_id", proj, k) \
-            .withColumnRenamed("doc_id", "event_id")
-        cols = [f"{c}_scaled" for c in NUMERIC] + [f"lsa_{i}" for i in range(k)]
-        return FE.assemble(e.join(lsa, "event_id", "left").fillna(0.0, [f"lsa_{i}" for i in range(k)]),
-                           cols, "features")
+        e = X.lsa_scores(e, "log_message", self.tfidf, self.lsa, "_lsa")
+        numeric = F.array(*[F.col(f"{c}_scaled").cast("double") for c in NUMERIC])
+        return e.withColumn("features", F.concat(numeric, "_lsa")).drop("_lsa")
 
     def classify(self, events: DataFrame) -> DataFrame:
         """cluster, interpretation, anomaly score (training bounds, clamped),
@@ -88,7 +84,7 @@ class EventClusteringModel:
                   "ip_token": self.tfidf.ip_token, "num_token": self.tfidf.num_token,
                   "k_reason": self.k_reason}
         return sinks.save_model(spark, root, name, self.version, "kmeans",
-                                {"scaler": sc, "vocab": self.tfidf.vocab, "lsa": lsa, "lsa_values": sv,
+                                {"scaler": sc, "vocab": self.tfidf.vocabulary(spark), "lsa": lsa, "lsa_values": sv,
                                  "centers": cen, "labels": lab}, metrics, config,
                                 "k-means over scaled numerics and LSA text components")
 
@@ -99,7 +95,8 @@ class EventClusteringModel:
         m, cfg = meta["training_metrics"], meta["config"]
         sc = sorted(t["scaler"].collect(), key=lambda r: NUMERIC.index(r["col"]))
         scaler = FE.ScalerModel([r["col"] for r in sc], [r["mean"] for r in sc], [r["scale"] for r in sc])
-        vocab = t["vocab"].cache()
+        vocab = sorted((tuple(r) for r in t["vocab"].select("term", "df", "total_tf", "term_index", "idf").collect()),
+                       key=lambda r: r[3])
         tfidf = X.TfidfModel(vocab, int(m["n_docs"]), json.loads(cfg["min_len"]),
                              json.loads(cfg["ngrams"]), cfg["ip_token"], cfg["num_token"])
         basis = t["lsa"].collect()
@@ -124,36 +121,32 @@ class EventClusteringModel:
                                     cfg.get("k_reason", ""))
 
 
-def event_features_for_fit(events: DataFrame, n_components: int = X.N_COMPONENTS):
-    """Fit scaler + TF-IDF + LSA; return (scaler, tfidf, lsa, features frame)."""
-    e = FE.log1p_features(events)
-    scaler = FE.fit_standard_scaler(e, NUMERIC)
-    tfidf = X.fit_tfidf(events, "event_id", "log_message")
-    w = tfidf.transform(events, "event_id", "log_message").cache()
-    n_feat = tfidf.vocab.count()
-    lsa = X.fit_lsa(w, n_feat, tfidf.n_docs, min(n_components, max(n_feat, 1)))
-    model = EventClusteringModel(scaler, tfidf, lsa, [], 0.0, 0.0, {})
-    return model, model.features(events)
+def fit_event_features(events: DataFrame, n_components: int = X.N_COMPONENTS) -> EventClusteringModel:
+    """Scaler, vocabulary and LSA basis of the events; no clusters yet."""
+    scaler = FE.fit_standard_scaler(FE.log1p_features(events), NUMERIC)
+    tfidf = X.fit_tfidf(events, "log_message")
+    return EventClusteringModel(scaler, tfidf, X.fit_lsa(events, "log_message", tfidf, n_components), [], 0.0, 0.0, {})
 
 
 def fit_event_clustering(events: DataFrame, k: int | None = None, n_init: int = CL.N_INIT,
                          k_range=CL.K_RANGE, version: str = "v1", search_n_init: int = CL.N_INIT) -> tuple[EventClusteringModel, DataFrame]:
-    """Full fit; returns the model and the K-search curve (or None)."""
-    events = events.cache()
-    model, feats = event_features_for_fit(events)
-    feats = feats.select("event_id", "features").cache()
+    """Full fit; returns the model and the K-search curve (or None). One
+    persisted frame of features serves the search, the fit and the labels."""
+    from pyspark import StorageLevel
+    model = fit_event_features(events)
+    feats = model.features(events).select("features", "severity", "duration_ms", "bytes_transferred", "hour_of_day",
+                                          "protocol").persist(StorageLevel.MEMORY_AND_DISK)
     curve = None
     if k is None:
-        curve = CL.k_search(feats, "features", k_range, n_init=search_n_init).cache()
+        curve, fits = CL.search(feats, "features", k_range, search_n_init)
         sel = CL.select_k(curve).first()
         k, reason = int(sel["selected_k"]), sel["reason"]
+        fit = fits[k] if n_init == search_n_init else CL.kmeans_fit(feats, "features", k, n_init)
     else:
-        reason = "given"
-    fit = CL.kmeans_fit(feats, "features", k, n_init=n_init)
-    assigned = CL.assign(feats, "features", fit.centers).join(
-        events.select("event_id", "severity", "duration_ms", "bytes_transferred", "hour_of_day", "protocol"),
-        "event_id")
+        reason, fit = "given", CL.kmeans_fit(feats, "features", k, n_init)
+    assigned = CL.assign(feats, "features", fit.centers)
     labels = {r["cluster"]: r["interpretation"] for r in IN.cluster_label_rules(assigned, k).collect()}
+    feats.unpersist()
     model.centers, model.lo, model.hi = fit.centers, fit.train_min_distance, fit.train_max_distance
     model.labels, model.version, model.inertia, model.k_reason = labels, version, fit.inertia, reason
     return model, curve

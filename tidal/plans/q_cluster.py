@@ -36,6 +36,12 @@ def _assigned(spark, sf, k=K):
     return p, centers, CL.assign(p, "x", centers)
 
 
+def _tail(sql: str, base: str) -> str:
+    """The CTEs a twin adds after ``base`` (without the leading comma)."""
+    assert sql.startswith(base)
+    return sql[len(base):].lstrip().lstrip(",")
+
+
 SQDIST = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
 
 BASE = f"""WITH pts AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings),
@@ -48,17 +54,21 @@ asg AS (SELECT pts.vec_id, x, label, a.cluster, a.sq_distance FROM pts JOIN
 
 # brute-force pairwise means (own cluster excludes the point itself)
 PAIRS = f"""{BASE},
-pair AS (SELECT p.vec_id, q.cluster, sum(list_sum(list_transform(range(1, len(p.x) + 1),
-                lambda i: (p.x[i] - q.x[i]) * (p.x[i] - q.x[i])))) AS s, count(*) AS cnt
-         FROM asg p JOIN asg q ON p.vec_id <> q.vec_id GROUP BY p.vec_id, q.cluster),
-msd AS (SELECT pair.vec_id, pair.cluster, s / cnt AS m FROM pair),
+pd AS (SELECT p.vec_id, q.cluster, list_sum(list_transform(range(1, len(p.x) + 1),
+                lambda i: (p.x[i] - q.x[i]) * (p.x[i] - q.x[i]))) AS d2
+       FROM asg p JOIN asg q ON p.vec_id <> q.vec_id),
+msd AS (SELECT vec_id, cluster, avg(sqrt(d2)) AS m, avg(d2) AS m2 FROM pd GROUP BY vec_id, cluster),
 ab AS (SELECT asg.vec_id, asg.cluster,
               max(CASE WHEN msd.cluster = asg.cluster THEN m END) AS a,
-              min(CASE WHEN msd.cluster <> asg.cluster THEN m END) AS b
+              min(CASE WHEN msd.cluster <> asg.cluster THEN m END) AS b,
+              max(CASE WHEN msd.cluster = asg.cluster THEN m2 END) AS a2,
+              min(CASE WHEN msd.cluster <> asg.cluster THEN m2 END) AS b2
        FROM asg JOIN msd ON asg.vec_id = msd.vec_id GROUP BY asg.vec_id, asg.cluster),
-sil AS (SELECT vec_id, cluster, a, b,
+sil AS (SELECT vec_id, cluster, a, b, a2, b2,
                CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0.0
-                    ELSE (b - a) / greatest(a, b) END AS silhouette FROM ab)"""
+                    ELSE (b - a) / greatest(a, b) END AS silhouette,
+               CASE WHEN a2 IS NULL OR b2 IS NULL OR greatest(a2, b2) = 0 THEN 0.0
+                    ELSE (b2 - a2) / greatest(a2, b2) END AS silhouette_sq FROM ab)"""
 
 CENTS = f"""{BASE},
 dims AS (SELECT cluster, i, avg(x[i]) AS v FROM asg, range(1, {DIM} + 1) t(i) GROUP BY cluster, i),
@@ -115,10 +125,21 @@ def q_inertia(spark, sf):
 
 
 @query("pairwise_silhouette", f"""{PAIRS}
-SELECT vec_id, cluster, round(m, 6) AS mean_sq_dist FROM msd""")
+SELECT vec_id, cluster, round(m, 6) AS mean_dist FROM msd""")
 def q_pairwise_silhouette(spark, sf):
-    """Mean squared distance of every point to every cluster, from cluster
-    sums (the twin pairs all points)."""
+    """Mean Euclidean distance of every point to every cluster's (sampled)
+    members, itself excluded (the twin pairs all points)."""
+    _, _, a = _assigned(spark, sf)
+    m = CE.mean_distances(a, "vec_id", "x", "cluster").select("vec_id", F.explode("md").alias("z"))
+    return _rnd(m.select("vec_id", F.col("z.c").alias("cluster"), F.col("z.m").alias("mean_dist")).where("mean_dist is not null"),
+                ["mean_dist"])
+
+
+@query("pairwise_silhouette_sq", f"""{PAIRS}
+SELECT vec_id, cluster, round(m2, 6) AS mean_sq_dist FROM msd""")
+def q_pairwise_silhouette_sq(spark, sf):
+    """Mean squared distance of every point to every cluster, exact from
+    cluster sums on a table of any size (the twin pairs all points)."""
     _, _, a = _assigned(spark, sf)
     stats = CE.cluster_stats(a, "x", "cluster", DIM)
     m = CE.mean_sq_dist_to_clusters(a, "x", "cluster", stats, DIM)
@@ -131,12 +152,21 @@ def q_pairwise_silhouette(spark, sf):
 @query("silhouette", f"""{PAIRS}
 SELECT vec_id, cluster, round(a, 6) AS a, round(b, 6) AS b, round(silhouette, 6) AS silhouette FROM sil""")
 def q_silhouette(spark, sf):
-    """Per-point squared-distance silhouette with a and b."""
+    """Per-point Euclidean silhouette with a and b."""
     _, _, a = _assigned(spark, sf)
-    s = CE.silhouette_samples(a, "x", "cluster", DIM)
+    s = CE.silhouette(a, "vec_id", "x", "cluster")
     return _rnd(s.select("vec_id", "cluster", "a", "b", "silhouette"), ["a", "b", "silhouette"])
 
 
+@query("silhouette_sq", f"""{PAIRS}
+SELECT vec_id, cluster, round(a2, 6) AS a, round(b2, 6) AS b, round(silhouette_sq, 6) AS silhouette_sq FROM sil""")
+def q_silhouette_sq(spark, sf):
+    """Per-point squared-distance silhouette with a and b."""
+    _, _, a = _assigned(spark, sf)
+    s = CE.silhouette_samples(a, "x", "cluster", DIM).withColumnRenamed("silhouette", "silhouette_sq")
+    return _rnd(s.select("vec_id", "cluster", "a", "b", "silhouette_sq"), ["a", "b", "silhouette_sq"])
+
+
 @query("calinski_harabasz", f"""{CENTS},
 mu AS (SELECT list(v ORDER BY i) AS m FROM (SELECT i, avg(x[i]) AS v FROM asg, range(1, {DIM} + 1) t(i) GROUP BY i)),
 bt AS (SELECT sum(cnt * list_sum(list_transform(range(1, {DIM} + 1), lambda i: (c[i] - m[i]) * (c[i] - m[i])))) AS B
@@ -177,24 +207,17 @@ def q_davies_bouldin(spark, sf):
     return _rnd(CE.davies_bouldin(a, "x", "cluster", DIM), ["davies_bouldin"])
 
 
-@query("cluster_quality", f"""{_CPAIRS},
-sep AS (SELECT i AS cluster, min(d) AS separation FROM cp GROUP BY i),
-pair AS (SELECT p.vec_id, q.cluster, sum(list_sum(list_transform(range(1, {DIM} + 1),
-                lambda t: (p.x[t] - q.x[t]) * (p.x[t] - q.x[t])))) / count(*) AS m
-         FROM asg p JOIN asg q ON p.vec_id <> q.vec_id GROUP BY p.vec_id, q.cluster),
-ab AS (SELECT asg.vec_id, asg.cluster, max(CASE WHEN pair.cluster = asg.cluster THEN m END) AS a,
-              min(CASE WHEN pair.cluster <> asg.cluster THEN m END) AS b
-       FROM asg JOIN pair ON asg.vec_id = pair.vec_id GROUP BY asg.vec_id, asg.cluster),
-sil AS (SELECT cluster, avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0.0
-                                 ELSE (b - a) / greatest(a, b) END) AS silhouette_avg FROM ab GROUP BY cluster)
+@query("cluster_quality", ",\n".join([PAIRS, _tail(CENTS, BASE), _tail(_CPAIRS, CENTS), """sep AS (SELECT i AS cluster, min(d) AS separation FROM cp GROUP BY i),
+sc AS (SELECT cluster, avg(silhouette) AS silhouette_avg, avg(silhouette_sq) AS silhouette_sq_avg FROM sil GROUP BY cluster)
 SELECT coh.cluster, size, round(cohesion, 6) AS cohesion, round(silhouette_avg, 6) AS silhouette_avg,
+       round(silhouette_sq_avg, 6) AS silhouette_sq_avg,
        round(coalesce(separation, CAST('Infinity' AS DOUBLE)), 6) AS separation
-FROM coh JOIN sil USING (cluster) LEFT JOIN sep USING (cluster)""")
+FROM coh JOIN sc USING (cluster) LEFT JOIN sep USING (cluster)"""]))
 def q_cluster_quality(spark, sf):
-    """Per cluster: size, cohesion, mean silhouette, separation."""
+    """Per cluster: size, cohesion, mean silhouettes, separation."""
     _, _, a = _assigned(spark, sf)
-    q = CE.cluster_quality(a, "x", "cluster", DIM)
-    return _rnd(q, ["cohesion", "silhouette_avg", "separation"])
+    q = CE.cluster_quality(a, "vec_id", "x", "cluster", DIM)
+    return _rnd(q, ["cohesion", "silhouette_avg", "silhouette_sq_avg", "separation"])
 
 
 @query("contingency", f"""{BASE}
@@ -251,12 +274,6 @@ _ext_query("homogeneity_completeness_v", ["homogeneity", "completeness", "v_meas
 _ext_query("cluster_purity", ["purity"])
 
 
-def _tail(sql: str, base: str) -> str:
-    """The CTEs a twin adds after ``base`` (without the leading comma)."""
-    assert sql.startswith(base)
-    return sql[len(base):].lstrip().lstrip(",")
-
-
 _REPORT_SQL = ",\n".join([
     PAIRS,
     _tail(CENTS, BASE),
@@ -275,19 +292,21 @@ rr AS (SELECT i, max((ci.cohesion + cj.cohesion) / d) AS ri FROM cp
 @query("cluster_eval_report", _REPORT_SQL + """
 SELECT 'inertia' AS metric, round(sum(d2), 6) AS value FROM own
 UNION ALL SELECT 'silhouette', round(avg(silhouette), 6) FROM sil
+UNION ALL SELECT 'silhouette_sq', round(avg(silhouette_sq), 6) FROM sil
 UNION ALL SELECT 'calinski_harabasz', round(CASE WHEN ww = 0 THEN 1.0 ELSE (bb / (k - 1)) / (ww / (nn - k)) END, 6)
           FROM bt, wt, kk
 UNION ALL SELECT 'davies_bouldin', round(avg(ri), 6) FROM rr
 UNION ALL SELECT metric, round(value, 6) FROM ext
   UNPIVOT (value FOR metric IN (adjusted_rand, nmi, homogeneity, completeness, v_measure, purity))""")
 def q_cluster_eval_report(spark, sf):
-    """Internal (inertia, squared-distance silhouette, Calinski-Harabasz,
+    """Internal (inertia, both silhouettes, Calinski-Harabasz,
     Davies-Bouldin) and external (ARI, NMI, homogeneity, completeness,
     V-measure, purity) metrics as one tidy (metric, value) table."""
     _, _, a = _assigned(spark, sf)
     a = a.cache()
     internal = [("inertia", CE.inertia(a, "x", "cluster", DIM).first()[0]),
-                ("silhouette", CE.silhouette_summary(a, "x", "cluster", DIM)),
+                ("silhouette", CE.silhouette_summary(a, "vec_id", "x", "cluster")),
+                ("silhouette_sq", CE.silhouette_sq_summary(a, "x", "cluster", DIM)),
                 ("calinski_harabasz", CE.calinski_harabasz(a, "x", "cluster", DIM).first()[0]),
                 ("davies_bouldin", CE.davies_bouldin(a, "x", "cluster", DIM).first()[0])]
     e = CE.external_metrics(a, "cluster", "label")
@@ -300,15 +319,15 @@ def q_cluster_eval_report(spark, sf):
 
 @query("kmeans_fit_embeddings")
 def q_kmeans_fit_embeddings(spark, sf):
-    """k-means with K = 10 (best of 10 k-means|| starts) on the embeddings,
+    """k-means with K = 10 (best of 10 k-means++ starts) on the embeddings,
     scored against the true labels (ARI, NMI, V-measure, purity) and by
-    inertia and squared-distance silhouette."""
+    inertia and Euclidean silhouette."""
     p = _points(spark, sf).cache()
     fit = CL.kmeans_fit(p, "x", K)
     a = CL.assign(p, "x", fit.centers).cache()
     e = CE.external_metrics(a, "cluster", "label")
     return e.select("*", F.lit(fit.inertia).alias("inertia"),
-                    F.lit(CE.silhouette_summary(a, "x", "cluster", DIM)).alias("silhouette"),
+                    F.lit(CE.silhouette_summary(a, "vec_id", "x", "cluster")).alias("silhouette"),
                     F.lit(K).alias("k"))
 
 
@@ -338,8 +357,8 @@ ks AS (SELECT CAST(k AS INTEGER) AS k FROM range(3, 11) t(k)),
 dist AS (SELECT k, vec_id, cid, {SQDIST} AS d FROM pts, init, ks WHERE cid < k),
 asg AS (SELECT k, vec_id, arg_min(cid, (d, cid)) AS cluster, min(d) AS sq FROM dist GROUP BY k, vec_id),
 ax AS (SELECT asg.*, x FROM asg JOIN pts USING (vec_id)),
-pair AS (SELECT p.k, p.vec_id, q.cluster, avg(list_sum(list_transform(range(1, {DIM} + 1),
-                lambda t: (p.x[t] - q.x[t]) * (p.x[t] - q.x[t])))) AS m
+pair AS (SELECT p.k, p.vec_id, q.cluster, avg(sqrt(list_sum(list_transform(range(1, {DIM} + 1),
+                lambda t: (p.x[t] - q.x[t]) * (p.x[t] - q.x[t]))))) AS m
          FROM ax p JOIN ax q ON p.k = q.k AND p.vec_id <> q.vec_id GROUP BY p.k, p.vec_id, q.cluster),
 ab AS (SELECT ax.k, ax.vec_id, max(CASE WHEN pair.cluster = ax.cluster THEN m END) AS a,
               min(CASE WHEN pair.cluster <> ax.cluster THEN m END) AS b
@@ -361,19 +380,16 @@ es AS (SELECT silhouette AS elbow_sil FROM cv, el WHERE cv.k = el.elbow_k)"""
 
 def _curve(spark, sf):
     """(k, inertia, silhouette) for K = 3..10, each K started from the K
-    lowest-id vectors and assigned once."""
-    from concurrent.futures import ThreadPoolExecutor
-    p = _points(spark, sf).cache()
-    init = CL.initial_centroids_lowest_id(p, "vec_id", "x", 10)
-
-    def one(k):  # independent per K: run as concurrent jobs
-        a = CL.assign(p, "x", init[:k])
-        inertia = a.agg(F.sum("sq_distance")).first()[0]
-        return k, float(inertia), float(CE.silhouette_summary(a, "x", "cluster", DIM))
-
-    with ThreadPoolExecutor(max_workers=8) as ex:
-        rows = list(ex.map(one, range(3, 11)))
-    p.unpersist()
+    lowest-id vectors and assigned once; one pass for all K."""
+    import numpy as np
+
+    from ..operators import kmeans as KM
+    init = np.array(CL.initial_centroids_lowest_id(_points(spark, sf), "vec_id", "x", 10))
+    vectors, _ = KM.prepared(_points(spark, sf), "x")
+    models = KM.with_inertia(vectors, [KM.Model(k, 0, init[:k]) for k in range(3, 11)], init.mean(0))
+    sil = CE.curve_silhouettes(vectors, [m.centers for m in models])
+    vectors.unpersist()
+    rows = [(m.k, m.inertia, float(s[0])) for m, s in zip(models, sil)]
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

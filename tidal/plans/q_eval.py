@@ -273,7 +273,7 @@ SELECT round(avg(mae), 6) AS cv_mae, round(avg(mse), 6) AS cv_mse, round(avg(sqr
 def q_backtest_metrics(spark, sf):
     """Expanding-window backtest of the last-value baseline: fold membership
     by arithmetic explode, last training value per fold, metrics by horizon."""
-    pf = A.prophet_frame(T.shipments(spark, sf))
+    pf = S.computed_once(A.prophet_frame(T.shipments(spark, sf)))
     folds = S.cv_folds(pf, "ds", 7, 30, 365)
     last = folds.filter("role = 'train'").groupBy("fold").agg(F.max_by("y", "ds").alias("yhat"))
     preds = folds.filter("role = 'test'").join(last, "fold")

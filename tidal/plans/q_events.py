@@ -326,23 +326,19 @@ def _codes(spark, sf):
     sh = T.shipments(spark, sf)
     c1, _ = S.split_cut_dates(sh, "date")
     tr = sh.filter(F.col("date") < F.lit(c1))
-    model = FE.fit_label_codes(tr, _CATS)
-    return sh, model
+    return sh, FE.fit_label_codes(tr, _CATS)
 
 
 @query("label_codes", f"{_SP} SELECT feature, value, code FROM codes")
 def q_label_codes(spark, sf):
     """Category -> code fitted on the training split, alphabetical."""
-    _, model = _codes(spark, sf)
-    return FE.code_table(model, _CATS, spark)
+    return _codes(spark, sf)[1]
 
 
 @query("vocab_sizes", f"{_SP} SELECT feature, count(*) AS n_classes FROM codes GROUP BY feature")
 def q_vocab_sizes(spark, sf):
     """Number of classes per categorical feature."""
-    _, model = _codes(spark, sf)
-    rows = [(c, len(lbl)) for c, lbl in zip(_CATS, model.labelsArray)]
-    return spark.createDataFrame(rows, "feature string, n_classes long")
+    return _codes(spark, sf)[1].groupBy("feature").agg(F.count(F.lit(1)).alias("n_classes"))
 
 
 @query("encode_lookup", f"""{_SP}
@@ -350,8 +346,8 @@ SELECT date, s.region, {", ".join(f"c{i}.code AS {c}_code" for i, c in enumerate
 FROM shipments s {" ".join(f"JOIN codes c{i} ON c{i}.feature = '{c}' AND c{i}.value = CAST(s.{c} AS VARCHAR)" for i, c in enumerate(_CATS))}""")
 def q_encode_lookup(spark, sf):
     """Code lookup for every shipment's categorical features."""
-    sh, model = _codes(spark, sf)
-    out = FE.apply_codes(sh.select("date", *_CATS), model, _CATS)
+    sh, codes = _codes(spark, sf)
+    out = FE.apply_codes(sh.select("date", *_CATS), codes, _CATS)
     return out.select("date", "region", *[f"{c}_code" for c in _CATS])
 
 
@@ -364,6 +360,5 @@ def q_encode_unseen_zero(spark, sf):
     """Destination codes learned from 'info' events, applied to all events:
     addresses never seen with 'info' score as 0."""
     e = _ev(spark, sf)
-    model = FE.fit_label_codes(e.filter(F.col("severity") == "info"), ["dest_ip"])
-    codes = FE.code_table(model, ["dest_ip"], spark)
+    codes = FE.fit_label_codes(e.filter(F.col("severity") == "info"), ["dest_ip"])
     return FE.encode_unseen_zero(e, codes, "dest_ip").select("event_id", "dest_ip", "dest_ip_code")

@@ -1,15 +1,19 @@
 """Forecasting queries over the per-region daily series (densified, 70/15/15
-split on dates): direct per-horizon models, the seasonal model, components,
-changepoints, backtests and the cross-family comparison."""
+split on dates): direct per-horizon models, the seasonal model, forecasts past
+the data and from requests, persistence, components, changepoints, backtests
+and the cross-family comparison. Fits are shared per (session, table folder)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as A
+from ..operators import direct as D
 from ..operators import evaluate as V
 from ..operators import forecast as FC
 from ..operators import series as S
+from ..operators import serving
+from ..sources import sinks
 from ..sources import tables as T
 from .registry import query
 
@@ -24,70 +28,129 @@ def _memo(key, fn):
 
 
 def region_series(spark, sf):
-    """(region, ds, y, is_month_end, failure_rate_pct, avg_urgency, split):
-    every calendar day for every region; gap days have y = 0 and carry the
-    last known regressors."""
+    """(region, ds, y, is_month_end, failure_rate_pct, avg_urgency, the
+    categories and avg_repair_cycle_days, split): every calendar day for every
+    region; gap days have y = 0 and carry the last known other values. One
+    scan of the records serves both forecasters."""
     def build():
-        pf = A.prophet_frame(T.shipments(spark, sf), True, ("region",))
+        daily = T.shipments(spark, sf).groupBy("date", "region", "shipping_method").agg(*A.method_level_aggs())
+        agg = daily.groupBy("date", "region").agg(*A.series_level_aggs())
+        pf = agg.select("region", F.col("date").alias("ds"), F.col("total_shipping_weight_kg").alias("y"), "failure_rate_pct",
+                        F.col("mean_urgency").alias("avg_urgency"), A.C.urgency_bucket("mean_urgency").alias("request_urgency"),
+                        "avg_repair_cycle_days", "shipping_method", F.lit("ALL").alias("sku_category"))
         dense = S.densify_series(pf, SER, "ds", fill={"y": 0.0})
-        dense = S.forward_fill(dense, ["failure_rate_pct", "avg_urgency"], SER, "ds")
+        carried = ["failure_rate_pct", "avg_urgency", "request_urgency", "avg_repair_cycle_days", "shipping_method", "sku_category"]
+        dense = S.forward_fill(dense, carried, SER, "ds")
         ds = F.col("ds")
         qe = F.month(ds).isin(3, 6, 9, 12) & (F.dayofmonth(ds) >= F.dayofmonth(F.last_day(ds)) - 2)
         dense = dense.withColumn("is_month_end", ((F.dayofmonth(ds) >= 28) | qe).cast("double"))
-        dense = dense.fillna(0.0, ["failure_rate_pct", "avg_urgency"])
+        dense = dense.fillna(0.0, ["failure_rate_pct", "avg_urgency", "avg_repair_cycle_days"])
         cuts = S.split_cut_dates(dense, "ds")
         return dense.withColumn("split", S.split_label("ds", cuts)).cache(), cuts
     return _memo(("series", spark.sparkContext.applicationId, sf), build)
 
 
 def _direct(spark, sf):
+    """(all origins, test origins, fits with their validation error)."""
     def build():
         rs, (c1, _c2) = region_series(spark, sf)
-        frame = FC.direct_frame(rs, SER, "y", "ds").cache()
+        frame = D.origin_frame(rs, SER).cache()
         frame.count()  # materialise once before the concurrent fits read it
-        train = frame.filter((F.col("split") == "train") & (F.date_add("ds", S.HORIZON) < F.lit(c1))
-                             & F.col(f"lag_{S.HISTORY - 1}").isNotNull())
-        test = frame.filter((F.col("split") == "test") & F.col(f"y_h{S.HORIZON}").isNotNull()
-                            & F.col(f"lag_{S.HISTORY - 1}").isNotNull())
+        train = frame.filter((F.col("split") == "train") & (F.date_add("ds", S.HORIZON) < F.lit(c1)))
         from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=3) as ex:  # independent versions, concurrent jobs
-            fits = dict(ex.map(lambda v: (v, FC.fit_direct_forecaster(train, SER, v, parallelism=2)),
-                               list(FC.DIRECT_VERSIONS)))
-        return frame, train, test, fits
+        with ThreadPoolExecutor(max_workers=len(D.VERSIONS)) as ex:  # independent versions, concurrent jobs
+            fits = list(ex.map(lambda v: D.fit(train, v), D.VERSIONS))
+        return frame, D.with_band(fits, frame.filter("split = 'val'"))
     return _memo(("direct", spark.sparkContext.applicationId, sf), build)
 
 
+def _full_test(frame):
+    return frame.filter((F.col("split") == "test") & (F.size("targets") == S.HORIZON))
+
+
 def _direct_preds(spark, sf):
-    _, _, test, fits = _direct(spark, sf)
-    out = None
-    for v, (stages, models) in fits.items():
-        p = FC.predict_direct(test, stages, models, SER, "ds", f"direct_{v}")
-        out = p if out is None else out.unionByName(p)
-    base = [test.select(*SER, F.col("ds").alias("origin"), F.lit(h).alias("h"),
-                        F.col(f"y_h{h}").alias("y"), F.col("lag_0").alias("yhat"),
-                        F.lit("baseline").alias("model")) for h in range(1, S.HORIZON + 1)]
-    for b in base:
-        out = out.unionByName(b)
+    """Predictions of all versions and of the last value from the test
+    origins whose next days are known."""
+    frame, fits = _direct(spark, sf)
+    test, coefs = _full_test(frame), D.table(spark, fits)
+    out = test.select(*SER, F.col("ds").alias("origin"), F.col("lags")[0].alias("yhat"), F.posexplode("targets").alias("_h", "y")) \
+        .select(*SER, "origin", (F.col("_h") + 1).alias("h"), "y", "yhat", F.lit("baseline").alias("model"))
+    for f in fits:
+        out = out.unionByName(D.predict(coefs, test, f.version, SER).select(*out.columns))
     return out
 
 
 @query("fit_direct_forecaster")
 def q_fit_direct_forecaster(spark, sf):
-    """Direct models v1 (lags + calendar), v2 (+ region one-hot), v3 (+ exogenous, ridge):
-    training size and fit quality per horizon."""
-    _, _, _, fits = _direct(spark, sf)
-    rows = []
-    for v, (_, models) in fits.items():
-        for h, m in models.items():
-            s = m.summary
-            rows.append((v, h, int(s.numInstances), float(s.rootMeanSquaredError), float(s.r2)))
-    return spark.createDataFrame(rows, "version string, h int, n_train long, train_rmse double, train_r2 double")
+    """Direct models v1 (lags + calendar), v2 (+ four hashed categories), v3
+    (+ exogenous): validation error and the size of the coefficient row."""
+    _, fits = _direct(spark, sf)
+    t = D.table(spark, fits)
+    return t.select("version", "lags", F.size("intercepts").alias("n_steps"), F.size(F.col("numeric")[0]).alias("n_numeric"),
+                    F.size("slots").alias("n_slots"), "val_mae")
 
 
 @query("predict_direct")
 def q_predict_direct(spark, sf):
-    """7-step predictions of the direct v3 model from every test origin."""
-    return _direct_preds(spark, sf).filter(F.col("model") == "direct_v3")
+    """7 steps of direct v3 with its band from every test origin, the last
+    ones reaching past the data (y is null there)."""
+    frame, fits = _direct(spark, sf)
+    return D.predict(D.table(spark, fits), frame.filter("split = 'test'"), "v3", SER)
+
+
+@query("predict_direct_future")
+def q_predict_direct_future(spark, sf):
+    """The 7 days after the data, every region and version, with bands."""
+    frame, fits = _direct(spark, sf)
+    last, coefs, out = D.last_origins(frame, SER), D.table(spark, fits), None
+    for f in fits:
+        p = D.predict(coefs, last, f.version, SER).drop("y")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("forecast_requests")
+def q_forecast_requests(spark, sf):
+    """JSON requests (each region's last 30 to 60 days, versions v1 to v3;
+    every third one is too short) to 7 days with bands; invalid requests come
+    as rows with their reasons."""
+    _, fits = _direct(spark, sf)
+    bodies = forecast_request_bodies(spark, sf)
+    good, bad = serving.forecast_requests(bodies, D.table(spark, fits), list(D.VERSIONS))
+    return good.withColumn("reasons", F.lit(None).cast("array<string>")).unionByName(
+        bad.select("request_id", "model_version", "reasons"), allowMissingColumns=True)
+
+
+def forecast_request_bodies(spark, sf):
+    """Request bodies made of the daily series: one per region and month end,
+    with the 45 (for every third month 20) days before it as history."""
+    rs, _ = region_series(spark, sf)
+    w = S.Window.partitionBy(*SER).orderBy("ds").rowsBetween(-44, 0)
+    point = F.struct(F.date_format("ds", "yyyy-MM-dd").alias("date"), "region", "sku_category", F.col("y").alias("shipping_weight_kg"),
+                     "request_urgency", "shipping_method", "avg_repair_cycle_days", "failure_rate_pct",
+                     F.weekday("ds").alias("day_of_week"), F.month("ds").alias("month"))
+    ends = rs.withColumn("history", F.collect_list(point).over(w)).where(F.last_day("ds") == F.col("ds"))
+    short = F.month("ds") % 3 == 0
+    history = F.when(short, F.slice("history", -20, 20)).otherwise(F.col("history"))
+    ends = ends.where(F.size("history") == 45)
+    return ends.select(F.to_json(F.struct(
+        F.concat_ws("-", "region", F.date_format("ds", "yyyyMMdd")).alias("request_id"), history.alias("historical_data"),
+        F.concat(F.lit("v"), (F.month("ds") % 3 + 1).cast("string")).alias("model_version"))).alias("body"))
+
+
+@query("save_direct_forecaster")
+def q_save_direct_forecaster(spark, sf):
+    """Save all direct versions, load them back, forecast the future."""
+    import uuid
+    frame, fits = _direct(spark, sf)
+    root = sinks.output_root(spark, f"direct-{uuid.uuid4().hex[:12]}")
+    out = None
+    for f in fits:
+        D.save(spark, root, f)
+        loaded = D.load(spark, root, f.version)
+        p = D.predict(D.table(spark, [loaded]), D.last_origins(frame, SER), f.version, SER).drop("y")
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 def _seasonal(spark, sf):
@@ -127,6 +190,31 @@ def q_predict_seasonal(spark, sf):
     return _seasonal_preds(spark, sf, "test")
 
 
+@query("predict_seasonal_future")
+def q_predict_seasonal_future(spark, sf):
+    """The 30 days after the training data for every region, both versions:
+    the last slope goes on, regressors known for a date join, the band widens."""
+    rs, _ = region_series(spark, sf)
+    known = rs.filter("split <> 'train'").select(*SER, "ds", "failure_rate_pct", "avg_urgency")
+    out = None
+    for v, coefs in _seasonal(spark, sf).items():
+        p = FC.predict_future(coefs, 30, v, known, SER).withColumn("model", F.lit(f"seasonal_{v}"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("save_seasonal_forecaster")
+def q_save_seasonal_forecaster(spark, sf):
+    """Save both seasonal versions, load them back, forecast the future."""
+    import uuid
+    root, out = sinks.output_root(spark, f"seasonal-{uuid.uuid4().hex[:12]}"), None
+    for v, coefs in _seasonal(spark, sf).items():
+        FC.save_seasonal(spark, root, coefs, v)
+        p = FC.predict_future(FC.load_seasonal(spark, root, v), S.HORIZON, v).withColumn("model", F.lit(f"seasonal_{v}"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 @query("forecast_components")
 def q_forecast_components(spark, sf):
     """trend / weekly / yearly / regressor parts on the training history

@@ -9,13 +9,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import cluster as CL
+from ..operators import cluster_eval as CE
 from ..operators import eda as EDA
 from ..operators import features as FE
+from ..operators import text as X
 from ..sources import requests as RQ
 from ..sources import sinks
 from ..sources import tables as T
 from ..streaming import events as ST
-from .event_model import EventClusteringModel, event_features_for_fit, fit_event_clustering
+from .event_model import EventClusteringModel, fit_event_clustering
 from .registry import NET_EVENTS_CTE, SHIPMENTS_CTE, query, with_ctes
 
 _MEMO: dict = {}
@@ -37,9 +39,8 @@ def _fitted(spark, sf):
 
 
 def _features(spark, sf):
-    return _memo(("feat", spark.sparkContext.applicationId, sf),
-                 lambda: event_features_for_fit(T.net_events(spark, sf))[1]
-                 .select("event_id", "features").cache())
+    model, _ = _fitted(spark, sf)
+    return model.features(T.net_events(spark, sf)).select("event_id", "features")
 
 
 def _scratch(spark, name):
@@ -57,7 +58,7 @@ def q_assemble_features(spark, sf):
 
 @query("k_search")
 def q_k_search(spark, sf):
-    """Inertia and squared-distance silhouette for K = 3..10."""
+    """Inertia and both silhouettes for K = 3..10, the best of 10 starts each."""
     _, curve = _fitted(spark, sf)
     return curve
 
@@ -74,11 +75,10 @@ def q_kmeans_fit(spark, sf):
 
 @query("kmeans_minibatch")
 def q_kmeans_minibatch(spark, sf):
-    """Best of 10 k-means|| starts on all events (the mini-batch option makes as
-    many and visits all rows too), assign every event."""
+    """Mini-batch k-means of the selected K (10 starts), every event assigned."""
     model, _ = _fitted(spark, sf)
     feats = _features(spark, sf)
-    fit = CL.kmeans_fit(feats, "features", model.k, n_init=CL.N_INIT)
+    fit = CL.kmeans_minibatch(feats, "features", model.k)
     return CL.assign(feats, "features", fit.centers).select("event_id", "cluster", "distance")
 
 
@@ -107,6 +107,55 @@ def q_classify_events(spark, sf):
         "event_id", "cluster", "interpretation", "anomaly_score", "is_anomalous", "model_version")
 
 
+def _fitted_clusters(spark, sf):
+    """Every event with its fitted cluster, feature vector and true cluster."""
+    model, _ = _fitted(spark, sf)
+    return model, CL.assign(model.features(T.net_events(spark, sf)), "features", model.centers)
+
+
+@query("elbow_point_fitted")
+def q_elbow_point_fitted(spark, sf):
+    """Elbow of the fitted K curve of the events."""
+    return CL.elbow_point(_fitted(spark, sf)[1])
+
+
+@query("best_silhouette_k_fitted")
+def q_best_silhouette_k_fitted(spark, sf):
+    """K with the best Euclidean silhouette of the fitted curve."""
+    c = _fitted(spark, sf)[1]
+    return c.agg(F.min_by("k", F.struct(-F.col("silhouette"), F.col("k"))).alias("best_silhouette_k"))
+
+
+@query("select_k_fitted")
+def q_select_k_fitted(spark, sf):
+    """The K that the fitted curve selects, with the reason."""
+    return CL.select_k(_fitted(spark, sf)[1])
+
+
+@query("cluster_eval_report_fitted")
+def q_cluster_eval_report_fitted(spark, sf):
+    """The fitted event clusters against ``true_cluster`` (ARI, NMI,
+    homogeneity, completeness, V-measure, purity) and by inertia, both
+    silhouettes, Calinski-Harabasz and Davies-Bouldin, as (metric, value)."""
+    model, a = _fitted_clusters(spark, sf)
+    dim = len(model.centers[0])
+    a = a.select("event_id", "features", "cluster", "true_cluster").persist()
+    internal = [("inertia", model.inertia), ("silhouette", CE.silhouette_summary(a, "event_id", "features", "cluster")),
+                ("silhouette_sq", CE.silhouette_sq_summary(a, "features", "cluster", dim)),
+                ("calinski_harabasz", CE.calinski_harabasz(a, "features", "cluster", dim).first()[0]),
+                ("davies_bouldin", CE.davies_bouldin(a, "features", "cluster", dim).first()[0])]
+    external = CE.external_metrics(a, "cluster", "true_cluster").first().asDict()
+    a.unpersist()
+    return spark.createDataFrame([(m, float(v)) for m, v in [*internal, *external.items()]], "metric string, value double")
+
+
+@query("cluster_term_profile_fitted")
+def q_cluster_term_profile_fitted(spark, sf):
+    """Top 10 terms of the log messages of every fitted cluster."""
+    model, a = _fitted_clusters(spark, sf)
+    return X.cluster_term_profile(a.select("cluster", "log_message"), "log_message", model.tfidf, "cluster", 10)
+
+
 @query("pca_2d")
 def q_pca_2d(spark, sf):
     """Centred 2-d projection of the feature vectors, variance ratios as columns."""
@@ -126,13 +175,15 @@ def q_write_assignments(spark, sf):
     from ..operators.interpret import cluster_summary
     model, _ = _fitted(spark, sf)
     ev = T.net_events(spark, sf)
-    scored = model.classify(ev)
+    scored = model.classify(ev).select("event_id", "timestamp", "severity", "protocol", "duration_ms", "bytes_transferred",
+                                       "hour_of_day", "cluster", "anomaly_score").persist()
     out = _scratch(spark, "assignments")
     summary = cluster_summary(scored.select("cluster", "severity", "duration_ms", "bytes_transferred",
                                             "hour_of_day", "protocol"))
     paths = sinks.write_assignments(
         scored.select("event_id", "timestamp", "severity", "protocol", "cluster", "anomaly_score"),
         summary, {"inertia": model.inertia, "k": model.k}, out)
+    scored.unpersist()
     return spark.read.parquet(paths["assignments"])
 
 

@@ -27,7 +27,8 @@ sp AS (SELECT pf.*, CASE WHEN ds < c1 THEN 'train' WHEN ds < c2 THEN 'val' ELSE
 
 
 def _pf_split(spark, sf):
-    pf = A.prophet_frame(T.shipments(spark, sf))
+    """The global daily frame with its split, from one scan of the records."""
+    pf = S.computed_once(A.prophet_frame(T.shipments(spark, sf)))
     return S.temporal_split(pf, "ds")
 
 
@@ -52,8 +53,8 @@ SELECT date, region, y,
 FROM rd, cuts""")
 def q_temporal_split(spark, sf):
     """70/15/15 split label cut on distinct dates."""
-    rd = T.shipments(spark, sf).groupBy("date", "region").agg(
-        F.sum("shipping_weight_kg").alias("y"))
+    rd = S.computed_once(T.shipments(spark, sf).groupBy("date", "region").agg(
+        F.sum("shipping_weight_kg").alias("y")))
     return S.temporal_split(rd, "date")
 
 
@@ -134,7 +135,7 @@ last AS (SELECT region, arg_max(y, date) AS last_value FROM sp WHERE split = 'tr
 SELECT sp.region, date, y, last_value AS yhat FROM sp JOIN last ON sp.region = last.region
 WHERE split = 'test'""")
 def q_persistence_by_region(spark, sf):
-    rd = T.shipments(spark, sf).groupBy("date", "region").agg(F.sum("shipping_weight_kg").alias("y"))
+    rd = S.computed_once(T.shipments(spark, sf).groupBy("date", "region").agg(F.sum("shipping_weight_kg").alias("y")))
     sp = S.temporal_split(rd, "date")
     p = S.persistence_forecast(sp.filter("split = 'train'"), sp.filter("split = 'test'"),
                                ["region"], "y", "date")
@@ -242,7 +243,7 @@ SELECT tr.cutoff, n_train, train_first, train_last, coalesce(n_test, 0) AS n_tes
 FROM tr LEFT JOIN te ON tr.cutoff = te.cutoff""")
 def q_cv_folds(spark, sf):
     """Fold summary of the expanding-window backtest membership."""
-    pf = T.shipments(spark, sf).select(F.col("date").alias("ds")).distinct()
+    pf = S.computed_once(T.shipments(spark, sf).select(F.col("date").alias("ds")).distinct())
     m = S.cv_folds(pf, "ds", horizon=7, period=30, initial=365)
     g = m.groupBy("cutoff").agg(
         F.count(F.when(F.col("role") == "train", 1)).alias("n_train"),

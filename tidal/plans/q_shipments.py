@@ -167,7 +167,7 @@ SELECT date, round(datediff('day', (SELECT min(date) FROM d), date)
 FROM d""")
 def q_trend_position(spark, sf):
     """Elapsed share of the date span per date."""
-    d = T.shipments(spark, sf).select("date").distinct()
+    d = S.computed_once(T.shipments(spark, sf).select("date").distinct())
     lo, hi = S.date_bounds(d)
     span = max((hi - lo).days, 1)
     return d.select("date", F.round(F.datediff("date", F.lit(lo)) / F.lit(float(span)), 9)
@@ -196,8 +196,8 @@ SELECT cal.date, r.region, coalesce(d.y, 0) AS y, d.y IS NULL AS filled
 FROM cal CROSS JOIN r LEFT JOIN d ON d.date = cal.date AND d.region = r.region""")
 def q_densify_series(spark, sf):
     """Every (date, region) of the calendar; gap days get y = 0."""
-    d = T.shipments(spark, sf).groupBy("date", "region").agg(
-        F.sum("shipping_weight_kg").alias("y"))
+    d = S.computed_once(T.shipments(spark, sf).groupBy("date", "region").agg(
+        F.sum("shipping_weight_kg").alias("y")))
     out = S.densify_series(d.withColumn("filled", F.lit(False)), ["region"], "date",
                            fill={"y": 0.0, "filled": True})
     return out.select("date", "region", "y", "filled")

@@ -54,8 +54,7 @@ def _docs(spark, sf):
 
 def _fit_docs(spark, sf):
     d = _docs(spark, sf)
-    model = X.fit_tfidf(d, "doc_id", "text")
-    return d, model
+    return d, X.fit_tfidf(d, "text")
 
 
 @query("tokenize_ngrams", f"""{DOC_TERMS}
@@ -74,7 +73,7 @@ SELECT term, df, CAST(total_tf AS BIGINT) AS total_tf, term_index, round(idf, 9)
 def q_tfidf_vocab(spark, sf):
     """Vocabulary: df bounds, 1,000 most frequent terms, smoothed idf."""
     _, model = _fit_docs(spark, sf)
-    return model.vocab.withColumn("idf", F.round("idf", 9))
+    return model.vocabulary(spark).withColumn("idf", F.round("idf", 9))
 
 
 @query("tfidf_weights", f"""{DOC_TERMS}
@@ -92,7 +91,7 @@ WHERE rank <= 5""")
 def q_rank_terms(spark, sf):
     """Top 5 terms per document by weight."""
     d, model = _fit_docs(spark, sf)
-    r = X.rank_terms(model.transform(d, "doc_id", "text"), "doc_id", 5)
+    r = X.rank_terms(d, "doc_id", "text", model, 5)
     return r.select("doc_id", "term", F.round("weight", 6).alias("weight"), "rank")
 
 
@@ -107,24 +106,19 @@ WHERE rank <= 10""")
 def q_cluster_term_profile(spark, sf):
     """Mean TF-IDF weight per (language, term), top 10 terms per language."""
     d, model = _fit_docs(spark, sf)
-    w = model.transform(d, "doc_id", "text")
-    labels = d.select("doc_id", F.col("lang").alias("cluster"))
-    p = X.cluster_term_profile(w, labels, "cluster", 10)
+    p = X.cluster_term_profile(d.withColumnRenamed("lang", "cluster"), "text", model, "cluster", 10)
     return p.withColumn("mean_weight", F.round("mean_weight", 6))
 
 
 def _lsa(spark, sf):
     d, model = _fit_docs(spark, sf)
-    w = model.transform(d, "doc_id", "text").cache()
-    n_feat = model.vocab.count()
-    lsa = X.fit_lsa(w, n_feat, model.n_docs, X.N_COMPONENTS)
-    return d, model, w, lsa
+    return d, model, X.fit_lsa(d, "text", model, X.N_COMPONENTS)
 
 
 @query("lsa_fit")
 def q_lsa_fit(spark, sf):
     """Truncated SVD (20 components) of the document TF-IDF matrix."""
-    _, _, _, lsa = _lsa(spark, sf)
+    _, _, lsa = _lsa(spark, sf)
     rows = [(i, float(lsa.singular_values[i]), float(lsa.explained_variance[i]),
              float(lsa.explained_variance_ratio[i])) for i in range(len(lsa.singular_values))]
     return spark.createDataFrame(rows, "component int, singular_value double, "
@@ -133,14 +127,15 @@ def q_lsa_fit(spark, sf):
 
 @query("lsa_transform")
 def q_lsa_transform(spark, sf):
-    d, _, w, lsa = _lsa(spark, sf)
-    proj = X.lsa_transform(w, lsa, spark)
-    return X.lsa_features(d, "doc_id", proj, lsa.components.shape[0])
+    """The 20 component scores of every document."""
+    d, model, lsa = _lsa(spark, sf)
+    out = X.lsa_scores(d.select("doc_id", "text"), "text", model, lsa)
+    return out.select("doc_id", *[F.col("lsa")[c].alias(f"lsa_{c}") for c in range(lsa.k)])
 
 
 @query("explained_variance")
 def q_explained_variance(spark, sf):
-    _, _, _, lsa = _lsa(spark, sf)
+    _, _, lsa = _lsa(spark, sf)
     ratio = lsa.explained_variance_ratio
     rows = [(i, float(lsa.explained_variance[i]), float(ratio[i])) for i in range(len(ratio))]
     df = spark.createDataFrame(rows, "component int, explained_variance double, ratio double")
@@ -151,5 +146,30 @@ def q_explained_variance(spark, sf):
 
 @query("top_terms_per_component")
 def q_top_terms_per_component(spark, sf):
-    _, model, _, lsa = _lsa(spark, sf)
-    return X.top_terms_per_component(lsa, model.vocab, 10)
+    _, model, lsa = _lsa(spark, sf)
+    return X.top_terms_per_component(lsa, model, spark, 10)
+
+
+# ---- LSA of the log messages: words of one character count, own stand-in tokens ------
+
+def log_lsa(spark, sf):
+    ev = T.net_events(spark, sf).select("event_id", "log_message")
+    tfidf = X.fit_tfidf(ev, "log_message", min_len=1, ip_token=TX.LSA_IP_TOKEN, num_token=TX.LSA_NUM_TOKEN)
+    return ev, tfidf, X.fit_lsa(ev, "log_message", tfidf, X.N_COMPONENTS)
+
+
+@query("term_similarity_lsa")
+def q_term_similarity_lsa(spark, sf):
+    """The 10 terms most similar to each word of the log messages, by cosine
+    of their loadings. The asked words are all distinct words of the table;
+    one outside the vocabulary has no row."""
+    ev, tfidf, lsa = log_lsa(spark, sf)
+    asked = tfidf.tokens(ev, "log_message", "w").select(F.explode("w").alias("term")).distinct()
+    return X.term_similarity(spark, tfidf, lsa, asked)
+
+
+@query("document_topics_lsa")
+def q_document_topics_lsa(spark, sf):
+    """The 3 dominant components of every event's log message."""
+    ev, tfidf, lsa = log_lsa(spark, sf)
+    return X.document_topics(X.lsa_scores(ev, "log_message", tfidf, lsa), ["event_id"])

@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
+#: Folder of a version that holds a Spark ML pipeline instead of a table.
+PIPELINE = "pipeline"
+
 META_SCHEMA = T.StructType([
     T.StructField("model_name", T.StringType()),
     T.StructField("model_version", T.StringType()),
@@ -51,14 +54,14 @@ def write_assignments(assigned: DataFrame, summary: DataFrame, metrics: dict, ou
             "metrics": os.path.join(out_dir, "metrics")}
 
 
-def _version_dir(root: str, name: str, version: str) -> str:
+def version_dir(root: str, name: str, version: str) -> str:
     return os.path.join(root, name, version)
 
 
 def save_model(spark: SparkSession, root: str, name: str, version: str, model_type: str,
                tables: dict[str, DataFrame], metrics: dict, config: dict, description: str = "") -> str:
     """Write every state table as Parquet and the metadata record."""
-    base = _version_dir(root, name, version)
+    base = version_dir(root, name, version)
     for tname, df in tables.items():
         df.coalesce(1).write.mode("overwrite").parquet(os.path.join(base, tname))
     meta = spark.createDataFrame([(name, version, model_type,
@@ -73,7 +76,7 @@ def save_model(spark: SparkSession, root: str, name: str, version: str, model_ty
 
 def load_model(spark: SparkSession, root: str, name: str, version: str) -> tuple[dict, dict]:
     """(metadata dict, {table name: DataFrame}); missing version -> error."""
-    base = _version_dir(root, name, version)
+    base = version_dir(root, name, version)
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
     fs = jpath.getFileSystem(hconf)
@@ -85,6 +88,6 @@ def load_model(spark: SparkSession, root: str, name: str, version: str) -> tuple
     tables = {}
     for st in fs.listStatus(jpath):
         t = st.getPath().getName()
-        if t != "metadata" and st.isDirectory():
+        if t not in ("metadata", PIPELINE) and st.isDirectory():
             tables[t] = spark.read.parquet(os.path.join(base, t))
     return meta, tables
