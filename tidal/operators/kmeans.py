@@ -72,32 +72,29 @@ def group_sums(points: DataFrame, models: list[Model], mean: np.ndarray) -> tupl
     points nearest to it, their summed squared distance and their vector sum.
     Vectors are counted from ``mean``, which keeps the arithmetic exact for
     data far from the origin."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
     edges, centers = _offsets(models), np.concatenate([m.centers for m in models]) - mean
 
     def run(batches):
         count, cost, sums = np.zeros(len(centers)), np.zeros(len(centers)), np.zeros(centers.shape)
+        square = np.square(centers).sum(1)
         for _, x in matrices(batches):
             x = x - mean
-            d = squared_distances(x, centers)
-            near = np.zeros(d.shape)
-            rows = np.arange(len(x))
-            for a, b in zip(edges[:-1], edges[1:]):
-                pick = a + d[:, a:b].argmin(1)
-                near[rows, pick] = 1.0
-            count += near.sum(0)
-            cost += (near * d).sum(0)
-            sums += near.T @ x
+            norm = np.square(x).sum(1)
+            for a, b in zip(edges[:-1], edges[1:]):  # a model's few centres at a time stay in the processor's cache
+                near = square[a:b] - 2.0 * (x @ centers[a:b].T)
+                pick = near.argmin(1)
+                inside = (pick[:, None] == np.arange(b - a)).astype(np.float64)
+                count[a:b] += inside.sum(0)
+                cost[a:b] += np.bincount(pick, np.maximum(near[np.arange(len(x)), pick] + norm, 0.0), b - a)
+                sums[a:b] += inside.T @ x
         some = np.flatnonzero(count)
         stats = np.column_stack([count[some], cost[some], sums[some]])
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(list(stats), pa.list_(pa.float64()))], ["slot", "s"])
 
     parts = points.mapInArrow(run, "slot int, s array<double>")
-    total = parts.select("slot", array_to_vector("s").alias("v")).groupBy("slot").agg(Summarizer.sum(F.col("v")).alias("v"))
-    out = np.zeros((len(centers), 2 + centers.shape[1]))
-    for r in total.select("slot", vector_to_array("v").alias("v")).collect():  # one row a centre
-        out[r["slot"]] = r["v"]
+    total = parts.select("slot", F.posexplode("s").alias("i", "v")).groupBy("slot", "i").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros((len(centers), 2 + centers.shape[1]))  # a few numbers a centre
+    out[total.column(0).to_numpy(), total.column(1).to_numpy()] = total.column(2).to_numpy()
     return out[:, 0], out[:, 1], out[:, 2:]
 
 

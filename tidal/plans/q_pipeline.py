@@ -13,6 +13,7 @@ from ..operators import cluster_eval as CE
 from ..operators import eda as EDA
 from ..operators import features as FE
 from ..operators import text as X
+from ..session import spread
 from ..sources import requests as RQ
 from ..sources import sinks
 from ..sources import tables as T
@@ -30,17 +31,19 @@ def _memo(key, fn):
     return _MEMO[key]
 
 
+def _events(spark, sf):
+    return spread(T.net_events(spark, sf))
+
+
 def _fitted(spark, sf):
     def run():
-        ev = T.net_events(spark, sf)
-        model, curve = fit_event_clustering(ev)
-        return model, curve
+        return fit_event_clustering(_events(spark, sf))
     return _memo(("fit", spark.sparkContext.applicationId, sf), run)
 
 
 def _features(spark, sf):
     model, _ = _fitted(spark, sf)
-    return model.features(T.net_events(spark, sf)).select("event_id", "features")
+    return model.features(_events(spark, sf)).select("event_id", "features")
 
 
 def _scratch(spark, name):
@@ -86,7 +89,7 @@ def q_kmeans_minibatch(spark, sf):
 def q_kmeans_predict(spark, sf):
     """Cluster and distance per event from the fitted pipeline."""
     model, _ = _fitted(spark, sf)
-    return CL.assign(model.features(T.net_events(spark, sf)), "features", model.centers) \
+    return CL.assign(model.features(_events(spark, sf)), "features", model.centers) \
         .select("event_id", "cluster", "distance")
 
 
@@ -103,14 +106,14 @@ def q_cluster_centers(spark, sf):
 def q_classify_events(spark, sf):
     """Full fitted pipeline: cluster, label, score, flag, version."""
     model, _ = _fitted(spark, sf)
-    return model.classify(T.net_events(spark, sf)).select(
+    return model.classify(_events(spark, sf)).select(
         "event_id", "cluster", "interpretation", "anomaly_score", "is_anomalous", "model_version")
 
 
 def _fitted_clusters(spark, sf):
     """Every event with its fitted cluster, feature vector and true cluster."""
     model, _ = _fitted(spark, sf)
-    return model, CL.assign(model.features(T.net_events(spark, sf)), "features", model.centers)
+    return model, CL.assign(model.features(_events(spark, sf)), "features", model.centers)
 
 
 @query("elbow_point_fitted")
@@ -174,8 +177,7 @@ def q_write_assignments(spark, sf):
     """Write assignments, summary and metrics; return the re-read assignments."""
     from ..operators.interpret import cluster_summary
     model, _ = _fitted(spark, sf)
-    ev = T.net_events(spark, sf)
-    scored = model.classify(ev).select("event_id", "timestamp", "severity", "protocol", "duration_ms", "bytes_transferred",
+    scored = model.classify(_events(spark, sf)).select("event_id", "timestamp", "severity", "protocol", "duration_ms", "bytes_transferred",
                                        "hour_of_day", "cluster", "anomaly_score").persist()
     out = _scratch(spark, "assignments")
     summary = cluster_summary(scored.select("cluster", "severity", "duration_ms", "bytes_transferred",
@@ -194,7 +196,7 @@ def q_save_model(spark, sf):
     root = _scratch(spark, "models")
     model.save(spark, root)
     loaded = EventClusteringModel.load(spark, root, model.version)
-    return loaded.classify(T.net_events(spark, sf)).select(
+    return loaded.classify(_events(spark, sf)).select(
         "event_id", "cluster", "interpretation", "anomaly_score", "model_version")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..operators import text as X
+from ..session import spread
 from ..sources import tables as T
 from .registry import NET_EVENTS_CTE, query, with_ctes
 
@@ -49,7 +50,7 @@ w AS (SELECT doc_id, term, term_index, tf, raw / sqrt(sum(raw * raw) OVER (PARTI
 
 
 def _docs(spark, sf):
-    return T.read_table(spark, sf, "documents")
+    return spread(T.read_table(spark, sf, "documents"))
 
 
 def _fit_docs(spark, sf):
@@ -153,7 +154,7 @@ def q_top_terms_per_component(spark, sf):
 # ---- LSA of the log messages: words of one character count, own stand-in tokens ------
 
 def log_lsa(spark, sf):
-    ev = T.net_events(spark, sf).select("event_id", "log_message")
+    ev = spread(T.net_events(spark, sf).select("event_id", "log_message"))
     tfidf = X.fit_tfidf(ev, "log_message", min_len=1, ip_token=TX.LSA_IP_TOKEN, num_token=TX.LSA_NUM_TOKEN)
     return ev, tfidf, X.fit_lsa(ev, "log_message", tfidf, X.N_COMPONENTS)
 

@@ -112,6 +112,15 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, a projection of a table scan, in at least as many partitions as
+    there are cores. A table of one small file is one partition, which would
+    leave compute-heavy rows (texts, vectors) to one core; large tables have
+    many partitions and pass unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def require_columns(df: DataFrame, cols, op: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
