@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -22,6 +21,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores as none of ``columns`` has."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder of
     ``spark.checkpoint.dir`` and read it back: lineage ends there, a lost
@@ -47,13 +56,6 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of plans that are done:
-    it does so when the driver collects the plans' garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def checked_broadcast(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A stored table of a few narrow columns, to be broadcast if it has at
     most ``rows`` rows; otherwise Spark shuffles it."""

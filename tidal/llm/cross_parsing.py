@@ -2,7 +2,8 @@
 
 A suffix automaton is built over the same amount of training text of every
 language. A document is parsed greedily against each: the longest match from
-the current place is one phrase. The fewer phrases a language needs per
+the current place is one phrase (a symbol that the language lacks belongs to
+the phrase that follows it). The fewer phrases a language needs per
 letter, the closer it is; the fewest win (ties: code point order).
 
 Texts are lower-cased and every run of non-letters becomes one space. Texts
@@ -11,7 +12,9 @@ segment), so that one array step advances all segments of a batch at once.
 
 The fit reads at most ``DOCS_PER_LANGUAGE`` labelled documents of each
 language and ``CHARS_PER_LANGUAGE`` letters (fewer when languages are many,
-``TOTAL_CHARS``); these bound the broadcast.
+``TOTAL_CHARS``); these bound the broadcast. Every character of the samples
+has its symbol: the commonest have a column each in a dense transition table,
+all others are looked up in a sorted list of transitions.
 
 Defined cases: null texts and texts without a letter are ``und`` with score
 0; so is everything when no labelled text exists; null languages are never
@@ -34,7 +37,9 @@ SEGMENT = 1024
 DOCS_PER_LANGUAGE = 80
 CHARS_PER_LANGUAGE = 48_000
 TOTAL_CHARS = 1_000_000
-SYMBOLS = 255
+#: Symbols with a column in the dense table; the others' transitions are a list.
+DENSE = 255
+SALTS = 32
 UNDETERMINED = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -86,28 +91,46 @@ class CrossParser:
         for s in samples.values():
             for ch in s:
                 counts[ch] = counts.get(ch, 0) + 1
-        known = sorted(counts, key=lambda ch: (-counts[ch], ch))[:SYMBOLS]
-        self.width = len(known) + 1  # symbol 0: any other character
-        self.symbol = np.zeros(0x110000, np.uint8)
+        known = sorted(counts, key=lambda ch: (-counts[ch], ch))
+        self.width = min(len(known), DENSE) + 1  # symbol 0: a character of no sample
+        self.symbols = len(known) + 1
+        self.symbol = np.zeros(0x110000, np.uint16 if self.symbols <= 1 << 16 else np.uint32)
         for k, ch in enumerate(known, 1):
             self.symbol[ord(ch)] = k
-        tables, roots, at = [], [], 0
+        tables, roots, rare, at = [], [], [], 0
         for lang in self.languages:
             nxt = suffix_transitions(self.encode(samples[lang]).tolist())
             t = np.full((len(nxt), self.width), -1, np.int32)
             for s, row in enumerate(nxt):
                 for c, to in row.items():
-                    if c:
+                    if 0 < c < self.width:
                         t[s, c] = (at + to) * self.width
+                    elif c:
+                        rare.append(((at + s) * self.width * self.symbols + c, (at + to) * self.width))
             tables.append(t)
             roots.append(at * self.width)
             at += len(nxt)
         self.table = np.concatenate(tables).reshape(-1)
+        rare.sort()
+        self.rare_keys = np.array([k for k, _ in rare], np.int64)
+        self.rare_to = np.array([to for _, to in rare], np.int32)
         self.root = np.array(roots, np.int32)[:, None]
-        first = self.table[self.root + np.arange(self.width)[None, :]]
+        every = np.arange(self.symbols)
+        first = self._next(np.repeat(self.root, self.symbols, axis=1), every)
         self.restart = np.where(first < 0, self.root, first).astype(np.int32)  # a new phrase's first symbol
         self.bits = np.log2(max(map(len, samples.values())) + 1)
 
+    def _next(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The states after symbol ``c`` (one per column), -1 without one."""
+        common = c < self.width
+        to = self.table[state + np.where(common, c, 0)]
+        if not common.all():
+            cols = np.flatnonzero(~common)
+            keys = state[:, cols].astype(np.int64) * self.symbols + c[cols]
+            at = np.minimum(np.searchsorted(self.rare_keys, keys), len(self.rare_keys) - 1)
+            to[:, cols] = np.where(self.rare_keys[at] == keys, self.rare_to[at], -1)
+        return to
+
     def encode(self, s: str) -> np.ndarray:
         return self.symbol[np.frombuffer(s.encode("utf-32-le", "replace"), np.uint32)]
 
@@ -129,7 +152,7 @@ class CrossParser:
     def _parse(self, pieces: list[np.ndarray]) -> np.ndarray:
         """``pieces`` from long to short, one array step per symbol."""
         sizes = np.array([len(p) for p in pieces])
-        grid = np.zeros((sizes[0], len(pieces)), np.uint8)
+        grid = np.zeros((sizes[0], len(pieces)), self.symbol.dtype)
         for k, p in enumerate(pieces):
             grid[:len(p), k] = p
         alive = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
@@ -137,7 +160,7 @@ class CrossParser:
         count = np.ones((len(self.languages), len(pieces)), np.int64)
         for step, n in enumerate(alive):
             c = grid[step, :n]
-            to = self.table[state[:, :n] + c]
+            to = self._next(state[:, :n], c)
             dead = to < 0
             if step:
                 count[:, :n] += dead
@@ -145,21 +168,31 @@ class CrossParser:
         return count
 
 
+def _shortened(batches):
+    """The letters of sample texts, no more than a sample takes."""
+    for batch in batches:
+        cut = [letters(t)[:CHARS_PER_LANGUAGE] for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.string())], ["lang", "k", "letters"])
+
+
 def learn(documents: DataFrame, train, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> CrossParser | None:
     """The parser of the labelled training rows (``train``: their condition)."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(id_col), id_col)
+    order = (F.xxhash64(id_col), F.col(id_col))
     ids = (documents.where(train & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(id_col).agg(F.min(lang_col).alias("lang"))  # without texts
-           .withColumn("k", F.row_number().over(first))
-           .where(F.col("k") <= DOCS_PER_LANGUAGE).select(F.col(id_col).alias("i"), "lang", "k"))
+           .withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), F.col(id_col)), F.lit(SALTS))))
+    for keys in (["lang", "salt"], ["lang"]):  # first inside salted parts of a language
+        ids = ids.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("k") <= DOCS_PER_LANGUAGE)
+    ids = ids.select(F.col(id_col).alias("i"), "lang", "k")
     rows = (documents.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"))
             .where("text is not null").join(F.broadcast(ids), "i"))
     found: dict[str, list[str]] = {}
-    for r in rows.orderBy("lang", "k", "text").toLocalIterator():
+    short = rows.select("lang", "k", "text").mapInArrow(_shortened, "lang string, k int, letters string")
+    for r in short.orderBy("lang", "k", "letters").toLocalIterator():  # at most DOCS_PER_LANGUAGE ids a language
         kept = found.setdefault(r["lang"], [])
         if sum(map(len, kept)) < CHARS_PER_LANGUAGE:
-            kept.append(letters(r["text"]))
+            kept.append(r["letters"])
     joined = {lang: " ".join(v) for lang, v in found.items() if has_letter("".join(v))}
     if not joined:
         return None

@@ -1,8 +1,9 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
-The automaton over the normalised words of all benchmark items is built once
-and broadcast (``MAX_ITEM_WORDS`` bounds it; a larger benchmark is refused,
-split it and merge the spans). Each document's words stream through it and
+The automaton over the normalised words of all benchmark items is built and
+broadcast; ``SLICE_BYTES`` bounds it: a larger benchmark is cut into slices by
+a hash of the items, one automaton and pass over the documents each, and a
+document's spans and items are merged. Each document's words stream through it and
 the longest match that ends at each word is tracked: a match of at least
 ``window`` words, or one that ends in a whole shorter item, marks its words.
 
@@ -11,13 +12,15 @@ Spans of marked words are cut from ``clean_text``; a document whose marked
 share reaches ``max_coverage`` is ``contaminated``.
 
 Defined cases: null or empty texts have no words and are clean; null or
-wordless items match nothing; items may repeat; an empty benchmark marks
+wordless items match nothing; an item with a null id marks words and counts as
+one item, but has no id to name; items may repeat; an empty benchmark marks
 nothing; repeated rows get equal results; extra columns pass through, those
 named like a result are replaced.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -25,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, text_bytes, with_computed
+from .common import quoted, stored, text_bytes, unused, with_computed
 
 WINDOW = 13
 MAX_COVERAGE = 0.05
-MAX_ITEM_WORDS = 1_000_000
+SLICE_BYTES = 8_000_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                  for b in range(256))
@@ -178,14 +181,29 @@ class _Zeros:
 ZEROS = _Zeros()
 
 
-def build(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> Automaton:
-    """The automaton of the benchmark, whose words are counted first."""
-    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("binary").alias("t")) \
-        .where("i is not null and t is not null").distinct()
+def slices_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", limit: int | None = None) -> tuple[DataFrame, int]:
+    """The distinct items as (i, t) and the number of slices they make. The
+    name of an item is its id after ``=``, or empty for a null id."""
+    rows = benchmark.select(F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("")).alias("i"),
+                            F.col(text_col).cast("binary").alias("t")).where("t is not null").distinct()
     size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    if size > 8 * MAX_ITEM_WORDS:
-        raise ValueError(f"the benchmark has {size} bytes, over the bound of the broadcast automaton; split it")
-    return Automaton([(r["i"], words_of(bytes(r["t"]))) for r in rows.orderBy("i", "t").toLocalIterator()], window)
+    return rows, 1 + size // (limit or SLICE_BYTES)
+
+
+def build(items: DataFrame, parts: int, part: int, window: int) -> Automaton:
+    """The automaton of one slice of the items."""
+    mine = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part)
+    return Automaton([(r["i"], words_of(bytes(r["t"]))) for r in mine.orderBy("i", "t").toLocalIterator()], window)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -202,19 +220,39 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                   text_col: str = "text", clean: bool = True) -> DataFrame:
     """``docs`` with hit counts, items, marked word spans, the text without
     them (``clean=False``: null) and the verdict."""
-    model = docs.sparkSession.sparkContext.broadcast(build(benchmark, window))
+    items, parts = slices_of(benchmark)
+    for part in range(parts):
+        docs = _with_hits(docs, build(items, parts, part, window), part > 0, part + 1 == parts, max_coverage, text_col, clean)
+        if part + 1 < parts:
+            docs = stored(docs, f"hits-{part}")
+    return docs
+
+
+def _with_hits(docs: DataFrame, automaton: Automaton, more: bool, last: bool, max_coverage: float, text_col: str, clean: bool) -> DataFrame:
+    """``docs`` with what one slice marks, beside what earlier slices marked
+    (``more``); ids and verdict are made after the last one."""
+    model = docs.sparkSession.sparkContext.broadcast(automaton)
+    earlier = unused(docs.columns, "earlier_spans", "earlier_items")
+    if more:
+        docs = docs.withColumnsRenamed(dict(zip(("spans", "item_ids"), earlier)))
 
     def make():
         automaton = model.value
 
         def work(batch):
             cols = [[] for _ in range(7)]
-            for raw in text_bytes(batch, text_col):
+            before = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in earlier)) if more \
+                else itertools.repeat(([], []))
+            for raw, (old, known) in zip(text_bytes(batch, text_col), before):
                 words = words_of(raw)
-                spans, items = automaton.hits(words)
+                spans, names = automaton.hits(words)
+                if old:
+                    spans = merged([*spans, *((s["start"], s["end"]) for s in old)])
+                names = sorted(names.union(known))
                 n_hit = sum(b - a for a, b in spans)
-                cut = (cut_words(raw.decode("utf-8"), spans) if spans else raw.decode("utf-8")) if clean else None
-                row = (len(words), n_hit, len(items), sorted(items), [{"start": a, "end": b} for a, b in spans], cut,
+                cut = (cut_words(raw.decode("utf-8"), spans) if spans else raw.decode("utf-8")) if clean and last else None
+                ids = [n[1:] for n in names if n] if last else names
+                row = (len(words), n_hit, len(names), ids, [{"start": a, "end": b} for a, b in spans], cut,
                        n_hit > 0 and n_hit >= max_coverage * len(words) - 1e-9)
                 for c, v in zip(cols, row):
                     c.append(v)
@@ -223,7 +261,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
             return [pa.array(c, k) for c, k in zip(cols, kinds)]
         return work
 
-    return with_computed(docs, ADDED, make)
+    return with_computed(docs, ADDED, make).drop(*earlier)
 
 
 def cleaned(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

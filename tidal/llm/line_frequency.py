@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, stored
+from .common import quoted, stored, unused
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -127,12 +127,14 @@ def filter_quality(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
 def without_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS,
                         id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``docs`` with each text left without its host's boilerplate lines. The
-    lines of a host are few, as each is in many of its documents."""
+    lines of a host are few, as each is in many of its documents. Null texts
+    stay null, a null host is one host, all columns keep their names."""
     rows = stored(measure(docs, id_col, text_col, host_col).select("host", "lines"), "host-lines")
-    sets = (common_lines(rows, min_docs, max_share, max_docs).groupBy(F.col("of").alias("_of"))
-            .agg(F.collect_set("same").alias("_same")))
+    of, same = unused(docs.columns, "of", "same")
+    sets = (common_lines(rows, min_docs, max_share, max_docs).groupBy(F.col("of").alias(of))
+            .agg(F.collect_set("same").alias(same)))
     text = F.col(quoted(text_col))
-    left = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_same", F.xxhash64(normal_line(x))))
-    out = docs.join(sets, F.col(quoted(host_col)).eqNullSafe(F.col("_of")), "left")
-    return out.select(*[F.when(F.col("_same").isNull(), text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col
+    left = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(same, F.xxhash64(normal_line(x))))
+    out = docs.join(sets, F.col(quoted(host_col)).eqNullSafe(F.col(of)), "left")
+    return out.select(*[F.when(F.col(same).isNull(), text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col
                         else F.col(quoted(c)) for c in docs.columns])

@@ -17,8 +17,9 @@ hash order are found by sums over hash buckets, so no source passes through
 one task. No document gets more than ``cap`` copies.
 
 Defined cases: a text without words (or null) has size 0 and no copies; a null
-source is one source, the last; repeated rows (same id, source and size) get
-equal copies; an empty table gives an empty result; extra columns are not read.
+source is one source, the last; the n repeated rows of an id, source and text
+share their copies, each getting the n-th part, some one more; an empty table
+gives an empty result; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,23 +29,31 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import quoted, stored
+from .common import quoted, stored, unused
 
 WEIGHTS = (3, 1, 2)
 TOTAL = 1.5
 CAP = 2
 WORDS = r"[^\x20\x09-\x0D]+"
-BUCKETS = 256
+BUCKETS = 4096
+SALTS = 64
 ROUNDS = 4
 STEPS = 60
 TOLERANCE = 1e-9
 
 
+KEY = ("doc_id", "source", "size", "text_hash")
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, n): documents with their words; n equal rows."""
+    """(doc_id, source, size, text_hash, n): documents with their words; n equal rows."""
+    return docs.select(*_key(id_col, text_col, source_col)).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _key(id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> list:
     size = F.coalesce(F.regexp_count(F.col(quoted(text_col)), F.lit(WORDS)), F.lit(0)).cast("long")
-    return (docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(source_col)).alias("source"), size.alias("size"))
-            .groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")))
+    return [F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(source_col)).alias("source"), size.alias("size"),
+            F.xxhash64(quoted(text_col)).alias("text_hash")]
 
 
 def targets(by_source: DataFrame, weights=WEIGHTS, total: float = TOTAL, cap: float = CAP) -> DataFrame:
@@ -111,37 +120,36 @@ def unit_hash(*cols):
 
 def even_out(docs: DataFrame, step: int, cap: int) -> DataFrame:
     """One copy more or less for documents in hash order while they fit into
-    what their source lacks or exceeds."""
-    gap = docs.groupBy("source", "target").agg(
-        (F.col("target") - F.sum(F.col("size") * F.col("copies") * F.col("n"))).alias("gap")) \
+    what their source lacks or exceeds. Of n equal rows as many change as fit."""
+    gap = docs.groupBy("source", "target").agg((F.col("target") - F.sum(F.col("size") * F.col("copies"))).alias("gap")) \
         .select(F.col("source").alias("of"), "gap")
     d = docs.join(gap, docs["source"].eqNullSafe(gap["of"])).drop("of")
-    weight = F.col("size") * F.col("n")
-    fits = (F.col("size") > 0) & (weight <= F.abs("gap")) & \
-        F.when(F.col("gap") > 0, F.col("copies") < cap).otherwise(F.col("copies") > 0)
+    able = F.least(F.col("n"), F.when(F.col("gap") > 0, cap * F.col("n") - F.col("copies")).otherwise(F.col("copies")))
+    d = d.withColumn("able", F.when((F.col("size") > 0) & (F.col("size") <= F.abs("gap")), able).otherwise(0))
     spot = unit_hash("doc_id", "size", F.lit(f"even {step}"))
-    d = d.withColumn("spot", spot).withColumn("bucket", F.when(fits, F.floor(F.col("spot") * BUCKETS).cast("int")))
-    sums = d.where("bucket is not null").groupBy("source", "bucket", "gap").agg(F.sum(weight).alias("words"))
+    movers = d.where("able > 0").withColumn("spot", spot).withColumn("bucket", F.floor(F.col("spot") * BUCKETS).cast("int"))
+    weight = F.col("size") * F.col("able")
+    sums = movers.groupBy("source", "bucket").agg(F.sum(weight).alias("words"))
     run = Window.partitionBy("source").orderBy("bucket")
     sums = sums.withColumn("upto", F.sum("words").over(run)).select(
         F.col("source").alias("of"), F.col("bucket").alias("at"), (F.col("upto") - F.col("words")).alias("before"), "upto")
-    d = d.join(sums, d["source"].eqNullSafe(sums["of"]) & (d["bucket"] == sums["at"]), "left").drop("of", "at")
-    room = F.abs("gap")
-    change = F.signum("gap").cast("int")
-    edge = F.col("bucket").isNotNull() & (F.col("before") < room) & (F.col("upto") > room)
-    inner = Window.partitionBy("source", "bucket").orderBy("spot", "doc_id", "size")
+    m = movers.join(sums, movers["source"].eqNullSafe(sums["of"]) & (movers["bucket"] == sums["at"])).drop("of", "at")
+    room, sign = F.abs("gap"), F.signum("gap").cast("long")
+    edge = (F.col("before") < room) & (F.col("upto") > room)
+    inner = Window.partitionBy("source", "bucket").orderBy("spot", *KEY)
     # only the documents of the one bucket in which a source's gap ends are sorted
-    split = (d.where(edge).withColumn("mine", F.col("before") + F.sum(weight).over(inner))
-             .withColumn("copies", F.col("copies") + F.when(F.col("mine") <= room, change).otherwise(0)).drop("mine"))
-    rest = (d.where(~F.coalesce(edge, F.lit(False)))
-            .withColumn("copies", F.col("copies") + F.when(F.col("bucket").isNotNull() & (F.col("upto") <= room), change)
-                        .otherwise(0)))
-    return stored(rest.unionByName(split).drop("gap", "spot", "bucket", "before", "upto"), f"copies-{step}")
+    left = room - (F.col("before") + F.sum(weight).over(inner) - weight)
+    some = F.least(F.col("able"), F.floor(F.greatest(left, F.lit(0)) / F.col("size")))
+    split = m.where(edge).withColumn("copies", F.col("copies") + sign * some)
+    rest = m.where(~edge).withColumn("copies", F.col("copies") + F.when(F.col("upto") <= room, sign * F.col("able")).otherwise(0))
+    out = d.where("able = 0").select(*docs.columns)
+    return stored(out.unionByName(rest.select(*docs.columns)).unionByName(split.select(*docs.columns)), f"copies-{step}")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, cap: int = CAP, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, source, size, n, source_size, target, rate, copies): one row
-    for the n equal rows of an id, source and size."""
+    """(doc_id, source, size, text_hash, n, source_size, target, rate, copies):
+    one row for the n equal rows of an id, source and text, with the copies of
+    all n together."""
     base = stored(sizes(docs), "sizes")
     counts = stored(base.where("size > 0").groupBy("source", "size").agg(F.sum("n").alias("n")), "counts")
     goals = stored(targets(base.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")),
@@ -152,20 +160,41 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, cap: int = CAP,
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("lam").isNull(), F.when(F.col("target") > 0, float(cap)).otherwise(0.0)) \
         .otherwise(F.least(F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean_size"), F.lit(20.0))), F.lit(float(cap))))
     d = base.join(facts, base["source"].eqNullSafe(facts["of"])).withColumn("rate", rate)
-    whole = F.floor("rate")
-    copies = whole + (unit_hash("doc_id", "size", F.lit("round")) < F.col("rate") - whole).cast("int")
-    d = stored(d.withColumn("copies", copies.cast("int")).drop("of", "lam", "mean_size"), "copies-0")
+    share = F.col("rate") * F.col("n")
+    copies = F.floor(share) + (unit_hash("doc_id", "size", F.lit("round")) < share - F.floor(share)).cast("long")
+    d = stored(d.withColumn("copies", copies.cast("long")).drop("of", "lam", "mean_size"), "copies-0")
     for step in range(1, rounds + 1):
         d = even_out(d, step, cap)
     return d
 
 
+def copies_of(row) -> F.Column:
+    """Copies of the row-th of the n equal rows (from 1)."""
+    return F.floor(F.col("copies") / F.col("n")) + (row <= F.col("copies") % F.col("n")).cast("long")
+
+
 def repeated(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: every document as often as the mix takes it."""
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORDS)), F.lit(0)).cast("long")
-    m = mix(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_of"),
-                                             F.col("size").alias("_n"), "copies")
-    d = docs.withColumn("_size", size)
-    on = d["doc_id"].eqNullSafe(m["_id"]) & d["source"].eqNullSafe(m["_of"]) & (d["_size"] == m["_n"])
-    return (d.join(m, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*[quoted(c) for c in docs.columns]))
+    """Pipeline stage: every document as often as the mix takes it. Null ids
+    and sources, repeated rows and clashing columns are handled as in ``mix``."""
+    row, place, salt = unused(docs.columns, "row", "place", "salt")
+    m = mix(docs).where("copies > 0").select(F.struct(*KEY).alias("of"), "n", "copies")
+    d = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias(row), F.struct(*_key()).alias("key"))
+    on = None
+    for c in KEY:
+        same = F.col(f"key.{c}").eqNullSafe(F.col(f"of.{c}"))
+        on = same if on is None else on & same
+    j = d.join(m, on)
+    once = j.where("n = 1").withColumn(place, F.lit(1).cast("long"))
+    # equal rows are told apart in salted parts, each with its share of the places
+    many = j.where("n > 1").withColumn(salt, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)))
+    many = stored(many, "equal-rows")
+    parts = many.groupBy("key", salt).agg(F.count(F.lit(1)).alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy("key").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(F.col("key").alias("k"), F.col(salt).alias("s"), before.alias("before"))
+    inside = F.row_number().over(Window.partitionBy("key", salt).orderBy(F.lit(1)))
+    many = many.withColumn("inside", inside).join(parts, F.col("key").eqNullSafe(F.col("k")) & (F.col(salt) == F.col("s"))) \
+        .withColumn(place, F.col("before") + F.col("inside"))
+    all_ = once.select(row, place, "n", "copies").unionByName(many.select(row, place, "n", "copies"))
+    taken = all_.select(row, copies_of(F.col(place)).alias("taken")).where("taken > 0")
+    return taken.select(row, F.explode(F.sequence(F.lit(1).cast("long"), F.col("taken")))).select(
+        *[F.col(f"{row}.{quoted(c)}").alias(c) for c in docs.columns])

@@ -4,11 +4,13 @@ Pages of a host are ordered by URL path; a page's partner is the neighbour
 (previous or next) that shares the longer beginning of the path (ties: the
 previous). The page's text lines, its blocks, are aligned with the partner's
 by a longest common subsequence; lines that both share are template and are
-deleted, inside an ``article`` (or ``main``) too, and lines that the partner
-lacks stay, outside of it too. What the markup itself says is kept beside it:
-lines in menus, headers, footers, sidebars, notices, adverts, forms and
-comments go also when the partner lacks them, and an article stays whole when
-its partner is a copy of it (shares more than ``COPIED`` of its text).
+deleted, and lines that the partner lacks stay. What the markup itself says is
+kept beside it: lines in menus, headers, footers, sidebars, notices, adverts,
+forms and comments go also when the partner lacks them, and inside an
+``article`` (or ``main``) a shared line is template only if more than
+``COMMON`` of the host's pages hold it too, since an article may quote its
+neighbour. An article that is a copy of its partner's (shares more than
+``COPIED`` of its text) stays whole.
 A page without partner has only its markup: its article, or else all unmarked
 lines, are main text.
 
@@ -52,6 +54,7 @@ MARKED = set("ad ads advert adverts advertisement advertising banner breadcrumb
              "contentinfo".split())
 SPACES = re.compile(r"\s+")
 ASIDE_LINE, NEUTRAL, ARTICLE = 0, 1, 2
+COMMON = 0.5
 COPIED = 0.5
 
 
@@ -135,15 +138,18 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
-def main_lines(lines: list[tuple[str, int]], partner: list[int]) -> list[str]:
-    """The lines that differencing and the markup leave."""
-    own = [t for t, z in lines if z == ARTICLE]
+def main_lines(lines: list[tuple[str, int]], partner: list[int], common: list[int]) -> list[str]:
+    """The lines that differencing and the markup leave; ``common`` are the
+    lines of most pages of the host."""
     if not partner:
+        own = [t for t, z in lines if z == ARTICLE]
         return own or [t for t, z in lines if z == NEUTRAL]
-    shared = shared_lines([line_hash(t) for t, _ in lines], partner)
-    common = sum(len(t) for i, (t, z) in enumerate(lines) if z == ARTICLE and i in shared)
-    copied = common > COPIED * sum(map(len, own))
-    return [t for i, (t, z) in enumerate(lines) if z != ASIDE_LINE and (i not in shared or (z == ARTICLE and copied))]
+    hashes, usual = [line_hash(t) for t, _ in lines], set(common)
+    shared = shared_lines(hashes, partner)
+    own = sum(len(t) for t, z in lines if z == ARTICLE)
+    copied = sum(len(t) for i, (t, z) in enumerate(lines) if z == ARTICLE and i in shared) > COPIED * own
+    return [t for i, (t, z) in enumerate(lines)
+            if z != ASIDE_LINE and (i not in shared or (z == ARTICLE and (copied or hashes[i] not in usual)))]
 
 
 def common_start(a: str, b: str) -> int:
@@ -155,11 +161,21 @@ def common_start(a: str, b: str) -> int:
     return n
 
 
-SORTED = "k long, host string, path string, lines array<long>, part int, place long, edge boolean, near array<long>, likeness int"
+SORTED = ("k long, host string, path string, lines array<long>, part int, place long, last boolean, edge boolean, "
+          "near array<long>, likeness int")
+
+
+def common_lines(narrow: DataFrame) -> DataFrame:
+    """(host, common): the lines that more than ``COMMON`` of a host's pages
+    hold, of hosts with two pages or more. No host has more of them than
+    its pages have lines on average, divided by ``COMMON``."""
+    pages = narrow.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where("pages > 1")
+    lines = narrow.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    return lines.join(pages, "host").where(F.col("n") > COMMON * F.col("pages")).groupBy("host").agg(F.collect_list("line").alias("common"))
 
 
 def partners(keyed: DataFrame) -> DataFrame:
-    """(k, partner lines) of pages that have a neighbour on their host."""
+    """(k, near, common): the partner's lines and the host's common ones."""
     def hashes():
         def work(batch):
             return [pa.array([[line_hash(t) for t, _ in lines_of(h)] for h in texts(batch, "html")], pa.list_(pa.int64()))]
@@ -170,18 +186,18 @@ def partners(keyed: DataFrame) -> DataFrame:
     parts = max(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = narrow.repartitionByRange(parts, "host", "path", "k").sortWithinPartitions("host", "path", "k")
     schema = pa.schema([("k", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int64())),
-                        ("part", pa.int32()), ("place", pa.int64()), ("edge", pa.bool_()),
+                        ("part", pa.int32()), ("place", pa.int64()), ("last", pa.bool_()), ("edge", pa.bool_()),
                         ("near", pa.list_(pa.int64())), ("likeness", pa.int32())])
 
     def pair(batches):
         part, place, before, now = TaskContext.get().partitionId(), 0, None, None
 
-        def paired(r, prev, nxt, edge):
+        def paired(r, prev, nxt, edge, last=False):
             best, near = -1, None
             for other in (prev, nxt):
                 if other and other["host"] == r["host"] and common_start(r["path"], other["path"]) > best:
                     best, near = common_start(r["path"], other["path"]), other["lines"]
-            return r | {"part": part, "place": place, "edge": edge, "near": near, "likeness": best}
+            return r | {"part": part, "place": place, "last": last, "edge": edge, "near": near, "likeness": best}
 
         for batch in batches:
             out = []
@@ -193,18 +209,24 @@ def partners(keyed: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
         if now is not None:
-            yield pa.RecordBatch.from_pylist([paired(now, before, None, True)], schema)
+            yield pa.RecordBatch.from_pylist([paired(now, before, None, True, True)], schema)
 
     rows = stored(ordered.mapInArrow(pair, SORTED), "page-pairs")
-    # two rows a task: their other neighbour stands at the end of another task's range
-    line = Window.orderBy("part", "place")
-    other = lambda f: F.when(f("host").over(line) == F.col("host"), F.struct(
-        F.length(common_prefix(F.col("path"), f("path").over(line))).alias("likeness"), f("lines").over(line).alias("near")))
-    edges = (rows.where("edge").withColumn("a", other(F.lag)).withColumn("b", other(F.lead))
-             .select("k", F.array(F.struct("likeness", "near"), "a", "b").alias("all"))
-             .select("k", F.aggregate("all", F.struct(F.lit(-1).alias("likeness"), F.lit(None).cast("array<long>").alias("near")),
-                                      lambda best, x: F.when(x["likeness"] > best["likeness"], x).otherwise(best))["near"].alias("near")))
-    return rows.where(~F.col("edge")).select("k", "near").unionByName(edges)
+    # the ends of the tasks' ranges, two rows each: the last row of a range and the first of the next one with rows
+    ends = rows.where("edge")
+    ranks = ends.select("part").distinct().withColumn("rank", F.row_number().over(Window.orderBy("part")))  # one number a task
+    ends = ends.join(F.broadcast(ranks), "part")
+    left = ends.where("last").select(F.col("rank").alias("b"), *[F.col(c).alias(f"l_{c}") for c in ("k", "host", "path", "lines")])
+    right = ends.where("place = 0").select((F.col("rank") - 1).alias("b"), *[F.col(c).alias(f"r_{c}") for c in ("k", "host", "path", "lines")])
+    met = left.join(right, "b").where("l_host = r_host").withColumn("likeness", F.length(common_prefix(F.col("l_path"), F.col("r_path"))))
+    # equal likeness: the previous page
+    own = ends.select("k", "likeness", "near", F.when(F.col("place") == 0, 1).otherwise(2).alias("order"))
+    more = met.select(F.col("l_k").alias("k"), "likeness", F.col("r_lines").alias("near"), F.lit(1).alias("order")).unionByName(
+        met.select(F.col("r_k").alias("k"), "likeness", F.col("l_lines").alias("near"), F.lit(2).alias("order")))
+    edges = own.unionByName(more).groupBy("k").agg(F.max_by("near", F.struct("likeness", "order")).alias("near"))
+    found = rows.where(~F.col("edge")).select("k", "near").unionByName(edges)
+    usual = common_lines(narrow)
+    return found.join(narrow.select("k", "host"), "k").join(usual, "host", "left").select("k", "near", "common")
 
 
 def common_prefix(a, b):
@@ -221,13 +243,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.xxhash64(F.col(quoted(id_col)), F.col(quoted(url_col)), F.col(quoted(html_col))).alias("k"),
         F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1).alias("path"))
-    near = partners(keyed).select(F.col("k").alias("of"), "near")
+    near = partners(keyed).select(F.col("k").alias("of"), "near", "common")
     joined = keyed.select("page_id", "url", "html", "k").join(near, F.col("k") == F.col("of"), "left")
 
     def make():
         def work(batch):
-            partner = batch.column(batch.schema.get_field_index("near")).to_pylist()
-            found = ["\n\n".join(main_lines(lines_of(h), p or [])) for h, p in zip(texts(batch, "html"), partner)]
+            partner, usual = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("near", "common"))
+            found = ["\n\n".join(main_lines(lines_of(h), p or [], u or [])) for h, p, u in zip(texts(batch, "html"), partner, usual)]
             return [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
         return work
 

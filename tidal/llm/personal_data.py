@@ -89,20 +89,34 @@ def votes(kind: str, s: Column, before: Column, after: Column) -> Column:
     return F.concat(*[F.when(v, "1").otherwise("0") for v in said])
 
 
+def running(sizes: Column) -> Column:
+    """The sum of all earlier entries for every entry. Built in blocks of about
+    sqrt(n) entries, since an array that grows by one entry is copied each time."""
+    def grown(a: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(a, start, lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))["out"]
+
+    def summed(a: Column) -> Column:
+        n = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(a))).cast("int"))
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(a) - 1), n), lambda k: F.slice(a, k + 1, n))
+        total = lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x)
+        return bound(blocks, lambda bs: F.flatten(F.zip_with(
+            bs, grown(F.transform(bs, total)), lambda b, before: F.transform(grown(b), lambda x: x + before))))
+    return bound(sizes, summed)
+
+
 def candidates(kind: str, order: int, text: Column) -> Column:
     """All checked candidates of a kind with their places and votes."""
     pattern = PATTERNS[kind]
 
     def placed(pieces: Column, found: Column) -> Column:
-        # running lengths: the text before a match is all earlier pieces and matches
-        steps = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(pieces, i).alias("before"),
-                                                         F.get(pieces, i + 1).alias("after")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,m:string,before:string,after:string>>").alias("out"))
-        return F.aggregate(steps, start, lambda a, x: F.struct(
-            (a["at"] + F.length(x["before"]) + F.length(x["m"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct(
-                (a["at"] + F.length(x["before"])).alias("start"), x["m"].alias("m"),
-                F.right(x["before"], F.lit(BEFORE)).alias("before"), F.left(x["after"], F.lit(4)).alias("after")))).alias("out")))["out"]
+        steps = F.transform(found, lambda m, i: F.struct(
+            m.alias("m"), F.length(F.get(pieces, i)).alias("lead"), F.right(F.get(pieces, i), F.lit(BEFORE)).alias("before"),
+            F.left(F.get(pieces, i + 1), F.lit(4)).alias("after")))
+        # the text before a match is all earlier pieces and matches
+        return bound(steps, lambda s: F.zip_with(
+            s, running(F.transform(s, lambda x: x["lead"] + F.length(x["m"]))), lambda x, at: F.struct(
+                (at + x["lead"]).alias("start"), x["m"].alias("m"), x["before"].alias("before"), x["after"].alias("after"))))
 
     spans = bound(F.split(text, pattern, -1), lambda p: placed(p, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     kept = F.filter(spans, lambda x: valid(kind, x["m"]))

@@ -105,7 +105,10 @@ class Model:
             return np.full(len(counts), self.prior)
         cosines = self.project(self.weigh(counts)) @ self.vectors.T
         k = min(NEIGHBOURS, cosines.shape[1])
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+        least = np.partition(cosines, -k, axis=1)[:, -k][:, None]
+        above, equal = cosines > least, cosines == least
+        room = k - above.sum(axis=1, keepdims=True)  # of equal cosines the smallest ids (rows are in their order)
+        near = np.nonzero(above | (equal & (np.cumsum(equal, axis=1) <= room)))[1].reshape(-1, k)
         weights = np.maximum(np.take_along_axis(cosines, near, 1).astype(np.float64), 0) ** SHARPNESS
         total = weights.sum(axis=1)
         vote = (weights * self.labels[near]).sum(axis=1)

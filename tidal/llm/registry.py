@@ -90,7 +90,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: words taken of each."""
     m = MX.mix(table(spark, sf_dir, "documents"))
     rows = m.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * MX.copies_of(F.col("row"))).alias("taken"))
 
 
 @register("op6_line_frequency")

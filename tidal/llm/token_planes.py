@@ -20,8 +20,10 @@ empty file; extra columns are not written.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,16 @@ class Pieces(dict):
         return ids
 
 
+def splits_by_bytes(tokenizer) -> bool:
+    """Whether the tokenizer is byte-level BPE with the usual pattern, without
+    a prefix space, a normaliser or added tokens that match inside texts."""
+    said = json.loads(tokenizer.to_str())
+    pre = said.get("pre_tokenizer") or {}
+    added = [t for t in said.get("added_tokens") or [] if not t.get("special")]
+    return (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True)
+            and not said.get("normalizer") and not added and (said.get("model") or {}).get("type", "BPE") == "BPE")
+
+
 class WordCache:
     """Encodes a text by its pieces and remembers the pieces' ids.
 
@@ -62,7 +74,9 @@ class WordCache:
     (SEAM). Texts whose letters, marks and spaces never stand in a doubtful
     order (DOUBTFUL) are cut before every space, comma, stop and line end
     by replacement, which is the same and faster. A word of letters goes to
-    the library's BPE model directly."""
+    the library's BPE model directly. All this holds for a byte-level
+    tokenizer that splits by its usual pattern and normalises nothing; with
+    any other one, texts are encoded whole."""
 
     GAP = re.compile(r"(?<=\S) (?=\S)")
     LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -80,6 +94,8 @@ class WordCache:
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.by_pieces = splits_by_bytes(tokenizer)
+        self.whole = [t.content for t in tokenizer.get_added_tokens_decoder().values()]  # texts that name one aren't cut
         self.pieces = Pieces(self._encode, CACHED_WORDS)
 
     def _encode(self, piece: str) -> bytes:
@@ -94,6 +110,8 @@ class WordCache:
                 and (raw.isascii() or bool(self.BEYOND.fullmatch(raw.translate(None, self.ASCII).decode()))))
 
     def ids(self, text: str) -> bytes:
+        if not self.by_pieces or any(t in text for t in self.whole):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         raw = text.encode("utf-8", "replace")
         if self._plain_order(raw):
             for mark in " ,.\n":
@@ -127,9 +145,11 @@ def write_token_planes(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     every machine) and write chunks and index under ``folder``."""
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # the hash and the number spread rows of one id (or without id) over several ranges
+    order = (F.col("doc_id").asc_nulls_first(), "h", "k")
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-               .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
+               .withColumn("h", F.xxhash64("text")).withColumn("k", F.monotonically_increasing_id())
+               .repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text"))
 
     def encode(batches):
         import zstandard
@@ -203,13 +223,13 @@ def read_token_planes(spark: SparkSession, folder: str) -> DataFrame:
             out = {k: [] for k in ("part", "seq", "doc_id", "start_in_part", "n_tokens", "ids_crc32")}
             for r in batch.to_pylist():
                 if r["part"] != now:
-                    now, state = r["part"], {"open": [], "left": 0, "crc": 0, "seq": 0, "at": 0}
+                    now, state = r["part"], {"open": deque(), "left": 0, "crc": 0, "seq": 0, "at": 0}
                 data = from_planes([expand(p) for p in r["planes"]], r["n_ids"]).tobytes()
                 state["open"] += zip(r["doc_ids"], r["doc_lengths"])
                 at = 0
                 while at < len(data):
                     if not state["left"]:
-                        state["doc"] = state["open"].pop(0)
+                        state["doc"] = state["open"].popleft()
                         state["left"], state["crc"] = 4 * state["doc"][1], 0
                     take = min(state["left"], len(data) - at)
                     state["crc"] = zlib.crc32(data[at:at + take], state["crc"])
