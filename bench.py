@@ -1,7 +1,8 @@
 """Benchmark: run the headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Each query is executed completely with the ``noop`` sink (every row is
-produced, nothing is collected to the driver). Prints one JSON line.
+produced, nothing is collected to the driver). Caches and fitted models are
+cleared between queries, so none profits from another. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidal.plans import catalog  # noqa: E402,F401
+from tidal.plans import catalog, q_forecast, q_pipeline  # noqa: E402,F401
 from tidal.plans.registry import QUERIES  # noqa: E402
 from tidal.session import get_spark  # noqa: E402
 
@@ -41,6 +42,9 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
     times = {}
     for name in names:
+        spark.catalog.clearCache()
+        for memo in (q_forecast._MEMO, q_pipeline._MEMO):
+            memo.clear()
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
