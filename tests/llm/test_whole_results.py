@@ -54,9 +54,9 @@ def edited(text, *places):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("small, centers, block", [(32, 4, 1_000_000), (12, 16, 200)])
+@pytest.mark.parametrize("small, centers, block", [(32, 4, 1_000_000), (8, 2, 200)])
 def test_components_equal_brute_force(spark, monkeypatch, small, centers, block):
-    for name, v in (("SMALL", small), ("CENTERS", centers), ("BLOCK", block), ("HOT", 6)):
+    for name, v in (("SMALL", small), ("CENTERS", centers), ("BLOCK", block), ("HOT", 6), ("LOCAL", small + 20)):
         monkeypatch.setattr(SJ, name, v)
     base, common = prose(1, 50), prose(2, 40)
     texts = [base] * 40 + [edited(base, p) for p in range(5, 45)]            # one copy group, near copies not linked with each other
@@ -71,9 +71,9 @@ def test_components_equal_brute_force(spark, monkeypatch, small, centers, block)
 
 def test_rows_of_a_round_are_linear_in_the_group(spark):
     members = spark.createDataFrame([(1, k, 100, 10, k, 500) for k in range(500)], "h long, class long, n int, pos int, root long, members long")
-    pairs, rest = SJ.group_pairs(members)
+    pairs, rest = SJ.group_pairs(members, 32)
     assert pairs.count() <= SJ.CENTERS * 500 and rest.count() == 500 - SJ.CENTERS
-    few, none = SJ.group_pairs(members.where("class < 20").withColumn("members", F.lit(20).cast("long")))
+    few, none = SJ.group_pairs(members.where("class < 20").withColumn("members", F.lit(20).cast("long")), 32)
     assert few.count() == 190 and none.count() == 0
 
 
