@@ -191,3 +191,27 @@ def test_kmeans_far_from_the_origin_and_with_equal_points(spark):
     assert fit.inertia == pytest.approx(0.0, abs=1e-6)
     same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(8)] + [(9, None)], "id long, x array<double>")
     assert CL.kmeans_fit(same, "x", 3, n_init=2).inertia == pytest.approx(0.0)
+
+
+def test_one_pass_over_cells_equals_brute_force_for_all_models(spark):
+    from tidal.operators import kmeans as KM
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1300, 3)) + 1e5
+    x[:4] = x[4]
+    centers = [x[[0, 1, 50]], x[[7, 8, 9]], x[[3, 200, 700, 900]]]  # the first two of the first model are equal
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").repartition(3)
+    cells = KM.in_cells(df)
+    back = np.concatenate([np.frombuffer(r["cell"]).reshape(r["n"], -1) for r in cells.collect()])
+    assert np.array_equal(back, np.array([r["x"] for r in df.collect()]))
+    models = [KM.Model(len(c), 0, c) for c in centers]
+    n, cost, sums = KM.group_sums(cells, models, x.mean(0))
+    bounds, at = KM.distance_bounds(cells, centers), 0
+    for c, (inertia, lo, hi) in zip(centers, bounds):
+        d = np.square(x[:, None] - c[None]).sum(2)
+        own = d.argmin(1)
+        for j in range(len(c)):
+            assert n[at] == (own == j).sum()
+            assert np.isclose(cost[at], d[own == j, j].sum())
+            assert np.allclose(sums[at], (x[own == j] - x.mean(0)).sum(0), atol=1e-6)
+            at += 1
+        assert np.allclose([inertia, lo, hi], [d.min(1).sum(), np.sqrt(d.min()), np.sqrt(d.min(1).max())])
