@@ -215,3 +215,16 @@ def test_one_pass_over_cells_equals_brute_force_for_all_models(spark):
             assert np.allclose(sums[at], (x[own == j] - x.mean(0)).sum(0), atol=1e-6)
             at += 1
         assert np.allclose([inertia, lo, hi], [d.min(1).sum(), np.sqrt(d.min()), np.sqrt(d.min(1).max())])
+
+
+def test_mean_distances_hold_few_rows_at_once_and_equal_brute_force(spark):
+    assert CE.ROWS * CE.SAMPLE * 8 <= 16 << 20
+    rng = np.random.default_rng(5)
+    x, c = rng.normal(size=(1100, 2)), rng.integers(0, 3, 1100)
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, c))], "id long, x array<double>, cluster int")
+    got = {r["id"]: {m["c"]: m["m"] for m in r["md"]} for r in CE.mean_distances(df.coalesce(1), "id", "x", "cluster").collect()}
+    for i in (0, 511, 512, 1024, 1099):
+        d = np.sqrt(np.square(x - x[i]).sum(1))
+        for k in range(3):
+            others = (c == k) & (np.arange(1100) != i)
+            assert np.isclose(got[i][k], d[others].mean())
