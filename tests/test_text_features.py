@@ -131,3 +131,37 @@ def test_codes_over_several_ranges_follow_the_order_of_values(spark):
     for c, k in (("a", 0), ("b", 1)):
         values = sorted({r[k] for r in rows})
         assert {r["value"]: r["code"] for r in codes if r["feature"] == c} == {v: i for i, v in enumerate(values)}
+
+
+def test_lsa_of_many_terms_takes_few_passes(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    df = spark.createDataFrame([(i, " ".join(rng.choice(words, 40))) for i in range(400)], "id long, text string")
+    tfidf = X.fit_tfidf(df, "text", ngrams=False)
+    assert tfidf.size > 250
+    sc = spark.sparkContext
+    sc.setJobGroup("lsa-passes", "lsa")
+    try:
+        lsa = X.fit_lsa(df, "text", tfidf, 5)
+        jobs = sc.statusTracker().getJobIdsForGroup("lsa-passes")
+    finally:
+        sc.setJobGroup("other", "other")
+    assert len(jobs) <= 10  # an iterative decomposition runs one for every iteration
+    a = np.zeros((400, tfidf.size))
+    for r in tfidf.transform(df, "id", "text").collect():
+        a[r["doc_id"], r["term_index"]] = r["weight"]
+    s = np.linalg.svd(a, compute_uv=False)[:5]
+    assert np.allclose(lsa.singular_values, s)
+    assert np.allclose(lsa.explained_variance, (a @ lsa.components.T).var(0))
+    assert np.isclose(lsa.total_variance, a.var(0).sum())
+
+
+def test_weights_and_statistics_of_bigrams_by_hand(spark):
+    df = spark.createDataFrame([(1, "red fox red fox"), (2, "red fox blue"), (3, None), (4, "blue owl")], "id long, text string")
+    stats = {r["term"]: (r["df"], r["total_tf"]) for r in X.term_statistics(df, "text").collect()}
+    assert stats == {"red": (2, 3), "fox": (2, 3), "blue": (2, 2), "owl": (1, 1), "red fox": (2, 3), "fox red": (1, 1),
+                     "fox blue": (1, 1), "blue owl": (1, 1)}
+    model = X.fit_tfidf(df, "text")
+    got = {(r["doc_id"], r["term"]): r["tf"] for r in model.transform(df, "id", "text").collect()}
+    assert got == {(1, "red"): 2, (1, "fox"): 2, (1, "red fox"): 2, (2, "red"): 1, (2, "fox"): 1, (2, "blue"): 1,
+                   (2, "red fox"): 1, (4, "blue"): 1}
