@@ -29,7 +29,7 @@ def daily_rows(days=160):
 
 
 SCHEMA = ("region string, ds date, y double, sku_category string, request_urgency int, shipping_method string, "
-          "avg_repair_cycle_days double, failure_rate_pct double")
+          "avg_repair_cycle_days double, failure_rate_pct double, is_quarter_end int")
 
 
 @pytest.fixture(scope="module")
@@ -192,3 +192,25 @@ def test_exact_quantiles_equal_numpy(spark):
             assert got[k, p] == pytest.approx(np.quantile(values, p)), (k, p)
     whole = {r["p"]: r["quantile"] for r in V.exact_quantiles(df, [], "v", [0.5]).collect()}
     assert whole[0.5] == pytest.approx(np.quantile([v for _, v in rows if v is not None], 0.5))
+
+
+def test_region_series_reads_the_records_once(spark, monkeypatch):
+    from tidal.plans import q_forecast as QF
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i % 40), f"R{i % 2}", 10.0 + i, 1 + i % 3, "air", 5.0, 1.0, 0) for i in range(200)]
+    schema = ("date date, region string, shipping_weight_kg double, request_urgency int, shipping_method string, "
+              "avg_repair_cycle_days double, failure_rate_pct double, is_quarter_end int")
+    monkeypatch.setattr(QF.T, "shipments", lambda *_: spark.createDataFrame(rows, schema).mapInArrow(tell, schema))
+    monkeypatch.setattr(QF, "_MEMO", {})
+    rs, _ = QF.region_series(spark, "none")
+    try:
+        assert rs.agg(F.round(F.sum("y"), 6)).first()[0] == sum(r[2] for r in rows)
+        assert seen.value == len(rows)
+    finally:
+        rs.unpersist()
