@@ -228,3 +228,30 @@ def test_mean_distances_hold_few_rows_at_once_and_equal_brute_force(spark):
         for k in range(3):
             others = (c == k) & (np.arange(1100) != i)
             assert np.isclose(got[i][k], d[others].mean())
+
+
+def test_a_pass_is_one_job_of_one_stage_and_equals_the_pass_over_the_frame(spark):
+    from tidal.operators import kmeans as KM
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1200, 3))
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").coalesce(5)
+    points = KM.in_matrices(df).cache()
+    assert np.array_equal(np.concatenate(points.collect()), np.array([r["x"] for r in df.collect()]))
+    models = [KM.Model(4, s, x[s:s + 4]) for s in range(3)]
+    spark.sparkContext.setJobGroup("pass", "one pass")
+    try:
+        n, cost, sums = KM.group_sums(points, models, x.mean(0))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    jobs = status.getJobIdsForGroup("pass")
+    assert len(jobs) == 1 and len(status.getJobInfo(jobs[0]).stageIds) == 1
+    for one, other in zip((n, cost, sums), KM.group_sums(df, models, x.mean(0))):
+        assert np.allclose(one, other)
+    KM.DIRECT, held = 0, KM.DIRECT  # the tasks in between give the same sums
+    try:
+        for one, other in zip((n, cost, sums), KM.group_sums(points, models, x.mean(0))):
+            assert np.allclose(one, other)
+    finally:
+        KM.DIRECT = held
+        points.unpersist()
