@@ -165,3 +165,30 @@ def test_weights_and_statistics_of_bigrams_by_hand(spark):
     got = {(r["doc_id"], r["term"]): r["tf"] for r in model.transform(df, "id", "text").collect()}
     assert got == {(1, "red"): 2, (1, "fox"): 2, (1, "red fox"): 2, (2, "red"): 1, (2, "fox"): 1, (2, "blue"): 1,
                    (2, "red fox"): 1, (4, "blue"): 1}
+
+
+def test_counted_terms_equal_brute_force_however_the_texts_are_cut(monkeypatch):
+    import random
+    from collections import Counter
+
+    import pyarrow as pa
+    draw = random.Random(1)
+    for rows, piece, ngrams in ((1, 1, True), (3, 8, True), (500, 1 << 21, True), (500, 1 << 21, False)):
+        monkeypatch.setattr(X, "ROWS", rows)
+        monkeypatch.setattr(X, "PIECE", piece)
+        texts = [draw.choice(["", None, "a", " ".join(draw.choices(["\u00e4", "bb", "c", "dd", "e"], k=draw.randint(1, 9)))])
+                 for _ in range(60)]
+        docs, occurrences = Counter(), Counter()
+        for t in texts:
+            words = X.split_words(t)
+            terms = words + list(map(" ".join, zip(words, words[1:]))) if ngrams else words
+            docs.update(set(terms))
+            occurrences.update(terms)
+        ids: dict = {}
+        cut = list(X._pieces(pa.array(texts, pa.string())))
+        assert sum(map(len, cut)) == len(texts) and max(map(len, cut)) <= rows
+        parts = [X._terms_of(p, ids, ngrams) for p in cut]
+        keys, df, tf = X._counted(*(np.concatenate([p[c] for p in parts]) for c in range(3)))
+        names = list(ids)
+        terms = [names[k] if k < 1 << 32 else f"{names[(k >> 32) - 1]} {names[k & 0xFFFFFFFF]}" for k in keys.tolist()]
+        assert dict(zip(terms, df.tolist())) == docs and dict(zip(terms, tf.tolist())) == occurrences

@@ -10,11 +10,11 @@ rows like any other. The decomposition is Spark's ``RowMatrix.computeSVD``.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +29,7 @@ N_COMPONENTS = 20
 LOCAL_SVD = 5000  # terms; 200 MB for their products
 ROWS = 500
 HELD_TERMS = 200_000
+PIECE = 1 << 21  # bytes of text whose terms are counted at once
 
 
 def with_tokens(df: DataFrame, text_col: str, out: str, min_len: int = 2, ip_token: str = TX.IP_TOKEN,
@@ -65,41 +66,85 @@ def split_words(tokens: str | None) -> list[str]:
     return tokens.split(" ") if tokens else []
 
 
+def _pieces(texts: pa.Array):
+    """Slices of at most ``ROWS`` texts, cut after about ``PIECE`` bytes."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < len(texts):
+        full = np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE) + 1
+        to = min(at + ROWS, int(full), len(texts))
+        yield texts.slice(at, to - at)
+        at = to
+
+
+def _counted(keys: np.ndarray, docs: np.ndarray, occurrences: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, sum of docs, sum of occurrences) of the different keys."""
+    if not len(keys):
+        return keys, docs, occurrences
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(docs[order], first), np.add.reduceat(occurrences[order], first)
+
+
+def _terms_of(texts: pa.Array, ids: dict[str, int], ngrams: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, documents, occurrences) in texts of words joined by one space.
+    A word is its number in ``ids``, which grows; a pair is the first word's
+    number + 1 in the high 32 bits and the second's in the low ones."""
+    split = pc.split_pattern(texts, " ")
+    doc = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False))
+    coded = split.flatten().dictionary_encode()
+    n, v = len(texts), len(coded.dictionary)
+    place = np.array([ids.setdefault(w, len(ids)) if w else -1 for w in coded.dictionary.to_pylist()], np.int64)
+    term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    some = place[term] >= 0  # the one word of an empty text is no word
+    doc, term = doc[some], term[some]
+    if not len(term):
+        return term, term, term
+    if ngrams:
+        inside = np.flatnonzero(doc[1:] == doc[:-1])
+        term, doc = np.concatenate([term, (term[inside] + 1) * v + term[inside + 1]]), np.concatenate([doc, doc[inside]])
+    at_doc = np.sort(term * n + doc)
+    term = at_doc // n
+    new = np.concatenate([[True], at_doc[1:] != at_doc[:-1]])
+    first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
+    before, last = np.divmod(term[first], v)
+    key = place[last] + np.where(before > 0, place[before - 1] + 1 << 32, 0)
+    return key, np.add.reduceat(new.astype(np.int64), first), np.diff(first, append=len(term))
+
+
 def term_statistics(df: DataFrame, text_col: str, min_len: int = 2, ngrams: bool = True,
                     ip_token: str = TX.IP_TOKEN, num_token: str = TX.NUM_TOKEN) -> DataFrame:
-    """(term, df, total_tf) over all documents. A task sends a term once for
-    about ``HELD_TERMS`` different terms, looking at their number after every
-    ``ROWS`` documents or ``HELD_TERMS`` words, whichever come first."""
+    """(term, df, total_tf) over all documents. A task counts the terms of
+    some documents at a time as numbers and sends a term once for about
+    ``HELD_TERMS`` different terms."""
     ship_package(df.sparkSession)
 
     def run(batches):
-        docs, occurrences = Counter(), Counter()
+        ids, held, n = {}, [], 0
+
+        def told(keys, docs, occurrences):
+            words = pa.array(list(ids), pa.string())
+            one = keys < 1 << 32
+            pair = pc.binary_join_element_wise(words.take(pa.array((keys[~one] >> 32) - 1)),
+                                               words.take(pa.array(keys[~one] & 0xFFFFFFFF)), " ")
+            terms = pa.concat_arrays([words.take(pa.array(keys[one])), pair])
+            both = [pa.array(np.concatenate([c[one], c[~one]]), pa.int64()) for c in (docs, occurrences)]
+            return pa.RecordBatch.from_arrays([terms, *both], ["term", "df", "tf"])
 
-        def told():
-            terms = list(occurrences)
-            return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([docs[t] for t in terms], pa.int64()),
-                                               pa.array([occurrences[t] for t in terms], pa.int64())], ["term", "df", "tf"])
+        def merged():
+            return _counted(*(np.concatenate([np.zeros(0, np.int64), *(h[c] for h in held)]) for c in range(3)))
 
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                read = 0
-                for tokens in whole.column(0).slice(at, ROWS).to_pylist():
-                    words = split_words(tokens)
-                    both = words + list(map(" ".join, zip(words, words[1:]))) if ngrams else words
-                    docs.update(set(both))
-                    occurrences.update(both)
-                    read += len(words)
-                    if read >= HELD_TERMS:
-                        read = 0
-                        if len(occurrences) >= HELD_TERMS:
-                            yield told()
-                            docs.clear()
-                            occurrences.clear()
-                if len(occurrences) >= HELD_TERMS:
-                    yield told()
-                    docs.clear()
-                    occurrences.clear()
-        yield told()
+            for texts in _pieces(whole.column(0)):
+                held.append(_terms_of(texts, ids, ngrams))
+                n += len(held[-1][0])
+                if n >= 2 * HELD_TERMS:
+                    held = [merged()]
+                    n = len(held[0][0])
+                    if n >= HELD_TERMS:
+                        yield told(*held[0])
+                        ids, held, n = {}, [], 0
+        yield told(*merged())
 
     words = with_tokens(df.select(F.col(text_col).alias("_text")), "_text", "_toks", min_len, ip_token, num_token)
     parts = words.select(F.array_join("_toks", " ").alias("t")).mapInArrow(run, "term string, df long, tf long")
