@@ -255,3 +255,23 @@ def test_a_pass_is_one_job_of_one_stage_and_equals_the_pass_over_the_frame(spark
     finally:
         KM.DIRECT = held
         points.unpersist()
+
+
+def test_mean_and_variance_take_one_pass_over_the_matrices(spark):
+    from tidal.operators import kmeans as KM
+    x = np.random.default_rng(3).normal(size=(1500, 3)) * [1.0, 2.0, 3.0] + 1e6
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(5)
+    mean, variance = KM.mean_and_variance(KM.in_matrices(df), 3)
+    assert np.allclose(mean, x.mean(0), rtol=1e-13) and variance == pytest.approx(x.var(0).mean(), rel=1e-9)
+
+
+def test_distances_to_the_sample_are_held_for_few_points(monkeypatch):
+    draw = np.random.default_rng(5)
+    x, y, member = draw.normal(size=(101, 4)), draw.normal(size=(70, 4)), np.eye(3)[draw.integers(0, 3, 70)]
+    x[:9] = y[:9]
+    held, whole = [], CE._distances
+    monkeypatch.setattr(CE, "_distances", lambda a, b: held.append(len(a)) or whole(a, b))
+    sums = CE._distance_sums(x, y, member)
+    assert max(held) == CE.NEAR and sum(held) == len(x)
+    assert np.allclose(sums, np.linalg.norm(x[:, None] - y[None], axis=2) @ member)
+    assert CE._distance_sums(x[:0], y, member).shape == (0, 3)
