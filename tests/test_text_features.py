@@ -192,3 +192,54 @@ def test_counted_terms_equal_brute_force_however_the_texts_are_cut(monkeypatch):
         names = list(ids)
         terms = [names[k] if k < 1 << 32 else f"{names[(k >> 32) - 1]} {names[k & 0xFFFFFFFF]}" for k in keys.tolist()]
         assert dict(zip(terms, df.tolist())) == docs and dict(zip(terms, tf.tolist())) == occurrences
+
+
+def test_texts_are_cleaned_counted_and_weighed_in_arrow_as_the_tokens_say(spark, monkeypatch):
+    import random
+    from collections import Counter
+    draw = random.Random(2)
+    some = ["The", "fox", "10.0.0.1", "x1.2.3.4y", "12", "007", "a", "\u00e9t\u00e9", "\u0391\u03a3", "\u0130st", "don't", "_x", "\u00bd",
+            "42!", "\u65e5\u672c \u8a9e", "\u0663\u0664", "\n", "1.2.3.4.5", "ok ok", "red", "red fox"]
+    rows = [(i if i % 7 else None, draw.choice([None, "", " ".join(draw.choices(some, k=draw.randint(1, 30)))])) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string").coalesce(2)
+    for kw in ({}, {"min_len": 1, "ip_token": "ip_address", "num_token": "num"}, {"ngrams": False, "num_token": "N-2 x"}):
+        plain = {k: v for k, v in kw.items() if k != "ngrams"}
+        tokens = [r["w"] for r in X.with_tokens(df, "text", "w", **plain).collect()]
+        terms = [w + (list(map(" ".join, zip(w, w[1:]))) if kw.get("ngrams", True) else []) for w in tokens]
+        docs, occurrences = Counter(t for w in terms for t in set(w)), Counter(t for w in terms for t in w)
+        with monkeypatch.context() as m:
+            m.delattr(X, "with_tokens")
+            stats = {r["term"]: (r["df"], r["total_tf"]) for r in X.term_statistics(df, "text", **kw).collect()}
+            assert stats == {t: (docs[t], n) for t, n in occurrences.items()}
+            model = X.fit_tfidf(df, "text", **kw)
+            weights = Counter((r["doc_id"], r["term"], r["tf"], round(r["weight"], 9)) for r in model.transform(df, "id", "text").collect())
+            top = Counter((r["doc_id"], r["rank"], r["term"], round(r["weight"], 9)) for r in X.rank_terms(df, "id", "text", model, 3).collect())
+            lsa = X.LsaModel(np.random.default_rng(1).normal(size=(4, model.size)), None, None, 1.0, 200)
+            scores = [r["s"] for r in X.lsa_scores(df, "text", model, lsa, "s").collect()]
+        idf, place = {t[0]: t[4] for t in model.terms}, {t[0]: t[3] for t in model.terms}
+        want, first = Counter(), Counter()
+        for (i, _), words, got in zip(rows, terms, scores):
+            tf = Counter(t for t in words if t in idf)
+            norm = np.sqrt(sum((n * idf[t]) ** 2 for t, n in tf.items()))
+            w = {t: n * idf[t] / norm for t, n in tf.items()}
+            want.update((i, t, n, round(w[t], 9)) for t, n in tf.items())
+            first.update((i, k + 1, t, round(w[t], 9)) for k, t in enumerate(sorted(w, key=lambda t: (-round(w[t], 12), t))[:3]))
+            assert np.allclose(got, sum((w[t] * lsa.components[:, place[t]] for t in w), np.zeros(4)))
+        assert weights == want and top == first
+
+
+def test_lsa_takes_components_and_variances_from_the_products_of_the_terms(spark, monkeypatch):
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    monkeypatch.delattr(RowMatrix, "computeSVD")
+    monkeypatch.delattr(RowMatrix, "multiply")
+    words = ["red", "fox", "blue", "owl", "grey", "cat"]
+    draw = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, " ".join(draw.choice(words, draw.integers(0, 9)))) for i in range(60)], "id long, text string")
+    m = X.fit_tfidf(df, "text")
+    dense = np.zeros((60, m.size))
+    for r in m.transform(df, "id", "text").collect():
+        dense[r["doc_id"], r["term_index"]] = r["weight"]
+    lsa = X.fit_lsa(df, "text", m, 5)
+    assert np.allclose(lsa.singular_values, np.linalg.svd(dense, compute_uv=False)[:5])
+    assert np.allclose(lsa.explained_variance, (dense @ lsa.components.T).var(0))
+    assert lsa.total_variance == pytest.approx(dense.var(0).sum())
