@@ -232,3 +232,12 @@ def test_quality(spark, docs):
 
 def test_digest_columns_of_the_queries(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]
+
+
+def test_only_few_texts_are_copied_out_of_a_batch_at_a_time(monkeypatch):
+    import pyarrow as pa
+    sizes, copied = [], TP.text_bytes
+    monkeypatch.setattr(TP, "text_bytes", lambda b: sizes.append(b.num_rows) or copied(b))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1700)), pa.array([f"t{i}" if i % 3 else None for i in range(1700)])], ["doc_id", "text"])
+    assert list(TP.held_rows(batch)) == [(i, f"t{i}".encode() if i % 3 else b"") for i in range(1700)]
+    assert max(sizes) <= 500

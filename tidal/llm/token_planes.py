@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, text_bytes
+from .common import shared_folder, slices, text_bytes
 
 BLOCK_IDS = 1 << 16
 CACHED_WORDS = 1_000_000
@@ -171,7 +171,7 @@ def write_token_planes(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
         for batch in batches:
             rows = []
-            for i, t in zip(batch.column(0).to_pylist(), text_bytes(batch)):
+            for i, t in held_rows(batch):
                 ids = cache.ids(t.decode("utf-8", "replace")) + end
                 begun.append(i)
                 lengths.append(len(ids) // 4)
@@ -194,6 +194,12 @@ def write_token_planes(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     index.write.parquet(f"{folder}/index")
 
 
+def held_rows(batch: pa.RecordBatch):
+    """(id, UTF-8 text) row by row; only the texts of a slice are copied at a time."""
+    for part in slices(batch):
+        yield from zip(part.column(0).to_pylist(), text_bytes(part))
+
+
 SCHEMA = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int64()),
                     ("plane_bytes", pa.list_(pa.int32())), ("planes", pa.list_(pa.binary())),
                     ("doc_ids", pa.list_(pa.int64())), ("doc_lengths", pa.list_(pa.int64()))])
