@@ -243,3 +243,10 @@ def test_lsa_takes_components_and_variances_from_the_products_of_the_terms(spark
     assert np.allclose(lsa.singular_values, np.linalg.svd(dense, compute_uv=False)[:5])
     assert np.allclose(lsa.explained_variance, (dense @ lsa.components.T).var(0))
     assert lsa.total_variance == pytest.approx(dense.var(0).sum())
+
+
+def test_among_equal_loadings_the_first_is_positive(spark):
+    texts = ["blue red", "red blue", "blue", "red", "blue", "red"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    lsa = X.fit_lsa(df, "text", X.fit_tfidf(df, "text", ngrams=False), 2)
+    assert np.allclose(lsa.components, np.array([[1, 1], [1, -1]]) / np.sqrt(2))

@@ -369,7 +369,7 @@ def fit_lsa(df: DataFrame, text_col: str, tfidf: TfidfModel, k: int = N_COMPONEN
     the terms' products, whose eigenvectors are the components, and one the
     means; all variances follow from these. Larger vocabularies take
     ``computeSVD``, a pass an iteration. Sign rule: the largest-|loading| entry
-    of a component is positive."""
+    of a component (the first of equal ones) is positive."""
     from pyspark import StorageLevel
     from pyspark.mllib.linalg import Matrices
     from pyspark.mllib.linalg.distributed import RowMatrix
@@ -391,7 +391,8 @@ def fit_lsa(df: DataFrame, text_col: str, tfidf: TfidfModel, k: int = N_COMPONEN
         svd = matrix.computeSVD(k, False, RCOND)
         comps, sv = svd.V.toArray().T[:k].copy(), np.array(svd.s.toArray())[:k]
     for c in range(len(comps)):
-        if comps[c, np.argmax(np.abs(comps[c]))] < 0:
+        size = np.abs(comps[c])
+        if comps[c, np.argmax(size >= size.max() * (1 - 1e-9))] < 0:  # rounding does not choose among equal loadings
             comps[c] = -comps[c]
 
     def variances(m):  # Spark's variance divides by n - 1
