@@ -275,3 +275,37 @@ def test_distances_to_the_sample_are_held_for_few_points(monkeypatch):
     assert max(held) == CE.NEAR and sum(held) == len(x)
     assert np.allclose(sums, np.linalg.norm(x[:, None] - y[None], axis=2) @ member)
     assert CE._distance_sums(x[:0], y, member).shape == (0, 3)
+
+
+def test_long_vectors_are_measured_in_batches_to_the_last_bit(spark):
+    from tidal.functions import vectors as VX
+    draw = np.random.default_rng(11)
+    x = [[float(v) for v in r] for r in draw.normal(size=(700, 25)) * 1e3]
+    rows = [(i, v) for i, v in enumerate([*x, None, [None] + x[0][1:], x[0][:24], x[0] + [1.0], [], [float("nan")] + x[0][1:]])]
+    df = spark.createDataFrame(rows, "id long, x array<double>").repartition(3)
+    centers = [*x[:9], x[3]]
+    got = CL.assign(df, "x", centers)
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
+    d = VX.distances("x", centers)
+    want = df.select("id", F.coalesce(VX.argmin(d), F.lit(-1)).alias("c"), F.array_min(d).alias("d")).collect()
+    assert {r["id"]: (r["cluster"], repr(r["sq_distance"])) for r in got.collect()} == {r["id"]: (r["c"], repr(r["d"])) for r in want}
+
+
+def test_label_rules_read_the_events_once(spark):
+    rows = [(0, "error", "TCP", 10.0, 5, 3), (0, "error", "UDP", 30.0, 5, 3), (0, "info", "UDP", 20.0, 5, 3), (0, None, "UDP", 20.0, 5, 3),
+            (1, "info", "TCP", 4000.0, 500000, 12), (1, "error", "TCP", None, 500000, 12), (None, "info", "TCP", 1.0, 1, 1)]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(c):
+        seen.add(1)
+        return c
+
+    events = spark.createDataFrame(rows, "c int, severity string, protocol string, duration_ms double, bytes_transferred long, hour_of_day int")
+    got = IN.cluster_label_rules(events.withColumn("cluster", counted("c")), 3).collect()
+    assert {r["cluster"]: r["interpretation"] for r in got} == {
+        0: "short duration, low data transfer, off-hours activity", 1: "long duration, high data transfer", 2: "Empty cluster"}
+    assert seen.value <= len(rows) * 2  # once, and once more for the filter below the projection
+    s = IN.cluster_summary(events.withColumnRenamed("c", "cluster")).orderBy("cluster_id").collect()
+    assert [(r["cluster_id"], r["count"], r["dominant_severity"], r["dominant_protocol"]) for r in s] == [
+        (0, 4, "error", "UDP"), (1, 2, "error", "TCP")]
