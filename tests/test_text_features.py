@@ -250,3 +250,17 @@ def test_among_equal_loadings_the_first_is_positive(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     lsa = X.fit_lsa(df, "text", X.fit_tfidf(df, "text", ngrams=False), 2)
     assert np.allclose(lsa.components, np.array([[1, 1], [1, -1]]) / np.sqrt(2))
+
+
+def test_lsa_reads_weights_from_arrow_batches(spark):
+    texts = ["red fox runs", "", None, "red fox red fox 10.0.0.1", "blue fox sleeps 42", "zzz"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    model = X.fit_tfidf(df, "t", max_features=50)
+    rows = model.weight_vectors(df, "t")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Scan" in plan
+    key = lambda v: (v.indices.tolist(), np.round(v.values, 12).tolist())
+    want = sorted(key(r[0]) for r in model.vectors(df, "t").select("tfidf").collect())
+    got = [r[0] for r in rows.collect()]
+    assert sorted(map(key, got)) == want and all(v.size == model.size for v in got)
+    assert X.TfidfModel([], 18).weight_vectors(df, "t").count() == len(texts)
