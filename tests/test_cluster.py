@@ -309,3 +309,16 @@ def test_label_rules_read_the_events_once(spark):
     s = IN.cluster_summary(events.withColumnRenamed("c", "cluster")).orderBy("cluster_id").collect()
     assert [(r["cluster_id"], r["count"], r["dominant_severity"], r["dominant_protocol"]) for r in s] == [
         (0, 4, "error", "UDP"), (1, 2, "error", "TCP")]
+
+
+def test_centres_of_equal_models_lie_side_by_side_and_ties_go_to_the_first():
+    from tidal.operators import kmeans as KM
+    runs = [(0, 2, 3), (6, 1, 2)]  # two models of three centres, one of two
+    order = KM._side_by_side(runs)
+    assert order.tolist() == [0, 3, 1, 4, 2, 5, 6, 7]
+    near = np.array([[5.0, 1], [2, 2], [2, 9], [4, 1], [2, 1], [3, 1], [7, 7], [7, 8]])
+    mark = np.empty(near.shape, bool)
+    least = KM._nearest(near[order], runs, mark)
+    assert least.tolist() == [[2, 1], [2, 1], [7, 7]]
+    assert mark[np.argsort(order)].tolist() == [[False, True], [True, False], [False, False], [False, True], [True, False], [False, False],
+                                                [True, True], [False, False]]
