@@ -322,3 +322,41 @@ def test_centres_of_equal_models_lie_side_by_side_and_ties_go_to_the_first():
     assert least.tolist() == [[2, 1], [2, 1], [7, 7]]
     assert mark[np.argsort(order)].tolist() == [[False, True], [True, False], [False, False], [False, True], [True, False], [False, False],
                                                 [True, True], [False, False]]
+
+
+def test_curve_silhouettes_measure_all_points_against_all(spark):
+    draw = np.random.default_rng(21)
+    x = draw.normal(size=(90, 3)) + draw.integers(0, 3, 90)[:, None] * 2.0
+    x[1] = x[0]
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").repartition(3)
+    centers = [x[:3], x[10:14]]
+    for (got, got_sq), c in zip(CE.curve_silhouettes(df, centers, sample=16), centers):
+        lab = {i: int(np.square(v - c).sum(1).argmin()) for i, v in enumerate(x)}
+        points = dict(enumerate(x))
+        want = brute_silhouette(points, lab, lambda u, v: float(np.linalg.norm(u - v)))
+        sq = brute_silhouette(points, lab, lambda u, v: float(np.square(u - v).sum()))
+        assert got == pytest.approx(np.mean(list(want.values())), abs=1e-9)
+        assert got_sq == pytest.approx(np.mean(list(sq.values())), abs=1e-9)
+
+
+def test_mean_distances_measure_all_members_whatever_the_ids(spark):
+    draw = np.random.default_rng(22)
+    x, c = draw.normal(size=(70, 3)), draw.integers(0, 3, 70)
+    c[0] = 3  # alone in its cluster
+    rows = [(i % 60, v.tolist(), int(k), str(i)) for i, (v, k) in enumerate(zip(x, c))]
+    odd = [(None, None, 1, "null"), (5, [1.0, None, 2.0], 0, "part")]
+    df = spark.createDataFrame(rows + odd, "id long, x array<double>, cluster int, name string").repartition(3)
+    got = {r["name"]: r for r in CE.mean_distances(df, "id", "x", "cluster", sample=16).collect()}
+    assert len(got) == 72 and set(got["7"].asDict()) == {"id", "x", "cluster", "name", "md", "a", "b", "silhouette"}
+    want = brute_silhouette(dict(enumerate(x)), dict(enumerate(c)), lambda u, v: float(np.linalg.norm(u - v)))
+    for i in range(70):
+        assert got[str(i)]["id"] == i % 60 and got[str(i)]["x"] == x[i].tolist()
+        assert got[str(i)]["silhouette"] == pytest.approx(want[i], abs=1e-9)
+        d = np.linalg.norm(x - x[i], axis=1)
+        for m in got[str(i)]["md"]:
+            others = (c == m["c"]) & (np.arange(70) != i)
+            assert m["m"] is None if not others.any() else m["m"] == pytest.approx(d[others].mean(), abs=1e-9)
+    assert got["0"]["a"] is None and got["0"]["silhouette"] == 0.0
+    for name in ("null", "part"):
+        assert [m["m"] for m in got[name]["md"]] == [None] * 4 and got[name]["a"] is None and got[name]["silhouette"] == 0.0
+    assert CE.mean_distances(df.limit(0), "id", "x", "cluster").collect() == []
