@@ -214,3 +214,29 @@ def test_region_series_reads_the_records_once(spark, monkeypatch):
         assert seen.value == len(rows)
     finally:
         rs.unpersist()
+
+
+def test_fitted_seasonal_coefficients_are_whole_and_predict(spark, monkeypatch):
+    from tidal.plans import q_forecast as QF
+    rows = [(dt.date(2023, 1, 1) + dt.timedelta(days=i // 2), f"R{i % 2}", 10.0 + i % 7 + i % 2, 1 + i % 3, "air", 5.0, 1.0 + i % 4, 0)
+            for i in range(300)]
+    schema = ("date date, region string, shipping_weight_kg double, request_urgency int, shipping_method string, "
+              "avg_repair_cycle_days double, failure_rate_pct double, is_quarter_end int")
+    monkeypatch.setattr(QF.T, "shipments", lambda *_: spark.createDataFrame(rows, schema))
+    monkeypatch.setattr(QF, "_MEMO", {})
+    fitted = QF.q_fit_seasonal_forecaster(spark, "none")
+    got = fitted.collect()
+    assert sorted((r["version"], r["series"]) for r in got) == [(v, s) for v in ("v1", "v2") for s in ("R0", "R1")]
+    for r in got:
+        regs = len(FC.VERSIONS[r["version"]]["regressors"])
+        assert len(r["changepoints"]) == r["n_changepoints"] and len(r["reg_mean"]) == len(r["reg_std"]) == regs
+        assert len(r["beta"]) == r["n_coef"] == 2 + r["n_changepoints"] + 2 * (FC.WEEKLY_ORDER + FC.YEARLY_ORDER) + regs
+    rs, _ = QF.region_series(spark, "none")
+    test = rs.where("split = 'test'")
+    want = {(r["model"], r["region"], r["ds"]): r["yhat"] for r in QF.q_predict_seasonal(spark, "none").collect()}
+    for v in FC.VERSIONS:
+        coefs = fitted.where(F.col("version") == v).drop("version")
+        for r in FC.predict_seasonal(test, coefs, v, series=["region"]).collect():
+            assert r["yhat"] == pytest.approx(want.pop((f"seasonal_{v}", r["region"], r["ds"])))
+    assert not want
+    rs.unpersist()
